@@ -13,7 +13,8 @@ def day_bit(day, as_of, width: int = HISTORY_WIDTH) -> Column:
     """2^(width-1 - days between day and as_of) as BIGINT; 0 outside the window."""
     back = F.datediff(as_of, day)
     return F.when((back >= 0) & (back < width),
-                  F.shiftleft(F.lit(1).cast("bigint"), F.lit(width - 1) - back)).otherwise(F.lit(0).cast("bigint"))
+                  F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(width - 1) - back)
+                  ).otherwise(F.lit(0).cast("bigint"))
 
 
 def bits_text(col) -> Column:

@@ -12,8 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimforge.functions.scalars import clock_to_seconds
+from dimforge.operators import analysis as an
 from dimforge.operators import cumulate as cu
+from dimforge.operators import datelist as dl
+from dimforge.operators import facts as fa
 from dimforge.operators import scd
+from dimforge.operators.joins import broadcast_if_small
+from dimforge.sinks import publish as pb
+from dimforge.sources import spine as sp
 
 from dimforge.sources import fixtures as fx
 
@@ -81,10 +88,278 @@ def q_scd2_spine(spark, sf_dir):
                                lo=SEASON_LO, hi=SEASON_HI)
 
 
+# --- actors: multi-row periods, two-attribute SCD2 ------------------------------
+
+def _actors_flat(df: DataFrame) -> DataFrame:
+    return df.select("actor_id", "actor", F.size("films").alias("n_films"),
+                     F.array_join(F.transform("films", lambda f: f["film_id"]), ",").alias("films_text"),
+                     "quality_class", "is_active", "current_year")
+
+
+def actors_hist(spark, sf_dir, mode="replace"):
+    return cu.actors_cumulated(fx.actor_films(spark, sf_dir), SEASON_LO, SEASON_HI, mode=mode)
+
+
+def q_cumulate_actors_accumulate(spark, sf_dir):
+    return _actors_flat(actors_hist(spark, sf_dir, "accumulate"))
+
+
+def q_cumulate_actors_replace(spark, sf_dir):
+    return _actors_flat(actors_hist(spark, sf_dir, "replace"))
+
+
+def q_quality_class(spark, sf_dir):
+    rows = cu.actor_period_rows(fx.actor_films(spark, sf_dir))
+    return rows.select("actor_id", "year", F.size("films").alias("n_films"), "quality_class")
+
+
+ACTOR_SCD = dict(period="current_year", start_col="start_date", end_col="end_date", snapshot_col="current_year")
+
+
+def q_scd2_actors_backfill(spark, sf_dir):
+    return scd.scd2_backfill(actors_hist(spark, sf_dir), keys=["actor_id"], carry=["actor"],
+                             state_cols=["quality_class", "is_active"], as_of=SEASON_HI, **ACTOR_SCD)
+
+
+def q_scd2_actors_backfill_compat(spark, sf_dir):
+    return scd.scd2_backfill_as_written(actors_hist(spark, sf_dir), lag_key="actor_id", sum_key="actor",
+                                        group_extra=["quality_class"], state="is_active", as_of=SEASON_HI,
+                                        out_key="actor", **ACTOR_SCD)
+
+
+def q_scd2_actors_increment(spark, sf_dir):
+    hist = actors_hist(spark, sf_dir)
+    prev = scd.scd2_backfill(hist, keys=["actor_id"], carry=["actor"], state_cols=["quality_class", "is_active"],
+                             as_of=SEASON_HI - 1, **ACTOR_SCD)
+    return scd.scd2_increment(prev, hist, keys=["actor_id"], carried=["actor"],
+                              state_cols=["quality_class", "is_active"], t=SEASON_HI, **ACTOR_SCD)
+
+
+# --- datelists and bit history ------------------------------------------------
+
+def _dates_text(col: str = "dates_active") -> Column:
+    return F.array_join(F.transform(col, lambda d: F.coalesce(F.date_format(d, "yyyy-MM-dd"), F.lit("-"))), ",")
+
+
+def _datelist_flat(df: DataFrame, keys=("user_id",)) -> DataFrame:
+    return df.select(*keys, F.size("dates_active").alias("n_slots"),
+                     F.size(F.filter("dates_active", lambda d: d.isNotNull())).alias("n_active"),
+                     _dates_text().alias("dates_text"), "curr_date")
+
+
+def q_datelist_backfill(spark, sf_dir):
+    d = dl.datelist_backfill(fx.web_events(spark, sf_dir), keys=["user_id"], ts_col="event_time",
+                             lo=DAY_LO, hi=DAY_HI, snapshots="all")
+    return _datelist_flat(d)
+
+
+STEP_DAY, STEP_PREV = "2024-01-30", "2024-01-29"
+
+
+def q_datelist_step(spark, sf_dir):
+    ev = fx.web_events(spark, sf_dir)
+    prev = dl.datelist_backfill(ev, keys=["user_id"], ts_col="event_time", lo=DAY_LO, hi=STEP_PREV)
+    return _datelist_flat(dl.datelist_step(prev, ev, keys=["user_id"], ts_col="event_time", day=STEP_DAY))
+
+
+def q_datelist_bits(spark, sf_dir):
+    d = dl.datelist_backfill(fx.web_events(spark, sf_dir), keys=["user_id"], ts_col="event_time",
+                             lo=DAY_LO, hi=DAY_HI)
+    return dl.datelist_bits(d, lo=DAY_LO, hi=DAY_HI)
+
+
+def q_bits_direct(spark, sf_dir):
+    return dl.bits_direct(fx.web_events(spark, sf_dir), ts_col="event_time", lo=DAY_LO, hi=DAY_HI)
+
+
+def events_with_browser(spark, sf_dir):
+    devices = broadcast_if_small(fx.devices(spark, sf_dir), fx.SMALL_DIM_ROWS)
+    return fx.web_events(spark, sf_dir).join(devices, "device_id")
+
+
+def device_datelist(spark, sf_dir):
+    return dl.datelist_backfill(events_with_browser(spark, sf_dir), keys=["user_id", "browser_type"],
+                                ts_col="event_time", lo=DAY_LO, hi=DAY_HI)
+
+
+def q_device_datelist(spark, sf_dir):
+    return _datelist_flat(device_datelist(spark, sf_dir), keys=("user_id", "browser_type"))
+
+
+def q_device_datelist_map(spark, sf_dir):
+    m = dl.datelist_map(device_datelist(spark, sf_dir))
+    m = m.withColumn("n_browsers", F.size("dates_by_browser"))
+    flat = dl.datelist_unmap(m.select("user_id", "dates_by_browser", "curr_date")) \
+        .join(m.select("user_id", "n_browsers"), "user_id")
+    return flat.select("user_id", "browser_type", "n_browsers", _dates_text().alias("dates_text"), "curr_date")
+
+
+# --- facts ------------------------------------------------------------------
+
+DEDUPE_KEYS = ["game_id", "team_id", "player_id"]
+DEDUPE_ORDER = ["l_partkey", "l_suppkey"]   # makes the order total
+
+
+def q_fct_game_details(spark, sf_dir):
+    return fa.build_game_fact(fx.games(spark, sf_dir), fx.game_details(spark, sf_dir))
+
+
+def q_clock_to_seconds(spark, sf_dir):
+    gd = fx.game_details(spark, sf_dir)
+    return gd.select("game_id", "player_id", "l_partkey", "l_suppkey", "min",
+                     clock_to_seconds("min").alias("seconds"))
+
+
+def q_dedupe_first(spark, sf_dir):
+    return fa.dedupe_first(fx.game_details(spark, sf_dir), DEDUPE_KEYS, DEDUPE_ORDER)
+
+
+def q_dedupe_extra_rows(spark, sf_dir):
+    return fa.duplicates(fx.game_details(spark, sf_dir), DEDUPE_KEYS)
+
+
+def q_duplicate_counts(spark, sf_dir):
+    return fa.duplicate_counts(fx.game_details(spark, sf_dir), DEDUPE_KEYS)
+
+
+def daily(spark, sf_dir):
+    return fa.daily_metric(fx.web_events(spark, sf_dir), user_col="user_id", ts_col="event_time",
+                           name="visited_home_page", cond=F.col("url") == "/")
+
+
+def q_daily_metrics(spark, sf_dir):
+    return daily(spark, sf_dir)
+
+
+def q_metric_totals(spark, sf_dir):
+    return fa.metric_totals(daily(spark, sf_dir))
+
+
+def _monthly_flat(df):
+    return df.select("user_id", "metric_name",
+                     F.array_join(F.transform("metric_array", lambda x: x.cast("string")), ",").alias("metric_text"),
+                     F.size("metric_array").alias("n_days"), "month_start")
+
+
+def q_monthly_array_backfill(spark, sf_dir):
+    return _monthly_flat(fa.monthly_array_backfill(daily(spark, sf_dir), month_start=DAY_LO, through=DAY_HI))
+
+
+def q_monthly_array_step(spark, sf_dir):
+    d = daily(spark, sf_dir)
+    prev = fa.monthly_array_backfill(d, month_start=DAY_LO, through=STEP_PREV)
+    return _monthly_flat(fa.monthly_array_step(prev, d, day=STEP_DAY, month_start=DAY_LO))
+
+
+# --- analyses ---------------------------------------------------------------
+
+def q_streak_top10(spark, sf_dir):
+    return an.threshold_report(fx.player_seasons(spark, sf_dir), key="player_name", period="season",
+                               value="pts", threshold=20, k=10)
+
+
+def q_streak_true(spark, sf_dir):
+    return an.longest_streaks(fx.player_seasons(spark, sf_dir), key="player_name", period="season",
+                              value="pts", threshold=20, k=10)
+
+
+def q_explode_history(spark, sf_dir):
+    return an.explode_history(players_hist(spark, sf_dir, snapshots="last"), "seasons", ["player_name"])
+
+
+def q_career_total(spark, sf_dir):
+    return an.fold_array(players_hist(spark, sf_dir, snapshots="last"), ["player_name"], ["pts", "gp"],
+                         "seasons", F.lit(0.0), lambda acc, r: acc + r["pts"] * r["gp"], "total_points")
+
+
+def q_dense_rank_global(spark, sf_dir):
+    ps = fx.player_seasons(spark, sf_dir).select("player_name", "season", "pts")
+    return an.dense_rank_all(ps, "pts")
+
+
+def q_column_profile(spark, sf_dir):
+    return an.profile(q_scd2_backfill(spark, sf_dir), exact_distinct=True)
+
+
+def _table_dir(spark, sf_dir, name):
+    return pb.table_location(spark, sf_dir.rstrip("/").rsplit("/", 1)[-1], name)
+
+
+def q_publish_twice_rows(spark, sf_dir):
+    path = _table_dir(spark, sf_dir, "nba_players_scd")
+    for _ in range(2):
+        pb.publish(q_scd2_backfill(spark, sf_dir), path, ["current_season"])
+    return pb.read_partition(spark, path, "current_season", SEASON_HI) \
+        .select("player_name", "is_active", "start_season", "end_season", "current_season")
+
+
+def q_cumulate_dim_published(spark, sf_dir):
+    """The incremental load as run in production: one job per season, each
+    reading the stored previous snapshot (depends_on_past)."""
+    path = _table_dir(spark, sf_dir, "nba_players")
+    ps = fx.player_seasons(spark, sf_dir)
+
+    def step(prev, t):
+        cur = cu.period_items(ps.where(F.col("season") == t), keys=["player_name"], period="season",
+                              item_cols=cu.SEASON_FIELDS, history_col="seasons", attrs=cu.PLAYER_ATTRS,
+                              unique_per_period=True)
+        return cu.cumulate_step(prev, cur, keys=["player_name"], period="season", history_col="seasons",
+                                snapshot_col="current_season", attrs=cu.PLAYER_ATTRS,
+                                since_col="years_since_last_active")
+
+    pb.load_periods(spark, path, "current_season", list(range(SEASON_LO, SEASON_HI + 1)), step)
+    return _players_flat(pb.read_partition(spark, path, "current_season", SEASON_HI))
+
+
+def q_missing_periods(spark, sf_dir):
+    days = fx.web_events(spark, sf_dir).select(F.to_date("event_time").alias("date"))
+    return pb.missing_periods(days, "date", sp.date_spine(spark, DAY_LO, DAY_HI))
+
+
+def q_scd1_latest(spark, sf_dir):
+    return scd.scd1(fx.player_seasons(spark, sf_dir), keys=["player_name"], col="pts", period="season")
+
+
+def q_scd3_first_last(spark, sf_dir):
+    return scd.scd3(fx.player_seasons(spark, sf_dir), keys=["player_name"], col="pts", period="season")
+
+
 QUERIES = {
     "cumulate_dim_backfill": q_cumulate_dim_backfill,
     "cumulate_dim_step": q_cumulate_dim_step,
     "scd2_backfill": q_scd2_backfill,
     "scd2_increment": q_scd2_increment,
     "scd2_spine": q_scd2_spine,
+    "cumulate_actors_accumulate": q_cumulate_actors_accumulate,
+    "cumulate_actors_replace": q_cumulate_actors_replace,
+    "quality_class": q_quality_class,
+    "scd2_actors_backfill": q_scd2_actors_backfill,
+    "scd2_actors_backfill_compat": q_scd2_actors_backfill_compat,
+    "scd2_actors_increment": q_scd2_actors_increment,
+    "datelist_backfill": q_datelist_backfill,
+    "datelist_step": q_datelist_step,
+    "datelist_bits": q_datelist_bits,
+    "bits_direct": q_bits_direct,
+    "device_datelist": q_device_datelist,
+    "device_datelist_map": q_device_datelist_map,
+    "fct_game_details": q_fct_game_details,
+    "clock_to_seconds": q_clock_to_seconds,
+    "dedupe_first": q_dedupe_first,
+    "dedupe_extra_rows": q_dedupe_extra_rows,
+    "duplicate_counts": q_duplicate_counts,
+    "daily_metrics": q_daily_metrics,
+    "metric_totals": q_metric_totals,
+    "monthly_array_backfill": q_monthly_array_backfill,
+    "monthly_array_step": q_monthly_array_step,
+    "streak_top10": q_streak_top10,
+    "streak_true": q_streak_true,
+    "explode_history": q_explode_history,
+    "career_total": q_career_total,
+    "dense_rank_global": q_dense_rank_global,
+    "column_profile": q_column_profile,
+    "publish_twice_rows": q_publish_twice_rows,
+    "cumulate_dim_published": q_cumulate_dim_published,
+    "missing_periods": q_missing_periods,
+    "scd1_latest": q_scd1_latest,
+    "scd3_first_last": q_scd3_first_last,
 }
