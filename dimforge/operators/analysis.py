@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.operators.joins import broadcast_if_small
 
 
 def dense_rank_topk(df: DataFrame, col: str, k: int, rank_col: str = "ranking",
@@ -32,7 +31,7 @@ def dense_rank_topk(df: DataFrame, col: str, k: int, rank_col: str = "ranking",
 
 
 def dense_rank_all(df: DataFrame, col: str, rank_col: str = "ranking", descending: bool = True,
-                   ranges: int = 64, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   ranges: int = 256) -> DataFrame:
     """DENSE_RANK over the whole table for a numeric column, without a
     single-partition window.  NULL values get a NULL rank."""
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
@@ -51,7 +50,8 @@ def dense_rank_all(df: DataFrame, col: str, rank_col: str = "ranking", descendin
         Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ranks = (local.join(F.broadcast(offs.select("_r", "_off")), "_r")
                   .select(F.col("_v"), (F.col("_off") + F.col("_lr")).cast("int").alias(rank_col)))
-    ranks = broadcast_if_small(ranks, max_broadcast_rows)
+    # One row per distinct value: AQE turns this join into a broadcast when
+    # the measured side is small and splits a hot value's partition otherwise.
     return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
 
 

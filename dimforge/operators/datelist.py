@@ -91,16 +91,20 @@ def datelist_backfill(events: DataFrame, *, keys: Sequence[str], ts_col: str, lo
     elif null_keys != "drop":
         raise ValueError("null_keys must be 'keep' or 'drop'")
 
+    # The positional array is built once per entity; every snapshot is a
+    # suffix of it (slot i of snapshot s is day s - i).
+    if pad_nulls:
+        known = known.select(*keys, "_ds", pad_days(F.col("_ds"), hi_d).alias("_full"))
     if snapshots == "last":
-        snap = known.select(*keys, "_ds", hi_d.alias("_s"))
+        snap = known.withColumn("_s", hi_d)
     elif snapshots == "all":
-        snap = known.select(*keys, "_ds", F.explode(F.sequence(F.element_at("_ds", -1), hi_d)).alias("_s"))
+        snap = known.withColumn("_s", F.explode(F.sequence(F.element_at("_ds", -1), hi_d)))
     else:
         raise ValueError("snapshots must be 'all' or 'last'")
 
     if pad_nulls:
-        full = pad_days(F.col("_ds"), hi_d)
-        dates = F.slice(full, F.datediff(hi_d, F.col("_s")) + 1, F.size(full))
+        skip = F.datediff(hi_d, F.col("_s"))
+        dates = F.slice("_full", skip + 1, F.size("_full") - skip)
     else:
         dates = F.filter("_ds", lambda x: x <= F.col("_s"))
     return snap.select(*keys, dates.alias(dates_col), F.col("_s").alias(snapshot_col))

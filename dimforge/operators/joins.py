@@ -22,10 +22,26 @@ NULL_SALT_BUCKETS = 64
 _SALT = "_null_salt"
 
 
+_PROBES: dict = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
+
+    The probe reads at most ``max_rows + 1`` rows of an empty projection (no
+    column is decoded).  Its answer is remembered for the same plan over the
+    same input files, so repeated queries in a session do not re-probe an
+    unchanged dimension."""
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - plans without file inputs are probed every time
+        key = None
+    small = _PROBES.get(key) if key is not None else None
+    if small is None:
+        small = df.select(F.lit(1).alias("_one")).limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _PROBES[key] = small
+    return F.broadcast(df) if small else df
 
 
 def _any_null(df: DataFrame, keys) -> Column:

@@ -197,7 +197,12 @@ def q_device_datelist_map(spark, sf_dir):
 # --- facts ------------------------------------------------------------------
 
 DEDUPE_KEYS = ["game_id", "team_id", "player_id"]
-DEDUPE_ORDER = ["l_partkey", "l_suppkey"]   # makes the order total
+# Every non-key column, so the order is total and the survivor well defined.
+DEDUPE_ORDER_COLS = ("l_partkey", "l_suppkey", "start_position", "comment", "min", "pts", "reb", "ast")
+
+
+def dedupe_order():
+    return [F.col(c).asc_nulls_first() for c in DEDUPE_ORDER_COLS]
 
 
 def q_fct_game_details(spark, sf_dir):
@@ -211,7 +216,7 @@ def q_clock_to_seconds(spark, sf_dir):
 
 
 def q_dedupe_first(spark, sf_dir):
-    return fa.dedupe_first(fx.game_details(spark, sf_dir), DEDUPE_KEYS, DEDUPE_ORDER)
+    return fa.dedupe_first(fx.game_details(spark, sf_dir), DEDUPE_KEYS, dedupe_order())
 
 
 def q_dedupe_extra_rows(spark, sf_dir):

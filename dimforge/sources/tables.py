@@ -17,6 +17,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+_READS: dict = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, refresh: bool = False) -> DataFrame:
+    """Scan of a source table.  The (lazy) scan is kept per session and path,
+    so repeated queries skip file listing and footer-based schema inference;
+    ``refresh=True`` lists the files again (source tables here are
+    read-only)."""
+    key = (id(spark), table_path(sf_dir, name))
+    df = None if refresh else _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(table_path(sf_dir, name))
+        _READS[key] = df
     return df.select(*columns) if columns else df
