@@ -82,14 +82,14 @@ def datelist_backfill(events: DataFrame, *, keys: Sequence[str], ts_col: str, lo
     """Datelist snapshot(s) after loading every day ``lo..hi`` from an empty table."""
     days = active_days(events, keys=keys, ts_col=ts_col, lo=lo, hi=hi)
     hi_d = _date(hi)
-    known = (days.where(~_null_key(keys)).groupBy(*keys)
-                 .agg(F.sort_array(F.collect_set("_day"), asc=False).alias("_ds")))
-    if null_keys == "keep":
-        # Each (NULL key, day) is a separate row that only ever holds that day.
-        nulls = days.where(_null_key(keys)).distinct().select(*keys, F.array("_day").alias("_ds"))
-        known = known.unionByName(nulls)
-    elif null_keys != "drop":
+    if null_keys == "drop":
+        days = days.where(~_null_key(keys))
+    elif null_keys != "keep":
         raise ValueError("null_keys must be 'keep' or 'drop'")
+    # One pass, one exchange: a row with a NULL key never matches, so each
+    # (NULL key, day) is its own entity — grouped by the day as well.
+    days = days.withColumn("_nk", F.when(_null_key(keys), F.col("_day")))
+    known = days.groupBy(*keys, "_nk").agg(F.sort_array(F.collect_set("_day"), asc=False).alias("_ds"))
 
     # The positional array is built once per entity; every snapshot is a
     # suffix of it (slot i of snapshot s is day s - i).
