@@ -316,6 +316,22 @@ def q_cumulate_dim_published(spark, sf_dir):
     return _players_flat(pb.read_partition(spark, path, "current_season", SEASON_HI))
 
 
+DAILY_SPEC = "user_id bigint, metric_name string, metric_value bigint, date date"
+
+
+def q_daily_metrics_published(spark, sf_dir):
+    """Reduced fact written with two partition columns (metric_name, date),
+    conformed by name to its declared schema, re-published (idempotent) and
+    read back through a range filter on the ``date`` partition column."""
+    from pyspark.sql.types import _parse_datatype_string
+    path = _table_dir(spark, sf_dir, "daily_web_metrics")
+    spec = _parse_datatype_string(DAILY_SPEC)
+    for _ in range(2):
+        pb.publish(daily(spark, sf_dir), path, ["metric_name", "date"], spec=spec, not_null=["metric_name", "date"])
+    t = spark.read.parquet(path).where(F.col("date").between(F.lit(DAY_LO).cast("date"), F.lit(DAY_HI).cast("date")))
+    return t.select("user_id", "metric_name", "metric_value", "date")
+
+
 def q_missing_periods(spark, sf_dir):
     days = fx.web_events(spark, sf_dir).select(F.to_date("event_time").alias("date"))
     return pb.missing_periods(days, "date", sp.date_spine(spark, DAY_LO, DAY_HI))
@@ -365,6 +381,7 @@ QUERIES = {
     "publish_twice_rows": q_publish_twice_rows,
     "cumulate_dim_published": q_cumulate_dim_published,
     "missing_periods": q_missing_periods,
+    "daily_metrics_published": q_daily_metrics_published,
     "scd1_latest": q_scd1_latest,
     "scd3_first_last": q_scd3_first_last,
 }
