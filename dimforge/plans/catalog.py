@@ -242,7 +242,8 @@ def q_metric_totals(spark, sf_dir):
 
 def _monthly_flat(df):
     return df.select("user_id", "metric_name",
-                     F.array_join(F.transform("metric_array", lambda x: x.cast("string")), ",").alias("metric_text"),
+                     F.array_join(F.transform("metric_array", lambda x: F.coalesce(x.cast("string"), F.lit("-"))),
+                                  ",").alias("metric_text"),
                      F.size("metric_array").alias("n_days"), "month_start")
 
 
@@ -256,6 +257,14 @@ def q_monthly_array_step(spark, sf_dir):
     return _monthly_flat(fa.monthly_array_step(prev, d, day=STEP_DAY, month_start=DAY_LO))
 
 
+def q_monthly_array_as_written(spark, sf_dir):
+    """The script's stub: the month row holds only the day's value (the
+    previous array is not carried; absent keys get [NULL])."""
+    d = daily(spark, sf_dir)
+    prev = fa.monthly_array_backfill(d, month_start=DAY_LO, through=STEP_PREV)
+    return _monthly_flat(fa.monthly_array_step(prev, d, day=STEP_DAY, month_start=DAY_LO, as_written=True))
+
+
 # --- analyses ---------------------------------------------------------------
 
 def q_streak_top10(spark, sf_dir):
@@ -372,6 +381,7 @@ QUERIES = {
     "metric_totals": q_metric_totals,
     "monthly_array_backfill": q_monthly_array_backfill,
     "monthly_array_step": q_monthly_array_step,
+    "monthly_array_as_written": q_monthly_array_as_written,
     "streak_top10": q_streak_top10,
     "streak_true": q_streak_true,
     "explode_history": q_explode_history,

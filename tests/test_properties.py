@@ -196,3 +196,16 @@ def test_full_outer_null_keys_never_match(spark):
     b = spark.createDataFrame([(None, 10), (1, 20)], "k int, b int")
     j = full_outer(a, b, ["k"]).select(F.col("p.a"), F.col("c.b"))
     assert rows(j) == sorted([(1, None), (3, None), (2, 20), (None, 10)], key=repr)
+
+
+def test_datelist_map_steps_equal_map_of_backfill(spark, sf_dir):
+    ev = c.events_with_browser(spark, sf_dir)
+    prev = None
+    days = [f"2024-01-0{i}" for i in range(1, 8)]
+    for d in days:
+        prev = dl.datelist_map_step(prev, ev, key="user_id", map_key="browser_type", ts_col="event_time",
+                                    day=d).cache()
+    back = dl.datelist_backfill(ev, keys=["user_id", "browser_type"], ts_col="event_time", lo=days[0], hi=days[-1])
+    want = dl.datelist_unmap(dl.datelist_map(back))
+    got = dl.datelist_unmap(prev)
+    assert rows(got) == rows(want.select(*got.columns))
