@@ -30,16 +30,19 @@ from dimforge.operators.joins import full_outer
 def period_items(raw: DataFrame, *, keys: Sequence[str], period: str, item_cols: Sequence[str],
                  history_col: str, attrs: Sequence[str] = (),
                  period_aggs: Mapping[str, Column] | None = None,
-                 unique_per_period: bool = False) -> DataFrame:
+                 unique_per_period: bool | str = False) -> DataFrame:
     """Reduce raw rows to one row per (entity, period).
 
     ``history_col`` holds the period's items as an array of structs built by
     name from ``item_cols`` (sorted, so the result is deterministic).  With
     ``unique_per_period`` the input already has one row per (entity, period)
-    and no aggregation is done.  ``period_aggs`` are extra aggregates of the
-    period (e.g. an average rating band).
+    and no aggregation is done (``'check'`` verifies that first and raises
+    :class:`DuplicatePeriodRows`).  ``period_aggs`` are extra aggregates of
+    the period (e.g. an average rating band).
     """
     item = F.struct(*[F.col(c) for c in item_cols])
+    if unique_per_period == "check":
+        assert_unique_keys(raw, [*keys, period])
     if unique_per_period:
         extra = [expr.alias(name) for name, expr in (period_aggs or {}).items()]
         return raw.select(*keys, period, *attrs, F.array(item).alias(history_col), *extra)
@@ -51,6 +54,20 @@ def period_items(raw: DataFrame, *, keys: Sequence[str], period: str, item_cols:
     return raw.repartition(*keys).groupBy(*keys, period).agg(*aggs)
 
 
+class DuplicatePeriodRows(ValueError):
+    pass
+
+
+def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Raise if a key occurs twice (e.g. two rows for one player-season,
+    which would give two entity rows that multiply at the next join).
+    One aggregation; stops at the first duplicate found."""
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect()
+    if dup:
+        raise DuplicatePeriodRows(f"duplicate rows for {dict(zip(keys, dup[0][:len(keys)]))}")
+    return df
+
+
 def cumulate_step(prev: DataFrame | None, cur: DataFrame, *, keys: Sequence[str], period: str,
                   history_col: str, snapshot_col: str, attrs: Sequence[str] = (),
                   mode: str = "accumulate", latest: Sequence[str] = (),

@@ -58,19 +58,27 @@ def runs(df: DataFrame, *, keys: Sequence[str], order: str, state_cols: Sequence
 
 def scd2_backfill(hist: DataFrame, *, keys: Sequence[str], state_cols: Sequence[str], period: str,
                   as_of: int, start_col: str = "start_season", end_col: str = "end_season",
-                  snapshot_col: str = "current_season", carry: Sequence[str] = ()) -> DataFrame:
+                  snapshot_col: str = "current_season", carry: Sequence[str] = (),
+                  open_end: str = "period") -> DataFrame:
     """Type-2 rows from a table with one row per (entity, period) up to ``as_of``.
 
     ``carry``: columns constant per entity that are kept (e.g. a name when
-    keyed by id).  Output: keys, carry, state_cols, start, end, snapshot.
+    keyed by id).  ``open_end='null'`` stores NULL as the end of runs still
+    open at ``as_of`` (the textbook form); the default stores the period,
+    as the load scripts do.  Output: keys, carry, state_cols, start, end,
+    snapshot.
     """
     h = hist.where(F.col(period) <= as_of).select(*keys, *carry, *state_cols, period)
     r = runs(h, keys=keys, order=period, state_cols=state_cols)
     aggs = [F.max(c).alias(c) for c in carry]
     aggs += [F.max(s).alias(s) for s in state_cols]   # constant (null-safe) within a run
     aggs += [F.min(period).cast("int").alias(start_col), F.max(period).cast("int").alias(end_col)]
-    return (r.groupBy(*keys, "_run").agg(*aggs)
-             .select(*keys, *carry, *state_cols, start_col, end_col, F.lit(as_of).cast("int").alias(snapshot_col)))
+    out = r.groupBy(*keys, "_run").agg(*aggs)
+    if open_end == "null":
+        out = out.withColumn(end_col, F.when(F.col(end_col) < as_of, F.col(end_col)).cast("int"))
+    elif open_end != "period":
+        raise ValueError("open_end must be 'period' or 'null'")
+    return out.select(*keys, *carry, *state_cols, start_col, end_col, F.lit(as_of).cast("int").alias(snapshot_col))
 
 
 def scd2_backfill_as_written(hist: DataFrame, *, lag_key: str, sum_key: str, group_extra: Sequence[str],

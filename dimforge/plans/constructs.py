@@ -150,7 +150,8 @@ def q_fn_split(spark, sf_dir):
     gd = fx.game_details(spark, sf_dir)
     parts = F.split("min", ":")
     return gd.select("game_id", "player_id", "l_partkey", "l_suppkey", "min",
-                     F.size(parts).alias("n_parts"),
+                     # NULL stays NULL whatever the session's legacy size-of-NULL setting
+                     F.when(F.col("min").isNotNull(), F.size(parts)).alias("n_parts"),
                      F.try_element_at(parts, F.lit(1)).alias("part_1"),
                      F.try_element_at(parts, F.lit(2)).alias("part_2"))
 

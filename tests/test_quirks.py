@@ -103,3 +103,26 @@ def test_first_load_and_empty_period(spark):
     nxt = cu.cumulate_step(first, empty, keys=["player_name"], period="season", history_col="seasons",
                            snapshot_col="current_season", since_col="since").first()
     assert (nxt.is_active, nxt.since, nxt.current_season, len(nxt.seasons)) == (False, 1, 2001, 1)
+
+
+def test_scd2_open_end_null_option(spark):
+    hist = spark.createDataFrame([("a", 2000, True), ("a", 2001, False), ("a", 2002, False)],
+                                 "k string, p int, s boolean")
+    kw = dict(keys=["k"], state_cols=["s"], period="p", as_of=2002, start_col="b", end_col="e", snapshot_col="snap")
+    assert rows(scd.scd2_backfill(hist, **kw), ["s", "b", "e"]) == [(False, 2001, 2002), (True, 2000, 2000)]
+    assert rows(scd.scd2_backfill(hist, open_end="null", **kw), ["s", "b", "e"]) == \
+        sorted([(False, 2001, None), (True, 2000, 2000)], key=repr)
+
+
+def test_duplicate_period_rows_are_refused(spark):
+    ps = spark.createDataFrame([("a", 2000, 1), ("a", 2000, 2)], "player_name string, season int, gp int")
+    try:
+        cu.period_items(ps, keys=["player_name"], period="season", item_cols=["season", "gp"],
+                        history_col="seasons", unique_per_period="check")
+        raise AssertionError("duplicate (player, season) not detected")
+    except cu.DuplicatePeriodRows:
+        pass
+    # pre-aggregating instead keeps both rows as items of one period
+    agg = cu.period_items(ps, keys=["player_name"], period="season", item_cols=["season", "gp"],
+                          history_col="seasons").first()
+    assert len(agg.seasons) == 2
