@@ -15,8 +15,12 @@ from pyspark.sql import SparkSession
 
 # Settings the operators rely on.  AQE re-plans joins and coalesces small
 # shuffle partitions at run time; skew-join splits a hot partition; UTC keeps
-# date arithmetic identical to the oracle.
+# date arithmetic identical to the oracle.  Broadcasts happen only with a
+# proven size: explicitly after a row-count probe (``broadcast_if_small``) or
+# by AQE from *measured* shuffle sizes — never from a file-size estimate
+# (a small compressed file can expand far beyond the threshold).
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

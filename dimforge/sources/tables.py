@@ -24,10 +24,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, refre
     """Scan of a source table.  The (lazy) scan is kept per session and path,
     so repeated queries skip file listing and footer-based schema inference;
     ``refresh=True`` lists the files again (source tables here are
-    read-only)."""
-    key = (id(spark), table_path(sf_dir, name))
-    df = None if refresh else _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(table_path(sf_dir, name))
-        _READS[key] = df
+    read-only).  A scan made by another (e.g. stopped) session is never
+    reused."""
+    path = table_path(sf_dir, name)
+    hit = None if refresh else _READS.get(path)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        df = hit[1]
+    else:
+        df = spark.read.parquet(path)
+        _READS[path] = (spark, df)
     return df.select(*columns) if columns else df
