@@ -186,7 +186,7 @@ SEASON_FIELDS = ("season", "age", "gp", "pts", "reb", "ast")
 def players_cumulated(player_seasons: DataFrame, lo: int, hi: int, snapshots: str = "all",
                       attrs: Sequence[str] = PLAYER_ATTRS,
                       season_fields: Sequence[str] = SEASON_FIELDS) -> DataFrame:
-    """``nba_players``-shaped table: attributes, ``seasons`` array (newest
+    """Player dimension: attributes, ``seasons`` array (newest
     first), ``is_active``, ``years_since_last_active``, ``current_season``."""
     rows = period_items(player_seasons, keys=["player_name"], period="season", item_cols=season_fields,
                         history_col="seasons", attrs=attrs, unique_per_period=True)

@@ -13,7 +13,7 @@ Type 2 (one row per run of constant state with start / end period):
 * ``scd2_from_spine`` — SCD2 from raw rows over a period spine
   (activity = entity seen in that period).
 
-``compat=True`` reproduces the scripts' three-valued ``did_change`` (a NULL
+``compat=True`` reproduces the scripts' three-valued change test (a NULL
 state is neither changed nor unchanged: carried without extending its end)
 and their choice of change columns; the default compares all tracked
 columns null-safely.
@@ -133,11 +133,11 @@ def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str],
         # SQL three-valued comparison: NULL when either side is missing or NULL.
         diff = _any([p(s) != c(s) for s in change_cols])
         same = reduce(lambda a, b: a & b, [p(s) == c(s) for s in change_cols])
-        did_change = F.when(diff, F.lit(1)).when(same, F.lit(0))
+        change = F.when(diff, F.lit(1)).when(same, F.lit(0))
     else:
         both = p("_in_p").isNotNull() & c("_in_c").isNotNull()
         diff = _any([~p(s).eqNullSafe(c(s)) for s in change_cols])
-        did_change = F.when(both & diff, F.lit(1)).when(both, F.lit(0))
+        change = F.when(both & diff, F.lit(1)).when(both, F.lit(0))
 
     def row(state_src, start, end):
         fields = [F.coalesce(p(x), c(x)).alias(x) for x in carried]
@@ -151,8 +151,8 @@ def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str],
     unchanged = F.array(row(p, start, end + 1))
     changed = F.array(row(p, start, end), row(c, tt, tt))
     carry_row = F.array(row(lambda s: F.coalesce(p(s), c(s)), start, end))
-    arr = (F.when(did_change == 0, unchanged)
-            .when(did_change == 1, changed)
+    arr = (F.when(change == 0, unchanged)
+            .when(change == 1, changed)
             .otherwise(carry_row))
     key_cols = [F.coalesce(p(k), c(k)).alias(k) for k in keys]
     out = j.select(*key_cols, F.inline(arr))

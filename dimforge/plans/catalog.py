@@ -300,7 +300,7 @@ def _table_dir(spark, sf_dir, name):
 
 
 def q_publish_twice_rows(spark, sf_dir):
-    path = _table_dir(spark, sf_dir, "nba_players_scd")
+    path = _table_dir(spark, sf_dir, "players_scd2")
     for _ in range(2):
         pb.publish(q_scd2_backfill(spark, sf_dir), path, ["current_season"])
     return pb.read_partition(spark, path, "current_season", SEASON_HI) \
@@ -310,7 +310,7 @@ def q_publish_twice_rows(spark, sf_dir):
 def q_cumulate_dim_published(spark, sf_dir):
     """The incremental load as run in production: one job per season, each
     reading the stored previous snapshot (depends_on_past)."""
-    path = _table_dir(spark, sf_dir, "nba_players")
+    path = _table_dir(spark, sf_dir, "players_cumulative")
     ps = fx.player_seasons(spark, sf_dir)
 
     def step(prev, t):
@@ -333,7 +333,7 @@ def q_daily_metrics_published(spark, sf_dir):
     conformed by name to its declared schema, re-published (idempotent) and
     read back through a range filter on the ``date`` partition column."""
     from pyspark.sql.types import _parse_datatype_string
-    path = _table_dir(spark, sf_dir, "daily_web_metrics")
+    path = _table_dir(spark, sf_dir, "daily_metric_fact")
     spec = _parse_datatype_string(DAILY_SPEC)
     for _ in range(2):
         pb.publish(daily(spark, sf_dir), path, ["metric_name", "date"], spec=spec, not_null=["metric_name", "date"])

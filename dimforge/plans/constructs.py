@@ -83,13 +83,13 @@ def q_inner_join(spark, sf_dir):
 def q_lag_prev(spark, sf_dir):
     ps = fx.player_seasons(spark, sf_dir)
     w = Window.partitionBy("player_name").orderBy("season")
-    return ps.select("player_name", "season", "pts", F.lag("pts", 1).over(w).alias("points_last_season"))
+    return ps.select("player_name", "season", "pts", F.lag("pts", 1).over(w).alias("pts_prev"))
 
 
 def q_lead_next(spark, sf_dir):
     ps = fx.player_seasons(spark, sf_dir)
     w = Window.partitionBy("player_name").orderBy("season")
-    return ps.select("player_name", "season", "pts", F.lead("pts", 1).over(w).alias("points_next_season"))
+    return ps.select("player_name", "season", "pts", F.lead("pts", 1).over(w).alias("pts_next"))
 
 
 def q_running_sum_range(spark, sf_dir):

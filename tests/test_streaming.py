@@ -15,7 +15,7 @@ def test_stream_of_event_files_builds_the_datelist(spark, sf_dir, tmp_path):
     src.mkdir()
     shutil.copy(f"{sf_dir}/events.parquet", src / "part-0.parquet")
     schema = spark.read.parquet(str(src)).schema
-    table = str(tmp_path / "web_users_cumulated")
+    table = str(tmp_path / "user_datelist")
     q = start_datelist_stream(spark, str(src), schema, table, keys=["user_id"], ts_col="ts",
                               checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(600)
