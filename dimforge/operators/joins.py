@@ -1,7 +1,7 @@
 """Join helpers shared by the cumulative operators.
 
 * ``broadcast_if_small`` — broadcast a dimension only after proving its row
-  count is below a bound (a ``limit(n+1).count()`` probe reads at most n+1
+  count is below a bound (an incremental ``take(n+1)`` probe reads about n+1
   rows); beyond the bound the join is left to the planner (sort-merge, or an
   AQE runtime conversion).
 * ``full_outer`` — the prior-snapshot ⟗ new-period join of every cumulative
@@ -25,20 +25,24 @@ _SALT = "_null_salt"
 _PROBES: dict = {}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
 
-    The probe reads at most ``max_rows + 1`` rows of an empty projection (no
-    column is decoded).  Its answer is remembered for the same plan over the
-    same input files, so repeated queries in a session do not re-probe an
-    unchanged dimension."""
+    The probe is ``take(max_rows + 1)`` of an empty projection: Spark scans
+    partitions incrementally (1, then 4x more, ...) and stops as soon as it
+    has ``max_rows + 1`` rows, so a huge table costs about ``max_rows`` rows
+    of reading, never a full scan, and at most ``max_rows + 1`` one-column
+    rows reach the driver.  The answer is remembered for the same plan over
+    the same input files, so repeated queries in a session do not re-probe
+    an unchanged dimension.  Beyond the bound the join is left to the
+    planner (sort-merge, or an AQE conversion from measured sizes)."""
     try:
         key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     except Exception:  # noqa: BLE001 - plans without file inputs are probed every time
         key = None
     small = _PROBES.get(key) if key is not None else None
     if small is None:
-        small = df.select(F.lit(1).alias("_one")).limit(max_rows + 1).count() <= max_rows
+        small = len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
         if key is not None:
             _PROBES[key] = small
     return F.broadcast(df) if small else df

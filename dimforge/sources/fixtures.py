@@ -21,7 +21,8 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Orders are reduced to one row per (customer, year) *before* the join
     (Spark does not push aggregates below joins), then the customer and
-    nation attributes are joined and the groups re-merged.  The second
+    nation attributes are joined (broadcast only below a proven row count;
+    a sort-merge join on the customer key beyond it) and the groups re-merged.  The second
     aggregation runs on the join's hash partitioning (key c_custkey is part
     of the grouping), so it adds no exchange, and it keeps the result exact
     even if a customer key were duplicated.
@@ -37,7 +38,7 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.max(F.col("o_orderkey") % 15).alias("reb_max"),
                      F.min(F.col("o_orderkey") % 12).alias("ast_min")))
     joined = (per_year
-              .join(customer, per_year.o_custkey == customer.c_custkey)
+              .join(broadcast_if_small(customer, SMALL_DIM_ROWS), per_year.o_custkey == customer.c_custkey)
               .join(broadcast_if_small(nation, SMALL_DIM_ROWS), F.col("c_nationkey") == F.col("n_nationkey")))
     merged = (joined.groupBy("c_name", "c_mktsegment", "n_name", "c_custkey", "yr")
               .agg(F.sum("n").alias("n"), F.max("pts_max").alias("pts_max"),
