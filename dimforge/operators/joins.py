@@ -25,27 +25,32 @@ _SALT = "_null_salt"
 _PROBES: dict = {}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
+def bounded_count(df: DataFrame, limit: int) -> int:
+    """``min(row count, limit + 1)``.
 
-    The probe is ``take(max_rows + 1)`` of an empty projection: Spark scans
+    The probe is ``take(limit + 1)`` of an empty projection: Spark scans
     partitions incrementally (1, then 4x more, ...) and stops as soon as it
-    has ``max_rows + 1`` rows, so a huge table costs about ``max_rows`` rows
-    of reading, never a full scan, and at most ``max_rows + 1`` one-column
-    rows reach the driver.  The answer is remembered for the same plan over
-    the same input files, so repeated queries in a session do not re-probe
-    an unchanged dimension.  Beyond the bound the join is left to the
-    planner (sort-merge, or an AQE conversion from measured sizes)."""
+    has ``limit + 1`` rows, so a huge table costs about ``limit`` rows of
+    reading, never a full scan, and at most ``limit + 1`` one-column rows
+    reach the driver.  The answer is remembered for the same plan over the
+    same input files."""
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), limit)
     except Exception:  # noqa: BLE001 - plans without file inputs are probed every time
         key = None
-    small = _PROBES.get(key) if key is not None else None
-    if small is None:
-        small = len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
+    n = _PROBES.get(key) if key is not None else None
+    if n is None:
+        n = len(df.select(F.lit(1).alias("_one")).take(limit + 1))
         if key is not None:
-            _PROBES[key] = small
-    return F.broadcast(df) if small else df
+            _PROBES[key] = n
+    return n
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows
+    (proven by :func:`bounded_count`); beyond the bound the join is left to
+    the planner (sort-merge, or an AQE conversion from measured sizes)."""
+    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
 
 
 def _any_null(df: DataFrame, keys) -> Column:

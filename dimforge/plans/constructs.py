@@ -13,6 +13,7 @@ from dimforge.functions.scalars import day_of, exact_int
 from dimforge.operators import facts as fa
 from dimforge.operators import scd
 from dimforge.operators.joins import full_outer
+from dimforge.operators.windows import rank_within, running_total
 from dimforge.plans import catalog as c
 from dimforge.sources import fixtures as fx
 from dimforge.sources import spine as sp
@@ -94,16 +95,15 @@ def q_lead_next(spark, sf_dir):
 
 def q_running_sum_range(spark, sf_dir):
     """Running SUM with the default frame (RANGE ... CURRENT ROW): films of
-    the same year are peers and share the value."""
-    af = fx.actor_films(spark, sf_dir)
-    w = Window.partitionBy("actor_id").orderBy("year")
-    return af.select("actor_id", "film_id", "year", "votes", F.sum("votes").over(w).alias("running_votes"))
+    the same year are peers and share the value.  Films per actor are
+    unbounded, so a hot actor is split into range chunks."""
+    af = fx.actor_films(spark, sf_dir).select("actor_id", "film_id", "year", "votes")
+    return running_total(af, key="actor_id", order="year", value="votes", out="running_votes")
 
 
 def q_rank_per_key(spark, sf_dir):
-    af = fx.actor_films(spark, sf_dir)
-    w = Window.partitionBy("actor_id").orderBy(F.col("votes").desc())
-    return af.select("actor_id", "film_id", "votes", F.rank().over(w).alias("votes_rank"))
+    af = fx.actor_films(spark, sf_dir).select("actor_id", "film_id", "votes")
+    return rank_within(af, key="actor_id", order=[F.col("votes").desc()], out="votes_rank")
 
 
 def q_collect_rows(spark, sf_dir):

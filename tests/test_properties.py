@@ -209,3 +209,20 @@ def test_datelist_map_steps_equal_map_of_backfill(spark, sf_dir):
     want = dl.datelist_unmap(dl.datelist_map(back))
     got = dl.datelist_unmap(prev)
     assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_hot_key_windows_equal_plain_windows(spark):
+    """A key with most of the rows is split into range chunks; results equal
+    the plain window (RANGE peers and rank ties included)."""
+    from dimforge.operators.windows import rank_within, running_total
+    data = [("hot", i // 3, i % 7) for i in range(300)] + [("b", 1, 5), ("b", 1, 2), ("b", 2, 1), ("c", 9, 9)]
+    df = spark.createDataFrame(data, "k string, o int, v int")
+    want = df.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy("o")))
+    got = running_total(df, key="k", order="o", value="v", out="s", hot_rows=10, chunks=6)
+    assert rows(got, ["k", "o", "v", "s"]) == rows(want, ["k", "o", "v", "s"])
+    want_r = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc())))
+    got_r = rank_within(df, key="k", order=[F.col("v").desc()], out="r", hot_rows=10, chunks=6)
+    assert rows(got_r, ["k", "o", "v", "r"]) == rows(want_r, ["k", "o", "v", "r"])
+    # the hot key really was cut into several chunks
+    chunks = df.where("k = 'hot'").repartitionByRange(6, "k", "o").select(F.spark_partition_id()).distinct().count()
+    assert chunks > 1
