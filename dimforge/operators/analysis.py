@@ -5,10 +5,10 @@ Global rankings never move every row into one task:
 
 * ``dense_rank_topk`` keeps the k best *distinct* values (top-k per task,
   merged: bounded by k), ranks those k values and broadcasts them back.
-* ``dense_rank_all`` ranks every row: distinct values are cut into
-  balanced value ranges (approximate quantiles of the distinct values),
-  each range is ranked in its own task and shifted by the number of
-  distinct values in the ranges before it.
+* ``dense_rank_all`` ranks every row by ranking only the distinct values:
+  a proven-small set in one window, a large one cut into balanced value
+  ranges (approximate quantiles), each ranked in its own task and shifted
+  by the number of distinct values in the ranges before it.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.operators.joins import bounded_count
 
 
 def dense_rank_topk(df: DataFrame, col: str, k: int, rank_col: str = "ranking",
@@ -31,10 +32,20 @@ def dense_rank_topk(df: DataFrame, col: str, k: int, rank_col: str = "ranking",
 
 
 def dense_rank_all(df: DataFrame, col: str, rank_col: str = "ranking", descending: bool = True,
-                   ranges: int = 256) -> DataFrame:
+                   ranges: int = 256, small_values: int = 100_000) -> DataFrame:
     """DENSE_RANK over the whole table for a numeric column, without a
-    single-partition window.  NULL values get a NULL rank."""
+    single-partition window over the rows.  NULL values get a NULL rank.
+
+    Only the *distinct values* are ranked.  When a bounded probe proves there
+    are at most ``small_values`` of them, they are ranked in one small window
+    and broadcast back.  Otherwise they are cut into ``ranges`` balanced value
+    ranges (approximate quantiles), ranked per range in parallel and shifted
+    by the number of distinct values in the ranges before."""
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
+    order = F.col("_v").desc() if descending else F.col("_v").asc()
+    if bounded_count(vals, small_values) <= small_values:
+        ranks = F.broadcast(vals.withColumn(rank_col, F.dense_rank().over(Window.orderBy(order)).cast("int")))
+        return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
     probs = [i / ranges for i in range(1, ranges)]
     bounds = sorted(set(vals.approxQuantile("_v", probs, 0.001)))   # <= ranges-1 numbers
     bnd = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
@@ -43,7 +54,6 @@ def dense_rank_all(df: DataFrame, col: str, rank_col: str = "ranking", descendin
     else:
         rng = F.size(F.filter(bnd, lambda b: b < F.col("_v")))
     vals = vals.withColumn("_r", rng)
-    order = F.col("_v").desc() if descending else F.col("_v").asc()
     local = vals.withColumn("_lr", F.dense_rank().over(Window.partitionBy("_r").orderBy(order)))
     sizes = vals.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))       # <= ranges rows
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(

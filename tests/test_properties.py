@@ -187,6 +187,7 @@ def test_dense_rank_forms_match_window(spark):
     df = spark.createDataFrame(data, "id int, v double")
     want = df.withColumn("ranking", F.dense_rank().over(Window.orderBy(F.col("v").desc())).cast("int"))
     assert rows(an.dense_rank_all(df, "v", ranges=4)) == rows(want)
+    assert rows(an.dense_rank_all(df, "v", ranges=4, small_values=3)) == rows(want)   # range-split path
     assert rows(an.dense_rank_topk(df, "v", 3).select(*want.columns)) == rows(want.where("ranking <= 3"))
 
 
