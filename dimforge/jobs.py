@@ -1,4 +1,5 @@
-"""Periodic loads as jobs (``spark-submit -m dimforge.jobs <load> ...``).
+"""Periodic loads as jobs: ``python -m dimforge.jobs <load> ...``, or on a
+cluster ``spark-submit --py-files dimforge.zip dimforge/jobs.py <load> ...``.
 
 Each load reads Parquet inputs, builds one period (or, with ``--full`` /
 ``backfill``, all periods in one job) and publishes it with a dynamic

@@ -66,3 +66,12 @@ def test_fact_and_dedupe_jobs(spark, sf_dir, tmp_path):
     assert spark.read.parquet(fact).count() == c.q_fct_game_details(spark, sf_dir).count()
     jobs.dedupe(spark, d, dd, c.DEDUPE_KEYS, list(c.DEDUPE_ORDER_COLS))
     assert rows(spark.read.parquet(dd)) == rows(c.q_dedupe_first(spark, sf_dir))
+
+
+def test_command_line_entry(spark, sf_dir, tmp_path):
+    g, d = str(tmp_path / "games"), str(tmp_path / "details")
+    fx.games(spark, sf_dir).write.parquet(g)
+    fx.game_details(spark, sf_dir).write.parquet(d)
+    out = str(tmp_path / "fct")
+    jobs.main(["game-fact", "--games", g, "--details", d, "--table", out])
+    assert spark.read.parquet(out).count() == spark.read.parquet(d).count()
