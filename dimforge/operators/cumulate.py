@@ -72,7 +72,7 @@ def cumulate_step(prev: DataFrame | None, cur: DataFrame, *, keys: Sequence[str]
                   history_col: str, snapshot_col: str, attrs: Sequence[str] = (),
                   mode: str = "accumulate", latest: Sequence[str] = (),
                   current: Mapping[str, object] | None = None, active_col: str = "is_active",
-                  since_col: str | None = None, spread_null_keys: bool = True) -> DataFrame:
+                  since_col: str | None = None) -> DataFrame:
     """One period of a cumulative dimension.
 
     ``prev``: snapshot t-1 (or ``None`` for the first load); ``cur``: period
@@ -93,31 +93,26 @@ def cumulate_step(prev: DataFrame | None, cur: DataFrame, *, keys: Sequence[str]
         cols.append(F.col(period).alias(snapshot_col))
         return cur.select(*cols)
 
-    j = full_outer(prev, cur, keys, spread_null_keys)
-
-    def p(c):
-        return F.col(f"p.{c}")
-
-    def c(x):
-        return F.col(f"c.{x}")
+    def project(p, c):
+        present = c(period).isNotNull()
+        if mode == "accumulate":
+            hist = (F.when(~present, p(history_col))
+                    .when(p(history_col).isNull(), c(history_col))
+                    .otherwise(F.concat(c(history_col), p(history_col))))
+        else:
+            hist = F.coalesce(c(history_col), p(history_col))
+        cols = [F.coalesce(p(k), c(k)).alias(k) for k in keys]
+        cols += [F.coalesce(p(a), c(a)).alias(a) for a in attrs]
+        cols.append(hist.alias(history_col))
+        cols += [F.coalesce(c(x), p(x)).alias(x) for x in latest]
+        cols += [F.when(present, c(n)).otherwise(F.lit(d)).alias(n) for n, d in current.items()]
+        cols.append(present.alias(active_col))
+        if since_col:
+            cols.append(F.when(present, F.lit(0)).otherwise(p(since_col) + 1).alias(since_col))
+        cols.append(F.coalesce(c(period), p(snapshot_col) + 1).alias(snapshot_col))
+        return cols
 
-    present = c(period).isNotNull()
-    if mode == "accumulate":
-        hist = (F.when(~present, p(history_col))
-                .when(p(history_col).isNull(), c(history_col))
-                .otherwise(F.concat(c(history_col), p(history_col))))
-    else:
-        hist = F.coalesce(c(history_col), p(history_col))
-    cols = [F.coalesce(p(k), c(k)).alias(k) for k in keys]
-    cols += [F.coalesce(p(a), c(a)).alias(a) for a in attrs]
-    cols.append(hist.alias(history_col))
-    cols += [F.coalesce(c(x), p(x)).alias(x) for x in latest]
-    cols += [F.when(present, c(n)).otherwise(F.lit(d)).alias(n) for n, d in current.items()]
-    cols.append(present.alias(active_col))
-    if since_col:
-        cols.append(F.when(present, F.lit(0)).otherwise(p(since_col) + 1).alias(since_col))
-    cols.append(F.coalesce(c(period), p(snapshot_col) + 1).alias(snapshot_col))
-    return j.select(*cols)
+    return full_outer(prev, cur, keys, project)
 
 
 def cumulate_backfill(rows: DataFrame, *, keys: Sequence[str], period: str, history_col: str,

@@ -45,20 +45,19 @@ def active_days(events: DataFrame, *, keys: Sequence[str], ts_col: str, lo, hi)
 
 
 def datelist_step(prev: DataFrame | None, events: DataFrame, *, keys: Sequence[str], ts_col: str, day,
-                  dates_col: str = "dates_active", snapshot_col: str = "curr_date",
-                  spread_null_keys: bool = True) -> DataFrame:
+                  dates_col: str = "dates_active", snapshot_col: str = "curr_date") -> DataFrame:
     """Snapshot of ``day`` from the snapshot of the day before."""
     d = _date(day)
     today = (events.where(day_of(ts_col) == d).select(*keys).distinct()
                    .withColumn("event_date", d))
     if prev is None:
         return today.select(*keys, F.array("event_date").alias(dates_col), d.alias(snapshot_col))
-    j = full_outer(prev.select(*keys, dates_col), today, keys, spread_null_keys)
-    y, t = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"c.{c}"))
-    dates = (F.when(y(dates_col).isNotNull(), F.concat(F.array(t("event_date")), y(dates_col)))
-              .otherwise(F.array(t("event_date"))))
-    return j.select(*[F.coalesce(y(k), t(k)).alias(k) for k in keys], dates.alias(dates_col),
-                    d.alias(snapshot_col))
+    def project(y, t):
+        dates = (F.when(y(dates_col).isNotNull(), F.concat(F.array(t("event_date")), y(dates_col)))
+                  .otherwise(F.array(t("event_date"))))
+        return [*[F.coalesce(y(k), t(k)).alias(k) for k in keys], dates.alias(dates_col), d.alias(snapshot_col)]
+
+    return full_outer(prev.select(*keys, dates_col), today, keys, project)
 
 
 def pad_days(desc_days: Column, as_of: Column) -> Column:

@@ -158,17 +158,20 @@ def monthly_array_step(prev: DataFrame | None, daily: DataFrame, *, day, month_s
     if prev is None:
         prev = today.sparkSession.createDataFrame(
             [], "user_id bigint, metric_name string, metric_array array<bigint>, month_start string")
-    j = full_outer(prev.where(F.col("month_start") == F.date_format(ms, "yyyy-MM-dd"))
-                       .select("user_id", "metric_name", "metric_array"), today, keys)
-    y, t = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"c.{c}"))
-    if as_written:
-        arr = F.array(t("metric_value"))
-    else:
-        val = F.array(F.coalesce(t("metric_value"), F.lit(0).cast("bigint")))
-        lead = F.array_repeat(F.lit(0).cast("bigint"), F.datediff(d, ms))
-        arr = F.when(y("metric_array").isNull(), F.concat(lead, val)).otherwise(F.concat(y("metric_array"), val))
-    return j.select(*[F.coalesce(t(k), y(k)).alias(k) for k in keys], arr.alias("metric_array"),
-                    F.date_format(ms, "yyyy-MM-dd").alias("month_start"))
+    prev = prev.where(F.col("month_start") == F.date_format(ms, "yyyy-MM-dd")) \
+               .select("user_id", "metric_name", "metric_array")
+
+    def project(y, t):
+        if as_written:
+            arr = F.array(t("metric_value"))
+        else:
+            val = F.array(F.coalesce(t("metric_value"), F.lit(0).cast("bigint")))
+            lead = F.array_repeat(F.lit(0).cast("bigint"), F.datediff(d, ms))
+            arr = F.when(y("metric_array").isNull(), F.concat(lead, val)).otherwise(F.concat(y("metric_array"), val))
+        return [*[F.coalesce(t(k), y(k)).alias(k) for k in keys], arr.alias("metric_array"),
+                F.date_format(ms, "yyyy-MM-dd").alias("month_start")]
+
+    return full_outer(prev, today, keys, project)
 
 
 def monthly_array_backfill(daily: DataFrame, *, month_start, through) -> DataFrame:

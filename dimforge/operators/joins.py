@@ -5,10 +5,8 @@
   rows); beyond the bound the join is left to the planner (sort-merge, or an
   AQE runtime conversion).
 * ``full_outer`` — the prior-snapshot ⟗ new-period join of every cumulative
-  step.  Rows whose key is NULL never match (plain ``=``, as in SQL), but
-  hash partitioning would send all of them to one task; a deterministic salt
-  that is non-zero only on NULL-key rows spreads them without changing the
-  result.
+  step.  Rows whose key is NULL never match (plain ``=``, as in SQL); they
+  bypass the join (padded with NULLs) instead of all hashing to one task.
 """
 
 from __future__ import annotations
@@ -18,8 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SALT_BUCKETS = 64
-_SALT = "_null_salt"
 
 
 _PROBES: dict = {}
@@ -57,27 +53,31 @@ def _any_null(df: DataFrame, keys) -> Column:
     return reduce(lambda a, b: a | b, [df[k].isNull() for k in keys])
 
 
-def _with_null_salt(df: DataFrame, keys) -> DataFrame:
-    # Deterministic (content hash, not rand()) so a recomputed task after an
-    # executor loss routes every row to the same partition again.
-    salt = F.when(_any_null(df, keys),
-                  F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(NULL_SALT_BUCKETS)) + 1
-                  ).otherwise(F.lit(0))
-    return df.withColumn(_SALT, salt.cast("int"))
+def _all_set(df: DataFrame, keys) -> Column:
+    return reduce(lambda a, b: a & b, [df[k].isNotNull() for k in keys])
 
 
-def full_outer(prev: DataFrame, cur: DataFrame, keys, spread_null_keys: bool = True,
-               extra_cond: Column | None = None) -> DataFrame:
-    """``prev AS p FULL OUTER JOIN cur AS c ON p.k = c.k [AND extra_cond]``.
+def full_outer(prev: DataFrame, cur: DataFrame, keys, project) -> DataFrame:
+    """``prev FULL OUTER JOIN cur ON prev.k = cur.k``, projected by
+    ``project(p, c)`` where ``p(name)`` / ``c(name)`` return a side's column
+    (NULL when the row has no partner on that side).
 
-    The result keeps both sides' columns under the aliases ``p`` and ``c``.
+    Rows whose key is NULL never match (SQL ``=``).  They are split off
+    before the join and padded with typed NULLs instead of being hashed to
+    one partition, so the join shuffles on the plain keys only — an existing
+    hash or bucket partitioning of either side on those keys is reused — and
+    a NULL-heavy input cannot create a hot partition.  (For Parquet inputs
+    the ``IS NULL`` branch is mostly skipped by row-group statistics.)
     """
-    if spread_null_keys:
-        prev, cur = _with_null_salt(prev, keys), _with_null_salt(cur, keys)
-    p, c = prev.alias("p"), cur.alias("c")
-    cond = [F.col(f"p.{k}") == F.col(f"c.{k}") for k in keys]
-    if spread_null_keys:
-        cond.append(F.col(f"p.{_SALT}") == F.col(f"c.{_SALT}"))
-    if extra_cond is not None:
-        cond.append(extra_cond)
-    return p.join(c, reduce(lambda a, b: a & b, cond), "full_outer")
+    ptypes = {f.name: f.dataType for f in prev.schema.fields}
+    ctypes = {f.name: f.dataType for f in cur.schema.fields}
+    p_ok, c_ok = prev.where(_all_set(prev, keys)), cur.where(_all_set(cur, keys))
+    pa, ca = p_ok.alias("p"), c_ok.alias("c")
+    cond = reduce(lambda a, b: a & b, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in keys])
+    matched = pa.join(ca, cond, "full_outer").select(
+        *project(lambda x: F.col(f"p.{x}"), lambda x: F.col(f"c.{x}")))
+    only_p = prev.where(_any_null(prev, keys)).select(
+        *project(lambda x: F.col(x), lambda x: F.lit(None).cast(ctypes[x])))
+    only_c = cur.where(_any_null(cur, keys)).select(
+        *project(lambda x: F.lit(None).cast(ptypes[x]), lambda x: F.col(x)))
+    return matched.unionByName(only_p).unionByName(only_c)

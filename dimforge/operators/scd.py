@@ -103,8 +103,7 @@ def scd2_backfill_as_written(hist: DataFrame, *, lag_key: str, sum_key: str, gro
 def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str], state_cols: Sequence[str],
                    t: int, period: str, start_col: str = "start_season", end_col: str = "end_season",
                    snapshot_col: str = "current_season", change_cols: Sequence[str] | None = None,
-                   carried: Sequence[str] = (), compat: bool = False,
-                   spread_null_keys: bool = True) -> DataFrame:
+                   carried: Sequence[str] = (), compat: bool = False) -> DataFrame:
     """Snapshot ``t`` of a type-2 table from snapshot ``t-1`` and period ``t``.
 
     ``prev_scd``: rows of snapshot t-1 (keys, carried, state_cols, start, end).
@@ -121,41 +120,35 @@ def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str],
     closed = prev_scd.where(F.col(end_col) < t - 1)   # cannot match ``end + 1 = t``
     cur_t = cur.where(F.col(period) == t).select(*keys, *carried, *state_cols).withColumn("_in_c", F.lit(True))
 
-    j = full_outer(open_rows, cur_t, keys, spread_null_keys)
-
-    def p(c):
-        return F.col(f"p.{c}")
-
-    def c(x):
-        return F.col(f"c.{x}")
-
-    if compat:
-        # SQL three-valued comparison: NULL when either side is missing or NULL.
-        diff = _any([p(s) != c(s) for s in change_cols])
-        same = reduce(lambda a, b: a & b, [p(s) == c(s) for s in change_cols])
-        change = F.when(diff, F.lit(1)).when(same, F.lit(0))
-    else:
-        both = p("_in_p").isNotNull() & c("_in_c").isNotNull()
-        diff = _any([~p(s).eqNullSafe(c(s)) for s in change_cols])
-        change = F.when(both & diff, F.lit(1)).when(both, F.lit(0))
-
-    def row(state_src, start, end):
-        fields = [F.coalesce(p(x), c(x)).alias(x) for x in carried]
-        fields += [state_src(s).alias(s) for s in state_cols]
-        fields += [start.cast("int").alias(start_col), end.cast("int").alias(end_col)]
-        return F.struct(*fields)
-
-    tt = F.lit(t)
-    start = F.coalesce(p(start_col), tt)
-    end = F.coalesce(p(end_col), tt)
-    unchanged = F.array(row(p, start, end + 1))
-    changed = F.array(row(p, start, end), row(c, tt, tt))
-    carry_row = F.array(row(lambda s: F.coalesce(p(s), c(s)), start, end))
-    arr = (F.when(change == 0, unchanged)
-            .when(change == 1, changed)
-            .otherwise(carry_row))
-    key_cols = [F.coalesce(p(k), c(k)).alias(k) for k in keys]
-    out = j.select(*key_cols, F.inline(arr))
+    def project(p, c):
+        if compat:
+            # SQL three-valued comparison: NULL when either side is missing or NULL.
+            diff = _any([p(s) != c(s) for s in change_cols])
+            same = reduce(lambda a, b: a & b, [p(s) == c(s) for s in change_cols])
+            change = F.when(diff, F.lit(1)).when(same, F.lit(0))
+        else:
+            both = p("_in_p").isNotNull() & c("_in_c").isNotNull()
+            diff = _any([~p(s).eqNullSafe(c(s)) for s in change_cols])
+            change = F.when(both & diff, F.lit(1)).when(both, F.lit(0))
+
+        def row(state_src, start, end):
+            fields = [F.coalesce(p(x), c(x)).alias(x) for x in carried]
+            fields += [state_src(s).alias(s) for s in state_cols]
+            fields += [start.cast("int").alias(start_col), end.cast("int").alias(end_col)]
+            return F.struct(*fields)
+
+        tt = F.lit(t)
+        start = F.coalesce(p(start_col), tt)
+        end = F.coalesce(p(end_col), tt)
+        unchanged = F.array(row(p, start, end + 1))
+        changed = F.array(row(p, start, end), row(c, tt, tt))
+        carry_row = F.array(row(lambda s: F.coalesce(p(s), c(s)), start, end))
+        arr = (F.when(change == 0, unchanged)
+                .when(change == 1, changed)
+                .otherwise(carry_row))
+        return [*[F.coalesce(p(k), c(k)).alias(k) for k in keys], F.inline(arr)]
+
+    out = full_outer(open_rows, cur_t, keys, project)
     out = out.select(*keys, *carried, *state_cols, start_col, end_col)
     return (out.unionByName(closed)
                .withColumn(snapshot_col, F.lit(t).cast("int")))

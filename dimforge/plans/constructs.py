@@ -45,9 +45,9 @@ def q_full_outer_one_key(spark, sf_dir):
     ps = fx.player_seasons(spark, sf_dir).select("player_name", "season", "pts")
     a = ps.where(F.col("season") == 2000)
     b = ps.where(F.col("season") == 2001)
-    j = full_outer(a, b, ["player_name"])
-    return j.select(F.coalesce("p.player_name", "c.player_name").alias("player_name"),
-                    F.col("p.pts").alias("pts_2000"), F.col("c.pts").alias("pts_2001"))
+    return full_outer(a, b, ["player_name"], lambda p, c: [
+        F.coalesce(p("player_name"), c("player_name")).alias("player_name"),
+        p("pts").alias("pts_2000"), c("pts").alias("pts_2001")])
 
 
 def q_full_outer_computed_key(spark, sf_dir):
@@ -68,10 +68,10 @@ def q_full_outer_two_keys(spark, sf_dir):
     d = c.daily(spark, sf_dir)
     a = d.where(F.col("date") == F.lit("2024-01-29").cast("date")).select("user_id", "metric_name", "metric_value")
     b = d.where(F.col("date") == F.lit("2024-01-30").cast("date")).select("user_id", "metric_name", "metric_value")
-    j = full_outer(a, b, ["user_id", "metric_name"])
-    return j.select(F.coalesce("p.user_id", "c.user_id").alias("user_id"),
-                    F.coalesce("p.metric_name", "c.metric_name").alias("metric_name"),
-                    F.col("p.metric_value").alias("value_d1"), F.col("c.metric_value").alias("value_d2"))
+    return full_outer(a, b, ["user_id", "metric_name"], lambda p, c: [
+        F.coalesce(p("user_id"), c("user_id")).alias("user_id"),
+        F.coalesce(p("metric_name"), c("metric_name")).alias("metric_name"),
+        p("metric_value").alias("value_d1"), c("metric_value").alias("value_d2")])
 
 
 def q_inner_join(spark, sf_dir):

@@ -195,7 +195,7 @@ def test_full_outer_null_keys_never_match(spark):
     from dimforge.operators.joins import full_outer
     a = spark.createDataFrame([(None, 1), (1, 2), (None, 3)], "k int, a int")
     b = spark.createDataFrame([(None, 10), (1, 20)], "k int, b int")
-    j = full_outer(a, b, ["k"]).select(F.col("p.a"), F.col("c.b"))
+    j = full_outer(a, b, ["k"], lambda p, c: [p("a").alias("a"), c("b").alias("b")])
     assert rows(j) == sorted([(1, None), (3, None), (2, 20), (None, 10)], key=repr)
 
 
