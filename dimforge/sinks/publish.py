@@ -76,6 +76,43 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str], spec: T.Struc
        .parquet(path))
 
 
+def publish_table(df: DataFrame, name: str, partition_by: Sequence[str],
+                  bucket_by: tuple[int, Sequence[str]] | None = None, spec: T.StructType | None = None,
+                  not_null: Sequence[str] = ()) -> None:
+    """Publish into a catalog table, replacing only the partitions present.
+
+    With ``bucket_by=(n, keys)`` the table is bucketed on the entity key: the
+    next incremental load joins its previous snapshot (the largest input)
+    without shuffling it — only the new period is shuffled into the ``n``
+    buckets (choose ``n`` >= ``spark.sql.shuffle.partitions``).  Later loads
+    insert by name into the existing layout."""
+    spark = df.sparkSession
+    if spec is not None:
+        df = conform(df, spec)
+    check_not_null(df, not_null)
+    if not spark.catalog.tableExists(name):
+        w = df.write.format("parquet").mode("overwrite").partitionBy(*partition_by)
+        if bucket_by:
+            w = w.bucketBy(bucket_by[0], *bucket_by[1])
+        w.saveAsTable(name)
+        return
+    cols = spark.table(name).columns                     # insertInto is positional: order by name first
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing for table {name}: {missing}")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.select(*cols).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def read_table_partition(spark: SparkSession, name: str, column: str, value) -> DataFrame:
+    """One partition of a catalog table (bucketing, if any, is kept)."""
+    return spark.table(name).where(F.col(column) == F.lit(value))
+
+
 def read_partition(spark: SparkSession, path: str, column: str, value) -> DataFrame:
     """One partition of a published table (a partition filter: only that
     folder is listed and read)."""

@@ -12,8 +12,9 @@ SMALL_SF = os.environ.get("DIMFORGE_TEST_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session("local[4]", 8)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
