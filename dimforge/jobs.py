@@ -6,14 +6,16 @@ Each load reads Parquet inputs, builds one period (or, with ``--full`` /
 partition overwrite, so re-running a period replaces it.  Incremental loads
 read the stored previous partition and refuse to run when it is missing
 (depends-on-past).  Target columns are matched by name to an existing
-table's schema.
+table's schema.  With ``--buckets N`` the cumulative loads write a catalog
+table (``--table`` is its name) bucketed by the entity key, so each next
+load joins the stored snapshot without shuffling it.
 
-    players-cumulate  --seasons S --table T --period 1996 [--first]
+    players-cumulate  --seasons S --table T --period 1996 [--first] [--buckets N]
     players-backfill  --seasons S --table T --lo 1995 --hi 2001
     players-scd2      --cumulated C --table T --period 2002 [--full]
-    actors-cumulate   --films F --table T --period 2000 [--first] [--mode replace|accumulate]
+    actors-cumulate   --films F --table T --period 2000 [--first] [--mode replace|accumulate] [--buckets N]
     actors-scd2       --actors A --table T --period 2006 [--full]
-    datelist          --events E --table T --day 2023-01-02 [--first] [--devices D]
+    datelist          --events E --table T --day 2023-01-02 [--first] [--devices D] [--buckets N]
     daily-metric      --events E --table T [--day 2023-08-01]
     monthly-array     --daily D --table T --day 2023-08-02 --month-start 2023-08-01
     game-fact         --games G --details D --table T
@@ -35,7 +37,8 @@ from dimforge.operators import facts as fa
 from dimforge.operators import scd
 from dimforge.operators.joins import broadcast_if_small
 from dimforge.session import DEFAULT_CONF
-from dimforge.sinks.publish import conform, publish, read_partition, require_previous
+from dimforge.sinks.publish import (MissingPartition, conform, publish, publish_table, read_partition,
+                                    read_table_partition, require_previous)
 
 # The full attribute / season-row column lists of the player
 # table; only those present in the input are used.
@@ -59,11 +62,25 @@ def _publish(spark: SparkSession, df: DataFrame, table: str, partition_by) -> No
     publish(df, table, partition_by)
 
 
-def _prev(spark, table, column, value):
+def _prev(spark, table, column, value, buckets=None):
+    if buckets:
+        if not spark.catalog.tableExists(table) or \
+                read_table_partition(spark, table, column, value).limit(1).count() == 0:
+            raise MissingPartition(f"{table}: partition {column}={value} is missing")
+        return read_table_partition(spark, table, column, value)
     require_previous(spark, table, column, value)
     return read_partition(spark, table, column, value)
 
 
+def _store(spark, df, table, partition_by, buckets=None, bucket_key=None):
+    """Path table, or (with ``buckets``) a catalog table bucketed by the
+    entity key so the next load joins it without a shuffle."""
+    if buckets:
+        publish_table(df, table, partition_by, bucket_by=(buckets, bucket_key))
+    else:
+        _publish(spark, df, table, partition_by)
+
+
 # --- players -------------------------------------------------------------------
 
 def _player_rows(seasons: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -74,13 +91,13 @@ def _player_rows(seasons: DataFrame) -> tuple[DataFrame, list[str]]:
     return rows, attrs
 
 
-def players_cumulate(spark, seasons_path, table, period, first=False):
+def players_cumulate(spark, seasons_path, table, period, first=False, buckets=None):
     seasons = spark.read.parquet(seasons_path).where(F.col("season") == period)
     rows, attrs = _player_rows(seasons)
-    prev = None if first else _prev(spark, table, "current_season", period - 1)
+    prev = None if first else _prev(spark, table, "current_season", period - 1, buckets)
     out = cu.cumulate_step(prev, rows, keys=["player_name"], period="season", history_col="seasons",
                            snapshot_col="current_season", attrs=attrs, since_col="years_since_last_active")
-    _publish(spark, out, table, ["current_season"])
+    _store(spark, out, table, ["current_season"], buckets, ["player_name"])
 
 
 def players_backfill(spark, seasons_path, table, lo, hi):
@@ -107,14 +124,14 @@ def players_scd2(spark, cumulated_path, table, period, full=False):
 ACTOR_SCD = dict(period="current_year", start_col="start_date", end_col="end_date", snapshot_col="current_year")
 
 
-def actors_cumulate(spark, films_path, table, period, first=False, mode="replace"):
+def actors_cumulate(spark, films_path, table, period, first=False, mode="replace", buckets=None):
     films = spark.read.parquet(films_path).where(F.col("year") == period)
     rows = cu.actor_period_rows(films)
-    prev = None if first else _prev(spark, table, "current_year", period - 1)
+    prev = None if first else _prev(spark, table, "current_year", period - 1, buckets)
     kw = {"latest": ["quality_class"]} if mode == "replace" else {"current": {"quality_class": "bad"}}
     out = cu.cumulate_step(prev, rows, keys=["actor_id"], period="year", history_col="films",
                            snapshot_col="current_year", attrs=["actor"], mode=mode, **kw)
-    _publish(spark, out, table, ["current_year"])
+    _store(spark, out, table, ["current_year"], buckets, ["actor_id"])
 
 
 def actors_scd2(spark, actors_path, table, period, full=False):
@@ -130,7 +147,7 @@ def actors_scd2(spark, actors_path, table, period, full=False):
 
 # --- activity ------------------------------------------------------------------
 
-def datelist(spark, events_path, table, day, first=False, devices_path=None):
+def datelist(spark, events_path, table, day, first=False, devices_path=None, buckets=None):
     events = spark.read.parquet(events_path)
     keys = ["user_id"]
     if devices_path:
@@ -138,9 +155,9 @@ def datelist(spark, events_path, table, day, first=False, devices_path=None):
         events = events.join(broadcast_if_small(devices), "device_id")
         keys = ["user_id", "browser_type"]
     d = dt.date.fromisoformat(day)
-    prev = None if first else _prev(spark, table, "curr_date", d - dt.timedelta(days=1))
+    prev = None if first else _prev(spark, table, "curr_date", d - dt.timedelta(days=1), buckets)
     out = dl.datelist_step(prev, events, keys=keys, ts_col="event_time", day=day)
-    _publish(spark, out, table, ["curr_date"])
+    _store(spark, out, table, ["curr_date"], buckets, keys)
 
 
 def daily_metric(spark, events_path, table, day=None):
@@ -172,6 +189,10 @@ def dedupe(spark, input_path, table, keys, order, partition_by=None):
         out.write.mode("overwrite").parquet(table)
 
 
+def _int(v):
+    return int(v) if v else None
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="dimforge.jobs", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -190,12 +211,12 @@ def main(argv=None) -> None:
                 p.add_argument(f"--{o}", required=True)
         return p
 
-    add("players-cumulate", "seasons", "table", "period#", "?first")
+    add("players-cumulate", "seasons", "table", "period#", "?first", "buckets=")
     add("players-backfill", "seasons", "table", "lo#", "hi#")
     add("players-scd2", "cumulated", "table", "period#", "?full")
-    add("actors-cumulate", "films", "table", "period#", "?first", "mode=")
+    add("actors-cumulate", "films", "table", "period#", "?first", "mode=", "buckets=")
     add("actors-scd2", "actors", "table", "period#", "?full")
-    add("datelist", "events", "table", "day", "?first", "devices=")
+    add("datelist", "events", "table", "day", "?first", "devices=", "buckets=")
     add("daily-metric", "events", "table", "day=")
     add("monthly-array", "daily", "table", "day", "month-start")
     add("game-fact", "games", "details", "table")
@@ -209,17 +230,17 @@ def main(argv=None) -> None:
         if k not in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             spark.conf.set(k, v)
     if a.load == "players-cumulate":
-        players_cumulate(spark, a.seasons, a.table, a.period, a.first)
+        players_cumulate(spark, a.seasons, a.table, a.period, a.first, _int(a.buckets))
     elif a.load == "players-backfill":
         players_backfill(spark, a.seasons, a.table, a.lo, a.hi)
     elif a.load == "players-scd2":
         players_scd2(spark, a.cumulated, a.table, a.period, a.full)
     elif a.load == "actors-cumulate":
-        actors_cumulate(spark, a.films, a.table, a.period, a.first, a.mode or "replace")
+        actors_cumulate(spark, a.films, a.table, a.period, a.first, a.mode or "replace", _int(a.buckets))
     elif a.load == "actors-scd2":
         actors_scd2(spark, a.actors, a.table, a.period, a.full)
     elif a.load == "datelist":
-        datelist(spark, a.events, a.table, a.day, a.first, a.devices)
+        datelist(spark, a.events, a.table, a.day, a.first, a.devices, _int(a.buckets))
     elif a.load == "daily-metric":
         daily_metric(spark, a.events, a.table, a.day)
     elif a.load == "monthly-array":

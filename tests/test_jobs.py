@@ -75,3 +75,17 @@ def test_command_line_entry(spark, sf_dir, tmp_path):
     out = str(tmp_path / "fct")
     jobs.main(["game-fact", "--games", g, "--details", d, "--table", out])
     assert spark.read.parquet(out).count() == spark.read.parquet(d).count()
+
+
+def test_bucketed_cumulative_job(spark, sf_dir, tmp_path):
+    import uuid
+    seasons = str(tmp_path / "player_seasons")
+    fx.player_seasons(spark, sf_dir).write.parquet(seasons)
+    name = f"players_job_{uuid.uuid4().hex[:8]}"
+    for t in range(1995, 1999):
+        jobs.main(["players-cumulate", "--seasons", seasons, "--table", name, "--period", str(t),
+                   "--buckets", "8"] + (["--first"] if t == 1995 else []))
+    want = cu.players_cumulated(spark.read.parquet(seasons), 1995, 1998, snapshots="last")
+    got = spark.table(name).where("current_season = 1998")
+    assert rows(got, want.columns) == rows(want)
+    spark.sql(f"DROP TABLE {name}")
