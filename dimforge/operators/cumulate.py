@@ -79,6 +79,10 @@ def cumulate_step(prev: DataFrame | None, cur: DataFrame, *, keys: Sequence[str]
     rows of t from :func:`period_items`.  ``latest`` columns take the new
     value when present, else the old one; ``current`` columns take the new
     value or, when the entity is absent, the given default.
+
+    ``prev`` should be a stored partition (or a ``checkpoint()``): the step
+    reads it more than once, so chaining steps in memory grows the plan
+    with every period.  ``sinks.publish.load_periods`` does exactly that.
     """
     if mode not in ("accumulate", "replace"):
         raise ValueError(f"mode must be 'accumulate' or 'replace', not {mode!r}")

@@ -46,7 +46,11 @@ def active_days(events: DataFrame, *, keys: Sequence[str], ts_col: str, lo, hi)
 
 def datelist_step(prev: DataFrame | None, events: DataFrame, *, keys: Sequence[str], ts_col: str, day,
                   dates_col: str = "dates_active", snapshot_col: str = "curr_date") -> DataFrame:
-    """Snapshot of ``day`` from the snapshot of the day before."""
+    """Snapshot of ``day`` from the snapshot of the day before.
+
+    ``prev`` should be a stored partition (or a ``checkpoint()``): the step
+    reads it more than once, so chaining steps in memory grows the plan
+    with every day."""
     d = _date(day)
     today = (events.where(day_of(ts_col) == d).select(*keys).distinct()
                    .withColumn("event_date", d))

@@ -113,6 +113,10 @@ def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str],
 
     Unchanged open run -> end extended to t; changed -> old run kept, new run
     (t, t); entity only in one side -> carried as is / opened at t.
+
+    ``prev`` should be a stored partition (or a ``checkpoint()``): the step
+    reads it more than once, so chaining steps in memory grows the plan
+    with every period.  ``sinks.publish.load_periods`` does exactly that.
     """
     change_cols = list(change_cols or state_cols)
     prev_scd = prev_scd.select(*keys, *carried, *state_cols, start_col, end_col)

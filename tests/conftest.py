@@ -14,7 +14,7 @@ SMALL_SF = os.environ.get("DIMFORGE_TEST_SF", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": warehouse})
+    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "6g"})
     yield s
     s.stop()
 

@@ -49,7 +49,7 @@ def test_scd2_increments_equal_backfill(spark, sf_dir):
                              as_of=1997)
     for t in range(1998, c.SEASON_HI + 1):
         snap = scd.scd2_increment(snap, hist, keys=["player_name"], state_cols=["is_active"], t=t,
-                                  period="current_season").cache()
+                                  period="current_season").checkpoint()
     full = scd.scd2_backfill(hist, keys=["player_name"], state_cols=["is_active"], period="current_season",
                              as_of=c.SEASON_HI)
     assert rows(snap) == rows(full.select(*snap.columns))
@@ -60,7 +60,7 @@ def test_two_attribute_increments_equal_backfill(spark, sf_dir):
     kw = dict(keys=["actor_id"], state_cols=["quality_class", "is_active"], **c.ACTOR_SCD)
     snap = scd.scd2_backfill(hist, carry=["actor"], as_of=1998, **kw)
     for t in range(1999, c.SEASON_HI + 1):
-        snap = scd.scd2_increment(snap, hist, carried=["actor"], t=t, **kw).cache()
+        snap = scd.scd2_increment(snap, hist, carried=["actor"], t=t, **kw).checkpoint()
     full = scd.scd2_backfill(hist, carry=["actor"], as_of=c.SEASON_HI, **kw)
     assert rows(snap) == rows(full.select(*snap.columns))
 
