@@ -16,6 +16,7 @@ load joins the stored snapshot without shuffling it.
     actors-cumulate   --films F --table T --period 2000 [--first] [--mode replace|accumulate] [--buckets N]
     actors-scd2       --actors A --table T --period 2006 [--full]
     datelist          --events E --table T --day 2023-01-02 [--first] [--devices D] [--buckets N]
+    datelist-bits     --datelist D --table T --day 2023-01-07 [--lo 2023-01-01] [--buckets N]
     daily-metric      --events E --table T [--day 2023-08-01]
     monthly-array     --daily D --table T --day 2023-08-02 --month-start 2023-08-01
     game-fact         --games G --details D --table T
@@ -160,6 +161,17 @@ def datelist(spark, events_path, table, day, first=False, devices_path=None, buc
     _store(spark, out, table, ["curr_date"], buckets, keys)
 
 
+def datelist_bits(spark, datelist_table, table, day, lo=None, buckets=None):
+    """Bit history (last 31 days, bit 30 = ``day``) of the datelist snapshot
+    of ``day``, written as one partition per snapshot day."""
+    d = dt.date.fromisoformat(day)
+    lo = lo or (d - dt.timedelta(days=30)).isoformat()
+    snap = _prev(spark, datelist_table, "curr_date", d, buckets)
+    keys = [c for c in ("user_id", "browser_type") if c in snap.columns]
+    out = dl.datelist_bits(snap, keys=keys, lo=lo, hi=day).withColumn("curr_date", F.lit(d))
+    _publish(spark, out, table, ["curr_date"])
+
+
 def daily_metric(spark, events_path, table, day=None):
     out = fa.daily_metric(spark.read.parquet(events_path), user_col="user_id", ts_col="event_time",
                           name="visited_home_page", cond=F.col("url") == "/", day_lo=day, day_hi=day)
@@ -217,6 +229,7 @@ def main(argv=None) -> None:
     add("actors-cumulate", "films", "table", "period#", "?first", "mode=", "buckets=")
     add("actors-scd2", "actors", "table", "period#", "?full")
     add("datelist", "events", "table", "day", "?first", "devices=", "buckets=")
+    add("datelist-bits", "datelist", "table", "day", "lo=", "buckets=")
     add("daily-metric", "events", "table", "day=")
     add("monthly-array", "daily", "table", "day", "month-start")
     add("game-fact", "games", "details", "table")
@@ -241,6 +254,8 @@ def main(argv=None) -> None:
         actors_scd2(spark, a.actors, a.table, a.period, a.full)
     elif a.load == "datelist":
         datelist(spark, a.events, a.table, a.day, a.first, a.devices, _int(a.buckets))
+    elif a.load == "datelist-bits":
+        datelist_bits(spark, a.datelist, a.table, a.day, a.lo, _int(a.buckets))
     elif a.load == "daily-metric":
         daily_metric(spark, a.events, a.table, a.day)
     elif a.load == "monthly-array":

@@ -46,6 +46,11 @@ def test_datelist_and_monthly_loads(spark, sf_dir, tmp_path):
     got = read_partition(spark, table, "curr_date", F.lit(days[-1]).cast("date"))
     assert rows(got, ["user_id", "dates_active"]) == rows(want, ["user_id", "dates_active"])
 
+    bits_t = str(tmp_path / "bits")
+    jobs.datelist_bits(spark, table, bits_t, days[-1], lo=days[0])
+    want_b = dl.bits_direct(ev, ts_col="event_time", lo=days[0], hi=days[-1])
+    assert rows(spark.read.parquet(bits_t), want_b.columns) == rows(want_b)
+
     daily_t, monthly_t = str(tmp_path / "daily"), str(tmp_path / "monthly")
     jobs.daily_metric(spark, events, daily_t)
     for d in days:
