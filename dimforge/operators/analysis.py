@@ -98,10 +98,20 @@ def longest_streaks(df: DataFrame, *, key: str, period: str, value: str, thresho
     return dense_rank_topk(best, len_col, k, rank_col)
 
 
-def explode_history(dim: DataFrame, array_col: str, keep: Sequence[str]) -> DataFrame:
+def explode_history(dim: DataFrame, array_col: str, keep: Sequence[str],
+                    fields: Sequence[str] | None = None) -> DataFrame:
     """Array of structs -> one row per element with its fields as columns
-    (CROSS JOIN UNNEST: rows with NULL or empty arrays disappear)."""
-    return dim.select(*keep, F.inline(array_col))
+    (CROSS JOIN UNNEST: rows with NULL or empty arrays disappear).
+
+    With ``fields`` only those struct fields are returned: the per-field
+    arrays (``arr.f``) are zipped and exploded, so nested-column pruning
+    reads just those fields from Parquet (``inline`` reads every field).
+    Rows with a NULL array still disappear; a NULL *element* becomes a row
+    of NULL fields, as with ``inline``."""
+    if fields is None:
+        return dim.select(*keep, F.inline(array_col))
+    zipped = F.arrays_zip(*[F.col(f"{array_col}.{f}").alias(f) for f in fields])
+    return dim.select(*keep, F.inline(zipped))
 
 
 def fold_array(dim: DataFrame, keep: Sequence[str], fields: Sequence[str], array_col: str, zero: Column,

@@ -16,8 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-
 _PROBES: dict = {}
 
 

@@ -11,6 +11,7 @@ from dimforge.plans import catalog as c
 from dimforge.plans import constructs as k
 from dimforge.sinks import publish as pb
 from dimforge.sources import fixtures as fx
+from conftest import rows
 
 
 def plan(df) -> str:
@@ -116,3 +117,15 @@ def test_bucketed_snapshot_is_not_reshuffled_by_the_next_load(spark, sf_dir):
     from conftest import rows
     assert rows(got, want.columns) == rows(want)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_explode_of_few_fields_prunes_nested_columns(spark, sf_dir, tmp_path):
+    from dimforge.operators import analysis as an
+    path = str(tmp_path / "players")
+    cu.players_cumulated(fx.player_seasons(spark, sf_dir), 1995, 2001, snapshots="last").write.parquet(path)
+    dim = spark.read.parquet(path)
+    p = plan(an.explode_history(dim, "seasons", ["player_name"], fields=["season", "pts"]))
+    assert "ReadSchema: struct<player_name:string,seasons:array<struct<season:int,pts:double>>>" in p
+    full = an.explode_history(dim, "seasons", ["player_name"])
+    assert rows(an.explode_history(dim, "seasons", ["player_name"], fields=["season", "pts"])) == \
+        rows(full, ["player_name", "season", "pts"])
