@@ -56,11 +56,11 @@ def _existing_schema(spark: SparkSession, table: str):
         raise
 
 
-def _publish(spark: SparkSession, df: DataFrame, table: str, partition_by) -> None:
+def _publish(spark: SparkSession, df: DataFrame, table: str, partition_by, sort_within=()) -> None:
     spec = _existing_schema(spark, table)
     if spec is not None:
         df = conform(df, spec)
-    publish(df, table, partition_by)
+    publish(df, table, partition_by, sort_within=sort_within)
 
 
 def _prev(spark, table, column, value, buckets=None):
@@ -117,7 +117,8 @@ def players_scd2(spark, cumulated_path, table, period, full=False):
     else:
         out = scd.scd2_increment(_prev(spark, table, "current_season", period - 1), hist,
                                  keys=["player_name"], state_cols=["is_active"], t=period, period="current_season")
-    _publish(spark, out, table, ["current_season"])
+    # sorted by end: the next increment's open-run and closed-run reads skip each other's row groups
+    _publish(spark, out, table, ["current_season"], sort_within=["end_season"])
 
 
 # --- actors --------------------------------------------------------------------
@@ -143,7 +144,7 @@ def actors_scd2(spark, actors_path, table, period, full=False):
     else:
         out = scd.scd2_increment(_prev(spark, table, "current_year", period - 1), hist, carried=["actor"],
                                  t=period, **kw)
-    _publish(spark, out, table, ["current_year"])
+    _publish(spark, out, table, ["current_year"], sort_within=["end_date"])
 
 
 # --- activity ------------------------------------------------------------------

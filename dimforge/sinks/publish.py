@@ -65,11 +65,18 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str], spec: T.StructType | None = None,
-            not_null: Sequence[str] = ()) -> None:
-    """Write ``df`` replacing only the partitions it contains."""
+            not_null: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
+    """Write ``df`` replacing only the partitions it contains.
+
+    ``sort_within`` orders rows inside each written file (an in-task sort,
+    no shuffle), so Parquet row-group min/max statistics let later filters
+    on those columns skip row groups — e.g. an SCD2 snapshot sorted by its
+    end period lets the next increment read open and closed runs apart."""
     if spec is not None:
         df = conform(df, spec)
     check_not_null(df, not_null)
+    if sort_within:
+        df = df.sortWithinPartitions(*partition_by, *sort_within)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by)
