@@ -346,6 +346,11 @@ def q_missing_periods(spark, sf_dir):
     return pb.missing_periods(days, "date", sp.date_spine(spark, DAY_LO, DAY_HI))
 
 
+def q_scd0_first(spark, sf_dir):
+    """Type 0: the attribute as first recorded (here the player's college)."""
+    return scd.scd0(fx.player_seasons(spark, sf_dir), keys=["player_name"], col="college", period="season")
+
+
 def q_scd1_latest(spark, sf_dir):
     return scd.scd1(fx.player_seasons(spark, sf_dir), keys=["player_name"], col="pts", period="season")
 
@@ -392,6 +397,7 @@ QUERIES = {
     "cumulate_dim_published": q_cumulate_dim_published,
     "missing_periods": q_missing_periods,
     "daily_metrics_published": q_daily_metrics_published,
+    "scd0_first": q_scd0_first,
     "scd1_latest": q_scd1_latest,
     "scd3_first_last": q_scd3_first_last,
 }
