@@ -227,3 +227,15 @@ def test_hot_key_windows_equal_plain_windows(spark):
     # the hot key really was cut into several chunks
     chunks = df.where("k = 'hot'").repartitionByRange(6, "k", "o").select(F.spark_partition_id()).distinct().count()
     assert chunks > 1
+
+
+def test_spine_scd2_equals_full_load_over_dense_activity(spark, sf_dir):
+    ps = fx.player_seasons(spark, sf_dir)
+    spine = scd.scd2_from_spine(ps, keys=["player_name"], period="season", lo=1995, hi=2001)
+    grid = ps.select("player_name").distinct() \
+        .select("player_name", F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("season"))
+    dense = grid.join(ps.select("player_name", "season", F.lit(True).alias("seen")), ["player_name", "season"], "left") \
+        .select("player_name", "season", F.coalesce("seen", F.lit(False)).alias("is_active"))
+    full = scd.scd2_backfill(dense, keys=["player_name"], state_cols=["is_active"], period="season", as_of=2001)
+    cols = ["player_name", "is_active", "start_season", "end_season"]
+    assert rows(spine, cols) == rows(full, cols)
