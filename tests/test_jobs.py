@@ -94,3 +94,19 @@ def test_bucketed_cumulative_job(spark, sf_dir, tmp_path):
     got = spark.table(name).where("current_season = 1998")
     assert rows(got, want.columns) == rows(want)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_actor_loads_period_by_period(spark, sf_dir, tmp_path):
+    films = str(tmp_path / "actor_films")
+    fx.actor_films(spark, sf_dir).write.parquet(films)
+    cum, scd_t = str(tmp_path / "actors"), str(tmp_path / "actors_scd")
+    for t in range(1995, 1999):
+        jobs.actors_cumulate(spark, films, cum, t, first=(t == 1995))
+    jobs.actors_scd2(spark, cum, scd_t, 1997, full=True)
+    jobs.actors_scd2(spark, cum, scd_t, 1998)
+    af = spark.read.parquet(films)
+    want = cu.actors_cumulated(af, 1995, 1998, mode="replace", snapshots="last")
+    assert rows(read_partition(spark, cum, "current_year", 1998), want.columns) == rows(want)
+    full = scd.scd2_backfill(spark.read.parquet(cum), keys=["actor_id"], carry=["actor"],
+                             state_cols=["quality_class", "is_active"], as_of=1998, **c.ACTOR_SCD)
+    assert rows(read_partition(spark, scd_t, "current_year", 1998), full.columns) == rows(full)
