@@ -1,0 +1 @@
+"""Sinks: idempotent partition publishing and input-completeness checks."""

@@ -1,0 +1 @@
+"""Streaming: a Structured Streaming trigger for the daily cumulative load."""
