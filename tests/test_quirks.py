@@ -126,3 +126,41 @@ def test_duplicate_period_rows_are_refused(spark):
     agg = cu.period_items(ps, keys=["player_name"], period="season", item_cols=["season", "gp"],
                           history_col="seasons").first()
     assert len(agg.seasons) == 2
+
+
+def test_publish_table_conforms_by_name_and_checks_not_null(spark):
+    import uuid
+    from pyspark.sql.types import _parse_datatype_string
+    from dimforge.sinks.publish import publish_table
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    spec = _parse_datatype_string("k string, v bigint, p int")
+    publish_table(spark.createDataFrame([(1, "a", 1)], "v int, k string, p int"), name, ["p"], spec=spec)
+    publish_table(spark.createDataFrame([(2, "b", 2)], "v int, k string, p int"), name, ["p"], spec=spec)
+    publish_table(spark.createDataFrame([(3, "c", 2)], "v int, k string, p int"), name, ["p"], spec=spec)
+    assert rows(spark.table(name), ["k", "v", "p"]) == [("a", 1, 1), ("c", 3, 2)]
+    try:
+        publish_table(spark.createDataFrame([(None, "z", 3)], "v int, k string, p int"), name, ["p"],
+                      spec=spec, not_null=["v"])
+        raise AssertionError("NULL in a NOT NULL column was accepted")
+    except ValueError:
+        pass
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_profile_approximate_and_exact(spark):
+    from dimforge.operators.analysis import profile
+    df = spark.createDataFrame([(1, "x"), (2, None), (2, "y")], "a int, b string")
+    exact = {r.column_name: r for r in profile(df, exact_distinct=True).collect()}
+    approx = {r.column_name: r for r in profile(df).collect()}
+    assert (exact["a"].n_rows, exact["a"].n_distinct, exact["a"].min_value, exact["a"].max_value) == (3, 2, "1", "2")
+    assert (exact["b"].n_nulls, exact["b"].n_distinct) == (1, 2)
+    assert approx["a"].n_distinct == 2 and approx["b"].n_distinct == 2
+
+
+def test_missing_periods_none_missing(spark):
+    from dimforge.sinks.publish import missing_periods
+    from dimforge.sources.spine import date_spine
+    have = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3)], "date date")
+    assert missing_periods(have, "date", date_spine(spark, "2024-01-01", "2024-01-03")).count() == 0
+    assert [r.date for r in missing_periods(have, "date", date_spine(spark, "2024-01-01", "2024-01-05"))
+            .orderBy("date").collect()] == [dt.date(2024, 1, 4), dt.date(2024, 1, 5)]
