@@ -153,6 +153,13 @@ def q_datelist_backfill(spark, sf_dir):
     return _datelist_flat(d)
 
 
+def q_datelist_compact(spark, sf_dir):
+    """Datelist holding only the active days, newest first (no NULL slots)."""
+    d = dl.datelist_backfill(fx.web_events(spark, sf_dir), keys=["user_id"], ts_col="event_time",
+                             lo=DAY_LO, hi=DAY_HI, pad_nulls=False)
+    return _datelist_flat(d)
+
+
 STEP_DAY, STEP_PREV = "2024-01-30", "2024-01-29"
 
 
@@ -373,6 +380,7 @@ QUERIES = {
     "scd2_actors_increment": q_scd2_actors_increment,
     "datelist_backfill": q_datelist_backfill,
     "datelist_step": q_datelist_step,
+    "datelist_compact": q_datelist_compact,
     "datelist_bits": q_datelist_bits,
     "bits_direct": q_bits_direct,
     "device_datelist": q_device_datelist,
