@@ -137,3 +137,13 @@ VIEWS = {
     "games": games,
     "game_details": game_details,
 }
+
+
+def register_views(spark: SparkSession, sf_dir: str, names=None) -> list[str]:
+    """Register the input views as session temp views, so SQL written for
+    these tables runs through ``spark.sql`` (planned by Catalyst like the
+    DataFrame form).  Returns the registered names."""
+    names = list(names or VIEWS)
+    for n in names:
+        VIEWS[n](spark, sf_dir).createOrReplaceTempView(n)
+    return names

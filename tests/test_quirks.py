@@ -164,3 +164,14 @@ def test_missing_periods_none_missing(spark):
     assert missing_periods(have, "date", date_spine(spark, "2024-01-01", "2024-01-03")).count() == 0
     assert [r.date for r in missing_periods(have, "date", date_spine(spark, "2024-01-01", "2024-01-05"))
             .orderBy("date").collect()] == [dt.date(2024, 1, 4), dt.date(2024, 1, 5)]
+
+
+def test_views_can_be_queried_with_sql(spark, sf_dir):
+    from dimforge.sources.fixtures import register_views
+    register_views(spark, sf_dir)
+    n = spark.sql("""
+        SELECT count(*) FROM (
+          SELECT game_id, team_id, player_id,
+                 row_number() OVER (PARTITION BY game_id, team_id, player_id ORDER BY l_partkey, l_suppkey) AS rn
+          FROM game_details) WHERE rn = 1""").first()[0]
+    assert n == spark.table("game_details").select("game_id", "team_id", "player_id").distinct().count()
