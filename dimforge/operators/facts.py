@@ -8,8 +8,9 @@
   a key with millions of copies ships at most one row per map task.
 * ``duplicates`` / ``duplicate_counts`` — the inspection queries.  For keys
   only, the extra rows are re-generated from per-key counts (partial
-  aggregation, then chunked range expansion spread over tasks) instead of
-  sorting a hot key in one task.
+  aggregation, then chunked range expansion spread over tasks); full rows
+  are numbered with hot keys split into range chunks.  Neither sorts a hot
+  key in one task.
 * ``daily_metric`` / ``metric_totals`` — the daily reduced fact and its check.
 * ``monthly_array_step`` / ``monthly_array_backfill`` — one array of daily
   values per (user, metric, month).
@@ -114,13 +115,15 @@ def duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
     Without ``order`` only keys are returned (the rows are indistinguishable):
     per-key counts expanded to row numbers 2..n — skew-safe.  With ``order``
-    full rows are numbered by a window (a hot key is sorted in one task)."""
+    full rows are numbered by ``row_number``; keys above the hot-row
+    threshold are split into range chunks (``operators.windows``)."""
     if order is None:
         c = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1) \
               .withColumn("_lo", F.lit(2).cast("bigint"))
         return expand_ranges(c, "_lo", "_n", row_col).select(*keys, F.col(row_col).cast("int").alias(row_col))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(row_col, F.row_number().over(w)).where(F.col(row_col) != 1)
+    from dimforge.operators.windows import rank_within
+    return rank_within(df, key=list(keys), order=list(order), out=row_col, kind="row_number") \
+        .where(F.col(row_col) != 1)
 
 
 # --- reduced facts -------------------------------------------------------------

@@ -31,50 +31,60 @@ from dimforge.operators.joins import bounded_count
 HOT_ROWS = 5_000_000
 
 
-def _split_hot(df: DataFrame, key: str, hot_rows: int, max_broadcast: int = 100_000):
-    """(rows of ordinary keys, rows of hot keys or None when no key is hot)."""
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key)
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _split_hot(df: DataFrame, keys: list[str], hot_rows: int, max_broadcast: int = 100_000):
+    """(rows of ordinary keys, rows of hot keys or None when no key is hot).
+    NULL keys never join, so they always take the plain-window path."""
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
     n = bounded_count(hot, max_broadcast)
     if n == 0:
         return df, None
     hot = F.broadcast(hot) if n <= max_broadcast else hot
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
 
 
-def _chunked(df: DataFrame, key: str, order, local_expr, total_expr, out: str, chunks: int | None):
-    ordered = df.repartitionByRange(chunks, key, *order) if chunks else df.repartitionByRange(key, *order)
+def _chunked(df: DataFrame, keys: list[str], order, local_expr, total_expr, out: str, chunks: int | None):
+    ordered = df.repartitionByRange(chunks, *keys, *order) if chunks else df.repartitionByRange(*keys, *order)
     c = ordered.withColumn("_chunk", F.spark_partition_id())
-    w = Window.partitionBy(key, "_chunk").orderBy(*order)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     local = c.withColumn("_local", local_expr.over(w))
-    totals = c.groupBy(key, "_chunk").agg(total_expr.alias("_t"))          # one row per chunk
+    totals = c.groupBy(*keys, "_chunk").agg(total_expr.alias("_t"))          # one row per chunk
     offs = totals.withColumn("_off", F.coalesce(F.sum("_t").over(
-        Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # one row per (hot key, chunk): bounded by the number of range partitions
-    offs = F.broadcast(offs.select(key, "_chunk", "_off"))
-    return local.join(offs, [key, "_chunk"]).withColumn(out, F.col("_local") + F.col("_off")) \
+    offs = F.broadcast(offs.select(*keys, "_chunk", "_off"))
+    return local.join(offs, [*keys, "_chunk"]).withColumn(out, F.col("_local") + F.col("_off")) \
                 .drop("_chunk", "_local", "_off")
 
 
-def running_total(df: DataFrame, *, key: str, order: str, value: str, out: str,
+def running_total(df: DataFrame, *, key, order: str, value: str, out: str,
                   hot_rows: int = HOT_ROWS, chunks: int | None = None) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY key ORDER BY order)`` with the default
     RANGE frame (peers included), splitting hot keys."""
-    normal, hot = _split_hot(df, key, hot_rows)
-    plain = normal.withColumn(out, F.sum(value).over(Window.partitionBy(key).orderBy(order)))
+    keys = _keys(key)
+    normal, hot = _split_hot(df, keys, hot_rows)
+    plain = normal.withColumn(out, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
     if hot is None:
         return plain
-    split = _chunked(hot, key, [F.col(order)], F.sum(value), F.sum(value), out, chunks)
+    split = _chunked(hot, keys, [F.col(order)], F.sum(value), F.sum(value), out, chunks)
     return plain.unionByName(split)
 
 
-def rank_within(df: DataFrame, *, key: str, order, out: str, hot_rows: int = HOT_ROWS,
-                chunks: int | None = None) -> DataFrame:
-    """``RANK() OVER (PARTITION BY key ORDER BY order)`` splitting hot keys:
-    rank = local rank in the chunk + rows of the key in earlier chunks."""
+def rank_within(df: DataFrame, *, key, order, out: str, hot_rows: int = HOT_ROWS,
+                chunks: int | None = None, kind: str = "rank") -> DataFrame:
+    """``RANK()`` (or ``ROW_NUMBER()`` with ``kind='row_number'``) ``OVER
+    (PARTITION BY key ORDER BY order)``, splitting hot keys: the number is
+    the local number in the chunk + the rows of the key in earlier chunks
+    (equal (key, order) rows share a chunk, so ties stay exact)."""
+    keys = _keys(key)
     order = list(order) if isinstance(order, (list, tuple)) else [order]
-    normal, hot = _split_hot(df, key, hot_rows)
-    plain = normal.withColumn(out, F.rank().over(Window.partitionBy(key).orderBy(*order)))
+    fn = {"rank": F.rank, "row_number": F.row_number}[kind]
+    normal, hot = _split_hot(df, keys, hot_rows)
+    plain = normal.withColumn(out, fn().over(Window.partitionBy(*keys).orderBy(*order)))
     if hot is None:
         return plain
-    split = _chunked(hot, key, order, F.rank(), F.count(F.lit(1)), out, chunks)
+    split = _chunked(hot, keys, order, fn(), F.count(F.lit(1)), out, chunks)
     return plain.unionByName(split.withColumn(out, F.col(out).cast("int")))

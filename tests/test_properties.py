@@ -239,3 +239,14 @@ def test_spine_scd2_equals_full_load_over_dense_activity(spark, sf_dir):
     full = scd.scd2_backfill(dense, keys=["player_name"], state_cols=["is_active"], period="season", as_of=2001)
     cols = ["player_name", "is_active", "start_season", "end_season"]
     assert rows(spine, cols) == rows(full, cols)
+
+
+def test_duplicates_with_order_split_hot_keys(spark):
+    from dimforge.operators.windows import rank_within
+    data = [(1, "h", i, i % 5) for i in range(200)] + [(2, "b", 1, 1), (2, "b", 2, 2), (3, "c", 1, 1)]
+    df = spark.createDataFrame(data, "g int, t string, o int, v int")
+    want = df.withColumn("row_num", F.row_number().over(Window.partitionBy("g", "t").orderBy("o")))
+    got = rank_within(df, key=["g", "t"], order=["o"], out="row_num", kind="row_number", hot_rows=10, chunks=5)
+    assert rows(got, ["g", "t", "o", "row_num"]) == rows(want, ["g", "t", "o", "row_num"])
+    dups = fa.duplicates(df, ["g", "t"], order=["o"])
+    assert rows(dups, ["g", "t", "o", "row_num"]) == rows(want.where("row_num <> 1"), ["g", "t", "o", "row_num"])
