@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import chat, licenses, mixing
+from dimforge.llm import chat, decontaminate, licenses, mixing, token_files
 from dimforge.llm.storage import materialize
 from dimforge.sources.tables import read_table
 
@@ -21,6 +21,31 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "copies")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.find_spans(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"),
+                                     keep=["doc_id"], width=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(names.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+END_ID = 2
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    manifest = token_files.write_files(docs, tokenizer_path(), END_ID)
+    return token_files.read_files(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.recognise(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"),
@@ -45,4 +70,4 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op6_license_scan, op7_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op6_license_scan, op7_chat_format)}

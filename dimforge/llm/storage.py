@@ -46,3 +46,20 @@ def write_bytes(folder: str, name: str, data: bytes) -> str:
     with store.open_output_stream(f"{path}/{leaf}") as out:
         out.write(data)
     return f"{folder}/{leaf}"
+
+
+def ship_package(spark) -> None:
+    """Make this package importable in the Python workers (once per session),
+    as ``spark-submit --py-files`` would."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_dimforge_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = tempfile.mkdtemp(prefix="dimforge-code-")
+    shutil.copytree(package, f"{target}/src/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(f"{target}/{package.name}", "zip", f"{target}/src"))
+    sc._dimforge_shipped = True
