@@ -89,4 +89,38 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op1_mix_sources": MIX, "op6_license_scan": LICENSES, "op7_chat_format": CHAT}
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+g AS (
+  SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS hex,
+         max(page_id) OVER (PARTITION BY body) AS top FROM p),
+bits AS (
+  SELECT page_id, payload_bytes, top, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (('0x' || substr(hex, 10 * q + 1, 10))::BIGINT >> (35 - 5 * j)) % 32 + 1, 1), '' ORDER BY q, j) AS digest
+  FROM g, range(4) a(q), range(8) b(j) GROUP BY page_id, payload_bytes, top, hex)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM bits
+"""
+
+# Exact: all pairs of a label (small tables only).
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(c.low, vec_id)) AS kept
+FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+ORACLE = {"op1_mix_sources": MIX, "op6_license_scan": LICENSES, "op7_chat_format": CHAT,
+          "op5_warc": WARC, "op10_near_embeddings": EMBEDDINGS}

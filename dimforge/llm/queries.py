@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import chat, decontaminate, licenses, mixing, token_files
+from dimforge.llm import chat, decontaminate, embeddings, licenses, mixing, token_files, warc
 from dimforge.llm.storage import materialize
 from dimforge.sources.tables import read_table
 
@@ -46,6 +46,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    files = warc.open_archives(warc.write_warc(pages, min_bytes=0))
+    if files is None:
+        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, "
+                                         "record_type string, refers_to long")
+    page_of = lambda c: F.regexp_extract(c, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("long")
+    return warc.read_warc(files).where("record_type <> 'quarantined'").select(
+        page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_of("refers_to").alias("refers_to"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.recognise(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"),
@@ -70,4 +82,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op6_license_scan, op7_chat_format)}
+def op10_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"),
+                                   threshold=0.93)
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op5_warc, op6_license_scan,
+                                  op7_chat_format, op10_near_embeddings)}
