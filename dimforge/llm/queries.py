@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import chat, decontaminate, embeddings, licenses, mixing, token_files, warc
+from dimforge.llm import brown, chat, decontaminate, embeddings, licenses, mixing, quality, token_files, warc
 from dimforge.llm.storage import materialize
 from dimforge.sources.tables import read_table
 
@@ -82,10 +82,23 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                            read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"), keep=["doc_id"])
+
+
+def op9_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id", (F.crc32(key.cast("binary")) % 7 == 2).alias("held_out"), "text")
+    counts, model = brown.fit(docs.where("not held_out"))
+    return brown.score(docs, counts, model)
+
+
 def op10_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"),
                                    threshold=0.93)
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op5_warc, op6_license_scan,
-                                  op7_chat_format, op10_near_embeddings)}
+                                  op7_chat_format, op8_quality, op9_brown_score, op10_near_embeddings)}
