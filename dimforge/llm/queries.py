@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import brown, chat, decontaminate, embeddings, licenses, mixing, quality, token_files, warc
+from dimforge.llm import (brown, chat, chosen_path, decontaminate, embeddings, licenses, mixing, quality, token_files,
+                          warc)
 from dimforge.llm.storage import materialize
 from dimforge.sources.tables import read_table
 
@@ -46,6 +47,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return chosen_path.jaccard_groups(docs, width=5, threshold=0.8).select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
     files = warc.open_archives(warc.write_warc(pages, min_bytes=0))
@@ -100,5 +106,5 @@ def op10_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    threshold=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op5_warc, op6_license_scan,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op4_jaccard_join, op5_warc, op6_license_scan,
                                   op7_chat_format, op8_quality, op9_brown_score, op10_near_embeddings)}
