@@ -29,6 +29,7 @@ import re
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -323,8 +324,6 @@ def _cut(data: str | None, spans) -> str | None:
 def remove_spans(found: DataFrame, *, text: str = "text") -> DataFrame:
     """Cut the spans out of the texts and drop documents left without words.
     Words that only become neighbours by a cut are not searched again."""
-    import pandas as pd
-
     ship_package(found.sparkSession)
 
     @F.pandas_udf("string")

@@ -106,5 +106,11 @@ def op10_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    threshold=0.93)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline                  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op4_jaccard_join, op5_warc, op6_license_scan,
-                                  op7_chat_format, op8_quality, op9_brown_score, op10_near_embeddings)}
+                                  op7_chat_format, op8_quality, op9_brown_score, op10_near_embeddings, pipeline)}
