@@ -4,28 +4,29 @@
 for keys bounded by design (one row per entity per period) but not for keys
 whose row count is unbounded (films per actor, events per user).  Here:
 
-* keys with more than ``hot_rows`` rows are found with a partially
-  aggregated count (the hot-key table has at most rows / hot_rows entries;
-  when it is empty — the common case — only the plain window is planned);
+* keys with more than ``hot_rows`` rows are found with a partially aggregated
+  count (the hot-key table has at most rows / hot_rows entries; when it is
+  empty, the common case, only the plain window is planned);
 * ordinary keys use the plain window (each holds at most ``hot_rows`` rows);
-* hot keys are range-partitioned on (key, order): Spark's sampled bounds cut
-  a hot key into contiguous, balanced chunks, and rows with equal
-  (key, order) land in the same chunk, so RANGE-frame peers never straddle
-  chunks.  Each chunk is ranked / summed locally, then shifted by the
-  total of the key's earlier chunks (a table with one row per chunk, bounded
-  by the number of partitions).
-
-The chunk id is the range partition index, which is fixed by the bounds
-computed once for the query, so a recomputed task (executor loss) assigns
-rows to the same chunk.
+* rows of hot keys, NULL keys included, are range-partitioned on (key, order):
+  Spark's sampled bounds cut a hot key into contiguous chunks, and rows with
+  equal (key, order) land in the same chunk, so RANGE-frame peers never
+  straddle chunks.  The chunked rows are written once with ``checkpoint()``;
+  the local windows and the chunk totals both read that copy, so they see the
+  same chunks whatever columns the caller selects, and a lost executor cannot
+  change them.  Each chunk is ranked / summed locally, then shifted by the
+  total of the key's earlier chunks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.operators.joins import bounded_count
+from dimforge.operators.joins import bounded_count, broadcast_if_small
+from dimforge.session import shared_dir
 
 # Rows above which a key is split into chunks.
 HOT_ROWS = 5_000_000
@@ -35,42 +36,49 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _same(left: DataFrame, right: DataFrame, names):
+    """Null-safe equality of columns that carry a ``_`` prefix on the right."""
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[f"_{n}"]) for n in names])
+
+
 def _split_hot(df: DataFrame, keys: list[str], hot_rows: int, max_broadcast: int = 100_000):
-    """(rows of ordinary keys, rows of hot keys or None when no key is hot).
-    NULL keys never join, so they always take the plain-window path."""
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
+    """(rows of ordinary keys, rows of hot keys or None when no key is hot)."""
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+             .select(*[F.col(k).alias(f"_{k}") for k in keys]))
     n = bounded_count(hot, max_broadcast)
     if n == 0:
         return df, None
     hot = F.broadcast(hot) if n <= max_broadcast else hot
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+    return df.join(hot, _same(df, hot, keys), "left_anti"), df.join(hot, _same(df, hot, keys), "left_semi")
 
 
-def _chunked(df: DataFrame, keys: list[str], order, local_expr, total_expr, out: str, chunks: int | None):
+def _chunked(df: DataFrame, keys: list[str], order, local_expr, total_expr, chunks: int | None) -> DataFrame:
+    """``df`` plus ``_local`` (the expression within the chunk) and ``_off``
+    (the total of the key's earlier chunks; NULL if they hold no value)."""
+    shared_dir(df.sparkSession)                       # registers the checkpoint folder
     ordered = df.repartitionByRange(chunks, *keys, *order) if chunks else df.repartitionByRange(*keys, *order)
-    c = ordered.withColumn("_chunk", F.spark_partition_id())
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    local = c.withColumn("_local", local_expr.over(w))
-    totals = c.groupBy(*keys, "_chunk").agg(total_expr.alias("_t"))          # one row per chunk
-    offs = totals.withColumn("_off", F.coalesce(F.sum("_t").over(
-        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per (hot key, chunk): bounded by the number of range partitions
-    offs = F.broadcast(offs.select(*keys, "_chunk", "_off"))
-    return local.join(offs, [*keys, "_chunk"]).withColumn(out, F.col("_local") + F.col("_off")) \
-                .drop("_chunk", "_local", "_off")
+    c = ordered.withColumn("_chunk", F.spark_partition_id()).checkpoint()
+    local = c.withColumn("_local", local_expr.over(Window.partitionBy(*keys, "_chunk").orderBy(*order)))
+    totals = c.groupBy(*keys, "_chunk").agg(total_expr.alias("_t"))          # one row per key and chunk
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = broadcast_if_small(totals.select(*[F.col(k).alias(f"_{k}") for k in [*keys, "_chunk"]],
+                                            F.sum("_t").over(earlier).alias("_off")))
+    return local.join(offs, _same(local, offs, [*keys, "_chunk"]), "left")
 
 
 def running_total(df: DataFrame, *, key, order: str, value: str, out: str,
                   hot_rows: int = HOT_ROWS, chunks: int | None = None) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY key ORDER BY order)`` with the default
-    RANGE frame (peers included), splitting hot keys."""
+    RANGE frame (peers included), splitting hot keys.  As in SQL the sum is
+    NULL until the first non-NULL value."""
     keys = _keys(key)
     normal, hot = _split_hot(df, keys, hot_rows)
     plain = normal.withColumn(out, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
     if hot is None:
         return plain
-    split = _chunked(hot, keys, [F.col(order)], F.sum(value), F.sum(value), out, chunks)
-    return plain.unionByName(split)
+    split = _chunked(hot, keys, [F.col(order)], F.sum(value), F.sum(value), chunks)
+    total = F.coalesce(F.col("_local") + F.col("_off"), F.col("_local"), F.col("_off"))
+    return plain.unionByName(split.select(*df.columns, total.cast(plain.schema[out].dataType).alias(out)))
 
 
 def rank_within(df: DataFrame, *, key, order, out: str, hot_rows: int = HOT_ROWS,
@@ -86,5 +94,6 @@ def rank_within(df: DataFrame, *, key, order, out: str, hot_rows: int = HOT_ROWS
     plain = normal.withColumn(out, fn().over(Window.partitionBy(*keys).orderBy(*order)))
     if hot is None:
         return plain
-    split = _chunked(hot, keys, order, fn(), F.count(F.lit(1)), out, chunks)
-    return plain.unionByName(split.withColumn(out, F.col(out).cast("int")))
+    split = _chunked(hot, keys, order, fn(), F.count(F.lit(1)), chunks)
+    number = (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("int")
+    return plain.unionByName(split.select(*df.columns, number.alias(out)))
