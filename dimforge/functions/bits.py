@@ -22,6 +22,11 @@ def bits_text(col) -> Column:
     return F.bin(col)
 
 
+def popcount(col, width: int = HISTORY_WIDTH) -> Column:
+    """Number of set bits among the low ``width`` bits (at most 63)."""
+    return F.bit_count(col.bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))).cast("bigint")
+
+
 def popcount32(col) -> Column:
     """Number of set bits among the low 32 bits."""
-    return F.bit_count(col.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))).cast("bigint")
+    return popcount(col, 32)

@@ -42,7 +42,8 @@ from dimforge.sinks.publish import (MissingPartition, conform, publish, publish_
                                     read_table_partition, require_previous)
 
 # The full attribute / season-row column lists of the player
-# table; only those present in the input are used.
+# table.  A load declares the ones it has (``attrs``, ``fields``; by default the
+# lists of ``cumulate``); a declared column that is missing raises.
 PLAYER_ATTRS_FULL = ("height", "college", "country", "draft_year", "draft_round", "draft_number")
 SEASON_FIELDS_FULL = ("season", "age", "weight", "gp", "pts", "reb", "ast")
 
@@ -84,25 +85,27 @@ def _store(spark, df, table, partition_by, buckets=None, bucket_key=None):
 
 # --- players -------------------------------------------------------------------
 
-def _player_rows(seasons: DataFrame) -> tuple[DataFrame, list[str]]:
-    attrs = [c for c in PLAYER_ATTRS_FULL if c in seasons.columns]
-    items = [c for c in SEASON_FIELDS_FULL if c in seasons.columns]
-    rows = cu.period_items(seasons, keys=["player_name"], period="season", item_cols=items,
+def _player_rows(seasons: DataFrame, attrs=None, fields=None) -> tuple[DataFrame, list[str]]:
+    attrs, fields = list(attrs or cu.PLAYER_ATTRS), list(fields or cu.SEASON_FIELDS)
+    missing = [c for c in [*attrs, *fields] if c not in seasons.columns]
+    if missing:
+        raise ValueError(f"columns missing from the player seasons: {missing}")
+    rows = cu.period_items(seasons, keys=["player_name"], period="season", item_cols=fields,
                            history_col="seasons", attrs=attrs, unique_per_period="check")
     return rows, attrs
 
 
-def players_cumulate(spark, seasons_path, table, period, first=False, buckets=None):
+def players_cumulate(spark, seasons_path, table, period, first=False, buckets=None, attrs=None, fields=None):
     seasons = spark.read.parquet(seasons_path).where(F.col("season") == period)
-    rows, attrs = _player_rows(seasons)
+    rows, attrs = _player_rows(seasons, attrs, fields)
     prev = None if first else _prev(spark, table, "current_season", period - 1, buckets)
     out = cu.cumulate_step(prev, rows, keys=["player_name"], period="season", history_col="seasons",
                            snapshot_col="current_season", attrs=attrs, since_col="years_since_last_active")
     _store(spark, out, table, ["current_season"], buckets, ["player_name"])
 
 
-def players_backfill(spark, seasons_path, table, lo, hi):
-    rows, attrs = _player_rows(spark.read.parquet(seasons_path))
+def players_backfill(spark, seasons_path, table, lo, hi, attrs=None, fields=None):
+    rows, attrs = _player_rows(spark.read.parquet(seasons_path), attrs, fields)
     out = cu.cumulate_backfill(rows, keys=["player_name"], period="season", history_col="seasons",
                                snapshot_col="current_season", lo=lo, hi=hi, attrs=attrs,
                                since_col="years_since_last_active")
@@ -188,8 +191,15 @@ def monthly_array(spark, daily_path, table, day, month_start):
 
 # --- facts ---------------------------------------------------------------------
 
-def game_fact(spark, games_path, details_path, table):
-    out = fa.build_game_fact(spark.read.parquet(games_path), spark.read.parquet(details_path))
+def _chosen(names, full):
+    return None if names is None else {n: full[n] for n in names}
+
+
+def game_fact(spark, games_path, details_path, table, measures=None, dimensions=None):
+    """``measures`` / ``dimensions``: the box-score columns to take (default:
+    all of them)."""
+    out = fa.build_game_fact(spark.read.parquet(games_path), spark.read.parquet(details_path),
+                             _chosen(measures, fa.GAME_MEASURES), _chosen(dimensions, fa.GAME_DIMENSIONS))
     _publish(spark, out, table, ["dim_season"])
 
 
@@ -206,6 +216,10 @@ def _int(v):
     return int(v) if v else None
 
 
+def _names(v):
+    return v.split(",") if v else None
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="dimforge.jobs", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -224,8 +238,8 @@ def main(argv=None) -> None:
                 p.add_argument(f"--{o}", required=True)
         return p
 
-    add("players-cumulate", "seasons", "table", "period#", "?first", "buckets=")
-    add("players-backfill", "seasons", "table", "lo#", "hi#")
+    add("players-cumulate", "seasons", "table", "period#", "?first", "buckets=", "attrs=", "fields=")
+    add("players-backfill", "seasons", "table", "lo#", "hi#", "attrs=", "fields=")
     add("players-scd2", "cumulated", "table", "period#", "?full")
     add("actors-cumulate", "films", "table", "period#", "?first", "mode=", "buckets=")
     add("actors-scd2", "actors", "table", "period#", "?full")
@@ -233,7 +247,7 @@ def main(argv=None) -> None:
     add("datelist-bits", "datelist", "table", "day", "lo=", "buckets=")
     add("daily-metric", "events", "table", "day=")
     add("monthly-array", "daily", "table", "day", "month-start")
-    add("game-fact", "games", "details", "table")
+    add("game-fact", "games", "details", "table", "measures=", "dimensions=")
     add("dedupe", "input", "table", "keys", "order", "partition-by=")
     a = ap.parse_args(argv)
 
@@ -244,9 +258,10 @@ def main(argv=None) -> None:
         if k not in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             spark.conf.set(k, v)
     if a.load == "players-cumulate":
-        players_cumulate(spark, a.seasons, a.table, a.period, a.first, _int(a.buckets))
+        players_cumulate(spark, a.seasons, a.table, a.period, a.first, _int(a.buckets),
+                         _names(a.attrs), _names(a.fields))
     elif a.load == "players-backfill":
-        players_backfill(spark, a.seasons, a.table, a.lo, a.hi)
+        players_backfill(spark, a.seasons, a.table, a.lo, a.hi, _names(a.attrs), _names(a.fields))
     elif a.load == "players-scd2":
         players_scd2(spark, a.cumulated, a.table, a.period, a.full)
     elif a.load == "actors-cumulate":
@@ -262,7 +277,7 @@ def main(argv=None) -> None:
     elif a.load == "monthly-array":
         monthly_array(spark, a.daily, a.table, a.day, a.month_start)
     elif a.load == "game-fact":
-        game_fact(spark, a.games, a.details, a.table)
+        game_fact(spark, a.games, a.details, a.table, _names(a.measures), _names(a.dimensions))
     elif a.load == "dedupe":
         dedupe(spark, a.input, a.table, a.keys.split(","), a.order.split(","),
                a.partition_by.split(",") if a.partition_by else None)

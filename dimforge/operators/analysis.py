@@ -6,9 +6,8 @@ Global rankings never move every row into one task:
 * ``dense_rank_topk`` keeps the k best *distinct* values (top-k per task,
   merged: bounded by k), ranks those k values and broadcasts them back.
 * ``dense_rank_all`` ranks every row by ranking only the distinct values:
-  a proven-small set in one window, a large one cut into balanced value
-  ranges (approximate quantiles), each ranked in its own task and shifted
-  by the number of distinct values in the ranges before it.
+  a proven-small set in one window, a large one range-partitioned, each
+  range ranked in its own task and shifted by the number of values before it.
 """
 
 from __future__ import annotations
@@ -18,51 +17,58 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.operators.joins import bounded_count
+from dimforge.operators.joins import bounded_count, broadcast_if_small
+from dimforge.session import shared_dir
+
+
+def _order(col: str, descending: bool) -> Column:
+    """NULL ranks last in either direction."""
+    return F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
 
 
 def dense_rank_topk(df: DataFrame, col: str, k: int, rank_col: str = "ranking",
                     descending: bool = True) -> DataFrame:
-    """Rows whose DENSE_RANK over ``col`` is at most ``k`` (ties kept).
-    NULL values are never ranked."""
-    order = F.col(col).desc() if descending else F.col(col).asc()
-    top = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(order).limit(k)
-    ranked = top.withColumn(rank_col, F.dense_rank().over(Window.orderBy(order)).cast("int"))
-    return df.join(F.broadcast(ranked), col)       # k rows at most
+    """Rows whose DENSE_RANK over ``col`` is at most ``k`` (ties kept, NULL
+    ranks last).  ``df`` is read twice: pass a stored or checkpointed table if
+    it is expensive."""
+    top = df.select(F.col(col).alias("_v")).distinct().orderBy(_order("_v", descending)).limit(k)
+    ranked = top.withColumn(rank_col, F.dense_rank().over(Window.orderBy(_order("_v", descending))).cast("int"))
+    return df.join(F.broadcast(ranked), df[col].eqNullSafe(ranked["_v"])).drop("_v")       # k rows at most
 
 
 def dense_rank_all(df: DataFrame, col: str, rank_col: str = "ranking", descending: bool = True,
-                   ranges: int = 256, small_values: int = 100_000) -> DataFrame:
-    """DENSE_RANK over the whole table for a numeric column, without a
-    single-partition window over the rows.  NULL values get a NULL rank.
+                   ranges: int | None = None, small_values: int = 100_000) -> DataFrame:
+    """DENSE_RANK over the whole table for a column of any orderable type,
+    without a single-partition window over the rows.  NULL ranks last.
 
     Only the *distinct values* are ranked.  When a bounded probe proves there
     are at most ``small_values`` of them, they are ranked in one small window
-    and broadcast back.  Otherwise they are cut into ``ranges`` balanced value
-    ranges (approximate quantiles), ranked per range in parallel and shifted
-    by the number of distinct values in the ranges before."""
-    vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    order = F.col("_v").desc() if descending else F.col("_v").asc()
+    and broadcast back.  Otherwise they are range-partitioned, written once
+    with ``checkpoint()`` (so ranks and offsets see the same ranges), ranked
+    per range in parallel and shifted by the number of values before."""
+    vals = df.select(F.col(col).alias("_v")).distinct()
+    order = _order("_v", descending)
     if bounded_count(vals, small_values) <= small_values:
         ranks = F.broadcast(vals.withColumn(rank_col, F.dense_rank().over(Window.orderBy(order)).cast("int")))
-        return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
-    probs = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(vals.approxQuantile("_v", probs, 0.001)))   # <= ranges-1 numbers
-    bnd = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    if descending:
-        rng = F.size(F.filter(bnd, lambda b: b >= F.col("_v")))
-    else:
-        rng = F.size(F.filter(bnd, lambda b: b < F.col("_v")))
-    vals = vals.withColumn("_r", rng)
-    local = vals.withColumn("_lr", F.dense_rank().over(Window.partitionBy("_r").orderBy(order)))
-    sizes = vals.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))       # <= ranges rows
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranks = (local.join(F.broadcast(offs.select("_r", "_off")), "_r")
+        return df.join(ranks, df[col].eqNullSafe(ranks["_v"]), "left").drop("_v")
+    shared_dir(df.sparkSession)                       # registers the checkpoint folder
+    dealt = vals.repartitionByRange(ranges, order) if ranges else vals.repartitionByRange(order)
+    vals = dealt.withColumn("_r", F.spark_partition_id()).checkpoint()
+    local = vals.withColumn("_lr", F.row_number().over(Window.partitionBy("_r").orderBy(order)))
+    sizes = vals.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))       # one row per range
+    offs = sizes.select(F.col("_r").alias("_or"), F.coalesce(F.sum("_n").over(
+        Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    ranks = (local.join(broadcast_if_small(offs), F.col("_r") == F.col("_or"))
                   .select(F.col("_v"), (F.col("_off") + F.col("_lr")).cast("int").alias(rank_col)))
     # One row per distinct value: AQE turns this join into a broadcast when
     # the measured side is small and splits a hot value's partition otherwise.
-    return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
+    return df.join(ranks, df[col].eqNullSafe(ranks["_v"]), "left").drop("_v")
+
+
+def _once(per_entity: DataFrame) -> DataFrame:
+    """Written once (one row per entity), as ranking reads it twice."""
+    shared_dir(per_entity.sparkSession)
+    return per_entity.checkpoint()
 
 
 def threshold_report(df: DataFrame, *, key: str, period: str, value: str, threshold: float,
@@ -75,7 +81,7 @@ def threshold_report(df: DataFrame, *, key: str, period: str, value: str, thresh
     running sum never reach the output, so they are not computed.)"""
     agg = df.groupBy(key).agg(F.count_if(F.col(value) >= threshold).cast("bigint").alias(count_col),
                               F.min(period).alias(start_col), F.max(period).alias(end_col))
-    return dense_rank_topk(agg, count_col, k, rank_col).select(key, count_col, start_col, end_col, rank_col)
+    return dense_rank_topk(_once(agg), count_col, k, rank_col).select(key, count_col, start_col, end_col, rank_col)
 
 
 def longest_streaks(df: DataFrame, *, key: str, period: str, value: str, threshold: float, k: int,
@@ -95,7 +101,7 @@ def longest_streaks(df: DataFrame, *, key: str, period: str, value: str, thresho
                                                 F.col("_s"), F.col("_e"))).alias("_b"))
     best = best.select(key, F.col("_b._len").alias(len_col), F.col("_b._s").alias(start_col),
                        F.col("_b._e").alias(end_col))
-    return dense_rank_topk(best, len_col, k, rank_col)
+    return dense_rank_topk(_once(best), len_col, k, rank_col)
 
 
 def explode_history(dim: DataFrame, array_col: str, keep: Sequence[str],

@@ -20,6 +20,7 @@ the data model itself: the full history lives in one row.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def cumulate_step(prev: DataFrame | None, cur: DataFrame, *, keys: Sequence[str]
                   history_col: str, snapshot_col: str, attrs: Sequence[str] = (),
                   mode: str = "accumulate", latest: Sequence[str] = (),
                   current: Mapping[str, object] | None = None, active_col: str = "is_active",
-                  since_col: str | None = None) -> DataFrame:
+                  since_col: str | None = None, keys_not_null: bool = False) -> DataFrame:
     """One period of a cumulative dimension.
 
     ``prev``: snapshot t-1 (or ``None`` for the first load); ``cur``: period
@@ -116,10 +117,10 @@ def cumulate_step(prev: DataFrame | None, cur: DataFrame, *, keys: Sequence[str]
         cols.append(F.coalesce(c(period), p(snapshot_col) + 1).alias(snapshot_col))
         return cols
 
-    return full_outer(prev, cur, keys, project)
+    return full_outer(prev, cur, keys, project, keys_not_null=keys_not_null)
 
 
-def cumulate_backfill(rows: DataFrame, *, keys: Sequence[str], period: str, history_col: str,
+def cumulate_backfill(rows: DataFrame, *, keys: Sequence[str], period: str, history_col: str | None,
                       snapshot_col: str, lo: int, hi: int, attrs: Sequence[str] = (),
                       mode: str = "accumulate", latest: Sequence[str] = (),
                       current: Mapping[str, object] | None = None, active_col: str = "is_active",
@@ -130,13 +131,19 @@ def cumulate_backfill(rows: DataFrame, *, keys: Sequence[str], period: str, hist
     ``rows``: one row per (entity, period) from :func:`period_items`.
     ``snapshots='all'`` returns every snapshot (one row per entity per
     period since its first appearance); ``'last'`` only snapshot ``hi``.
+    ``history_col=None`` leaves the history out, so that only the period and
+    the named columns are collected per entity (what a type-2 load needs).
+
+    A row with a NULL key never meets another one, as in the step: each
+    (NULL key, period) is an entity of its own.
     """
     if mode not in ("accumulate", "replace"):
         raise ValueError(f"mode must be 'accumulate' or 'replace', not {mode!r}")
     current = dict(current or {})
-    fields = [period, history_col, *attrs, *latest, *current.keys()]
+    fields = [period, *([history_col] if history_col else []), *attrs, *latest, *current.keys()]
     rows = rows.where(F.col(period).between(lo, hi))
-    h = rows.groupBy(*keys).agg(
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    h = rows.groupBy(*keys, F.when(null_key, F.col(period)).alias("_own")).agg(
         F.sort_array(F.collect_list(F.struct(*[F.col(f) for f in fields]))).alias("_h"))
 
     t = F.col("_t")
@@ -153,7 +160,9 @@ def cumulate_backfill(rows: DataFrame, *, keys: Sequence[str], period: str, hist
     last = F.element_at(u, -1)          # non-empty: t >= first period
     active = last[period] == t
 
-    if mode == "accumulate":
+    if not history_col:
+        hist = None
+    elif mode == "accumulate":
         hist = F.flatten(F.reverse(F.transform(u, lambda x: x[history_col])))
     else:
         hist = last[history_col]
@@ -166,7 +175,8 @@ def cumulate_backfill(rows: DataFrame, *, keys: Sequence[str], period: str, hist
 
     cols = [F.col(k) for k in keys]
     cols += [first_non_null(a).alias(a) for a in attrs]
-    cols.append(hist.alias(history_col))
+    if history_col:
+        cols.append(hist.alias(history_col))
     cols += [last_non_null(x).alias(x) for x in latest]
     cols += [F.when(active, last[n]).otherwise(F.lit(d)).alias(n) for n, d in current.items()]
     cols.append(active.alias(active_col))
@@ -194,6 +204,13 @@ def players_cumulated(player_seasons: DataFrame, lo: int, hi: int, snapshots: st
                              since_col="years_since_last_active", snapshots=snapshots)
 
 
+def players_activity(player_seasons: DataFrame, lo: int, hi: int) -> DataFrame:
+    """``player_name, is_active, current_season`` of every snapshot: what a
+    type-2 load reads, without collecting the seasons' payload."""
+    return cumulate_backfill(player_seasons.select("player_name", "season"), keys=["player_name"], period="season",
+                             history_col=None, snapshot_col="current_season", lo=lo, hi=hi)
+
+
 FILM_FIELDS = ("film", "year", "votes", "rating", "film_id")
 
 
@@ -206,6 +223,22 @@ def actor_period_rows(actor_films: DataFrame) -> DataFrame:
                         period_aggs={"quality_class": band(F.avg(F.col("rating").cast("decimal(4,1)")))})
 
 
+def actor_period_state(actor_films: DataFrame) -> DataFrame:
+    """The actor-year's name, film count and quality band, without the films."""
+    from dimforge.functions.scalars import band
+    return actor_films.groupBy("actor_id", "year").agg(
+        F.min("actor").alias("actor"), F.count(F.lit(1)).cast("int").alias("n_films"),
+        band(F.avg(F.col("rating").cast("decimal(4,1)"))).alias("quality_class"))
+
+
+def actors_state(actor_films: DataFrame, lo: int, hi: int) -> DataFrame:
+    """``actor_id, actor, quality_class, is_active, current_year`` of every
+    snapshot (class carried), without collecting any film."""
+    return cumulate_backfill(actor_period_state(actor_films), keys=["actor_id"], period="year", history_col=None,
+                             snapshot_col="current_year", lo=lo, hi=hi, attrs=["actor"], mode="replace",
+                             latest=["quality_class"])
+
+
 def actors_cumulated(actor_films: DataFrame, lo: int, hi: int, mode: str = "replace",
                      snapshots: str = "all") -> DataFrame:
     """``actors``-shaped table.  ``accumulate``: films of the year prepended,

@@ -18,13 +18,14 @@ first seen: the date when it was active, NULL when not (the position is
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.functions.bits import HISTORY_WIDTH, bits_text, day_bit, popcount32
+from dimforge.functions.bits import HISTORY_WIDTH, bits_text, day_bit, popcount
 from dimforge.functions.scalars import day_of
 from dimforge.operators.joins import full_outer
 
@@ -33,6 +34,15 @@ def _date(d) -> Column:
     return F.lit(d).cast("date") if not isinstance(d, Column) else d
 
 
+def check_width(lo, hi, width: int) -> None:
+    """A history of ``width`` bits must hold every day of ``lo..hi``."""
+    if not 1 <= width <= 63:
+        raise ValueError(f"width must be 1 to 63, not {width}")
+    days = (dt.date.fromisoformat(str(hi)) - dt.date.fromisoformat(str(lo))).days + 1
+    if days > width:
+        raise ValueError(f"{days} days ({lo} to {hi}) do not fit {width} bits")
+
+
 def _null_key(keys) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
@@ -120,62 +130,82 @@ def datelist_bits(dl: DataFrame, *, keys: Sequence[str] = ("user_id",), lo, hi,
 
     Computed per row from the array (no explode), then summed per key, so a
     key spread over several rows (NULL) is merged as in a GROUP BY."""
+    check_width(lo, hi, width)
     lo_d, hi_d = _date(lo), _date(hi)
     in_window = F.array_distinct(F.filter(dates_col, lambda d: d.isNotNull() & d.between(lo_d, hi_d)))
     row_bits = F.aggregate(in_window, F.lit(0).cast("bigint"),
                            lambda acc, d: acc + day_bit(d, F.col(snapshot_col), width))
     g = dl.groupBy(*keys).agg(F.sum(row_bits).cast("bigint").alias("history_int"))
     return g.select(*keys, "history_int", bits_text(F.col("history_int")).alias("hist_in_binary"),
-                    popcount32(F.col("history_int")).alias("num_days_active"))
+                    popcount(F.col("history_int"), width).alias("num_days_active"))
 
 
 def bits_direct(events: DataFrame, *, keys: Sequence[str] = ("user_id",), ts_col: str, lo, hi,
                 width: int = HISTORY_WIDTH) -> DataFrame:
     """The same integers straight from the events: ``bit_or`` of day bits,
     partially aggregated before the single exchange (hot keys are safe)."""
+    check_width(lo, hi, width)
     days = active_days(events, keys=keys, ts_col=ts_col, lo=lo, hi=hi)
     g = days.groupBy(*keys).agg(F.bit_or(day_bit(F.col("_day"), _date(hi), width)).alias("history_int"))
     return g.select(*keys, "history_int", bits_text(F.col("history_int")).alias("hist_in_binary"),
-                    popcount32(F.col("history_int")).alias("num_days_active"))
+                    popcount(F.col("history_int"), width).alias("num_days_active"))
 
 
 # --- MAP(browser -> dates) form -------------------------------------------
+#
+# A NULL map key is stored as '' (a map cannot hold it).  Rows with a NULL key
+# follow the array form: ``null_keys='keep'`` gives each its own row (it never
+# matches another), ``'drop'`` leaves them out.
+
+NO_MAP_KEY = ""
+
+
+def _keep(df: DataFrame, key: str, null_keys: str) -> DataFrame:
+    if null_keys not in ("keep", "drop"):
+        raise ValueError("null_keys must be 'keep' or 'drop'")
+    return df if null_keys == "keep" else df.where(F.col(key).isNotNull())
+
 
 def datelist_map(dl: DataFrame, *, key: str = "user_id", map_key: str = "browser_type",
                  dates_col: str = "dates_active", snapshot_col: str = "curr_date",
-                 map_col: str = "dates_by_browser") -> DataFrame:
-    """One row per key with a map from ``map_key`` to its datelist.
-
-    NULL keys are dropped: rows that never match cannot form one map row."""
-    return (dl.where(F.col(key).isNotNull())
-              .groupBy(key, snapshot_col)
-              .agg(F.map_from_entries(F.collect_list(F.struct(map_key, dates_col))).alias(map_col)))
+                 map_col: str = "dates_by_browser", null_keys: str = "keep") -> DataFrame:
+    """One row per key with a map from ``map_key`` to its datelist."""
+    rows = _keep(dl, key, null_keys).withColumn(
+        "_own", F.when(F.col(key).isNull(), F.struct(map_key, dates_col)))
+    entry = F.struct(F.coalesce(map_key, F.lit(NO_MAP_KEY)).alias(map_key), F.col(dates_col))
+    return (rows.groupBy(key, snapshot_col, "_own").agg(F.map_from_entries(F.collect_list(entry)).alias(map_col))
+                .select(key, snapshot_col, map_col))
 
 
 def datelist_unmap(dm: DataFrame, *, key: str = "user_id", map_key: str = "browser_type",
                    dates_col: str = "dates_active", snapshot_col: str = "curr_date",
-                   map_col: str = "dates_by_browser") -> DataFrame:
-    """Back to one row per (key, map key): ``explode`` of a map yields key and value."""
-    return dm.select(key, F.explode(map_col).alias(map_key, dates_col), snapshot_col)
+                   map_col: str = "dates_by_browser", keep: Sequence[Column] = ()) -> DataFrame:
+    """Back to one row per (key, map key): ``explode`` of a map yields key and
+    value.  ``keep``: further columns of the map row."""
+    return dm.select(key, *keep, F.explode(map_col).alias(map_key, dates_col), snapshot_col)
 
 
 def datelist_map_step(prev: DataFrame | None, events: DataFrame, *, key: str, map_key: str, ts_col: str,
-                      day, snapshot_col: str = "curr_date",
-                      map_col: str = "dates_by_browser") -> DataFrame:
+                      day, snapshot_col: str = "curr_date", map_col: str = "dates_by_browser",
+                      null_keys: str = "keep") -> DataFrame:
     """One day of the map form: every browser already in the map gets today's
     date or NULL prepended; a browser first seen today gets ``[today]``."""
     d = _date(day)
-    today = (events.where((day_of(ts_col) == d) & F.col(key).isNotNull())
-                   .select(key, map_key).distinct()
-                   .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(map_key, d))).alias("_t")))
+    today = (_keep(events.where(day_of(ts_col) == d), key, null_keys)
+             .select(key, F.coalesce(map_key, F.lit(NO_MAP_KEY)).alias(map_key)).distinct()
+             .withColumn("_own", F.when(F.col(key).isNull(), F.col(map_key)))
+             .groupBy(key, "_own").agg(F.map_from_entries(F.collect_list(F.struct(map_key, d))).alias("_t"))
+             .select(key, "_t"))
     if prev is None:
         return today.select(key, F.transform_values("_t", lambda k, v: F.array(v)).alias(map_col),
                             d.alias(snapshot_col))
-    p = prev.select(key, map_col)
-    j = p.join(today, key, "full_outer")
     empty_prev = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<date>>"))
     empty_today = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<date>"))
-    merged = F.map_zip_with(F.coalesce(F.col(map_col), empty_prev), F.coalesce(F.col("_t"), empty_today),
-                            lambda k, old, new: F.when(old.isNull(), F.array(new))
-                                                 .otherwise(F.concat(F.array(new), old)))
-    return j.select(key, merged.alias(map_col), d.alias(snapshot_col))
+
+    def project(p, t):
+        merged = F.map_zip_with(F.coalesce(p(map_col), empty_prev), F.coalesce(t("_t"), empty_today),
+                                lambda k, old, new: F.when(old.isNull(), F.array(new))
+                                                     .otherwise(F.concat(F.array(new), old)))
+        return [F.coalesce(p(key), t(key)).alias(key), merged.alias(map_col), d.alias(snapshot_col)]
+
+    return full_outer(_keep(prev.select(key, map_col), key, null_keys), today, [key], project)

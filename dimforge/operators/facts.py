@@ -39,6 +39,10 @@ GAME_MEASURES = {
 }
 
 
+GAME_DIMENSIONS = {"team_abbreviation": "dim_team_abbreviation", "player_name": "dim_player_name",
+                   "start_position": "dim_start_position"}
+
+
 def lint_fact_columns(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Fact naming convention: ids first, then only ``dim_`` / ``m_`` columns."""
     cols = df.columns
@@ -51,19 +55,21 @@ def lint_fact_columns(df: DataFrame, ids: Sequence[str]) -> DataFrame:
 
 
 def build_game_fact(games: DataFrame, details: DataFrame,
-                    measures: Mapping[str, str] | None = None) -> DataFrame:
+                    measures: Mapping[str, str] | None = None,
+                    dimensions: Mapping[str, str] | None = None) -> DataFrame:
     """``fct_game_details``: one row per box-score line with its game's date,
-    season and the team's win flag.  Only measures present in ``details``
-    are built (the mapping is the full list)."""
-    measures = {k: v for k, v in (measures or GAME_MEASURES).items() if k in details.columns}
+    season and the team's win flag.  ``measures`` and ``dimensions`` map
+    columns of ``details`` to fact columns; a declared column that is missing
+    raises."""
+    measures = GAME_MEASURES if measures is None else measures
+    dimensions = GAME_DIMENSIONS if dimensions is None else dimensions
+    missing = [c for c in [*measures, *dimensions] if c not in details.columns]
+    if missing:
+        raise ValueError(f"columns missing from the box scores: {missing}")
     g = games.select("game_id", "game_date_est", "season", "home_team_wins", "home_team_id").alias("g")
     d = details.alias("gd")
     j = g.join(d, F.col("g.game_id") == F.col("gd.game_id"))
-    dims = []
-    for src, name in (("team_abbreviation", "dim_team_abbreviation"), ("player_name", "dim_player_name"),
-                      ("start_position", "dim_start_position")):
-        if src in details.columns:
-            dims.append(F.col(f"gd.{src}").alias(name))
+    dims = [F.col(f"gd.{src}").alias(name) for src, name in dimensions.items()]
     comment = F.col("gd.comment")
     win = F.when(F.col("gd.team_id") == F.col("g.home_team_id"), F.col("g.home_team_wins") == 1) \
            .otherwise(F.col("g.home_team_wins") == 0)
@@ -153,7 +159,10 @@ def monthly_array_step(prev: DataFrame | None, daily: DataFrame, *, day, month_s
     Intended form: existing arrays get the day's value or 0 appended; a key
     first seen today gets zeros for the earlier days of the month.
     ``as_written``: the script's stub — a one-element array of the day's
-    value (the previous array is not carried)."""
+    value (the previous array is not carried).
+
+    Idempotent: if the array already holds the day, its slot is replaced; if
+    days between are missing the step raises."""
     d = F.lit(day).cast("date")
     ms = F.lit(month_start).cast("date")
     today = daily.where(F.col("date") == d).select("user_id", "metric_name", "metric_value")
@@ -169,8 +178,14 @@ def monthly_array_step(prev: DataFrame | None, daily: DataFrame, *, day, month_s
             arr = F.array(t("metric_value"))
         else:
             val = F.array(F.coalesce(t("metric_value"), F.lit(0).cast("bigint")))
-            lead = F.array_repeat(F.lit(0).cast("bigint"), F.datediff(d, ms))
-            arr = F.when(y("metric_array").isNull(), F.concat(lead, val)).otherwise(F.concat(y("metric_array"), val))
+            at = F.datediff(d, ms)
+            old = y("metric_array")
+            lead = F.array_repeat(F.lit(0).cast("bigint"), at)
+            gap = F.raise_error(F.format_string("metric array holds %d days, %s needs %d", F.size(old),
+                                                d.cast("string"), at)).cast("array<bigint>")
+            arr = (F.when(old.isNull(), F.concat(lead, val)).when(F.size(old) < at, gap)
+                    .otherwise(F.concat(F.slice(old, F.lit(1), at), val,
+                                        F.slice(old, at + 2, F.greatest(F.size(old) - at - 1, F.lit(0))))))
         return [*[F.coalesce(t(k), y(k)).alias(k) for k in keys], arr.alias("metric_array"),
                 F.date_format(ms, "yyyy-MM-dd").alias("month_start")]
 

@@ -1,9 +1,9 @@
 """Join helpers shared by the cumulative operators.
 
 * ``broadcast_if_small`` — broadcast a dimension only after proving its row
-  count is below a bound (an incremental ``take(n+1)`` probe reads about n+1
-  rows); beyond the bound the join is left to the planner (sort-merge, or an
-  AQE runtime conversion).
+  count is below a bound (a ``limit(n+1).count()`` probe: no rows reach the
+  driver); beyond the bound the join is left to the planner (sort-merge, or a
+  run-time conversion by AQE from the measured size, see ``session``).
 * ``full_outer`` — the prior-snapshot ⟗ new-period join of every cumulative
   step.  Rows whose key is NULL never match (plain ``=``, as in SQL); they
   bypass the join (padded with NULLs) instead of all hashing to one task.
@@ -16,28 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PROBES: dict = {}
-
-
 def bounded_count(df: DataFrame, limit: int) -> int:
-    """``min(row count, limit + 1)``.
-
-    The probe is ``take(limit + 1)`` of an empty projection: Spark scans
-    partitions incrementally (1, then 4x more, ...) and stops as soon as it
-    has ``limit + 1`` rows, so a huge table costs about ``limit`` rows of
-    reading, never a full scan, and at most ``limit + 1`` one-column rows
-    reach the driver.  The answer is remembered for the same plan over the
-    same input files."""
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), limit)
-    except Exception:  # noqa: BLE001 - plans without file inputs are probed every time
-        key = None
-    n = _PROBES.get(key) if key is not None else None
-    if n is None:
-        n = len(df.select(F.lit(1).alias("_one")).take(limit + 1))
-        if key is not None:
-            _PROBES[key] = n
-    return n
+    """``min(row count, limit + 1)``: counts at most ``limit + 1`` rows of each
+    partition, of an empty projection, and merges the counts; nothing but the
+    number reaches the driver.  Answers are not remembered: the table may have
+    been rewritten in place."""
+    return df.select(F.lit(1).alias("_one")).limit(limit + 1).count()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -55,7 +39,7 @@ def _all_set(df: DataFrame, keys) -> Column:
     return reduce(lambda a, b: a & b, [df[k].isNotNull() for k in keys])
 
 
-def full_outer(prev: DataFrame, cur: DataFrame, keys, project) -> DataFrame:
+def full_outer(prev: DataFrame, cur: DataFrame, keys, project, keys_not_null: bool = False) -> DataFrame:
     """``prev FULL OUTER JOIN cur ON prev.k = cur.k``, projected by
     ``project(p, c)`` where ``p(name)`` / ``c(name)`` return a side's column
     (NULL when the row has no partner on that side).
@@ -66,14 +50,19 @@ def full_outer(prev: DataFrame, cur: DataFrame, keys, project) -> DataFrame:
     hash or bucket partitioning of either side on those keys is reused — and
     a NULL-heavy input cannot create a hot partition.  (For Parquet inputs
     the ``IS NULL`` branch is mostly skipped by row-group statistics.)
+
+    ``keys_not_null`` declares that no key is NULL: each input is then read
+    once.  A NULL key would still give a correct, unmatched row.
     """
     ptypes = {f.name: f.dataType for f in prev.schema.fields}
     ctypes = {f.name: f.dataType for f in cur.schema.fields}
-    p_ok, c_ok = prev.where(_all_set(prev, keys)), cur.where(_all_set(cur, keys))
+    p_ok, c_ok = (prev, cur) if keys_not_null else (prev.where(_all_set(prev, keys)), cur.where(_all_set(cur, keys)))
     pa, ca = p_ok.alias("p"), c_ok.alias("c")
     cond = reduce(lambda a, b: a & b, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in keys])
     matched = pa.join(ca, cond, "full_outer").select(
         *project(lambda x: F.col(f"p.{x}"), lambda x: F.col(f"c.{x}")))
+    if keys_not_null:
+        return matched
     only_p = prev.where(_any_null(prev, keys)).select(
         *project(lambda x: F.col(x), lambda x: F.lit(None).cast(ctypes[x])))
     only_c = cur.where(_any_null(cur, keys)).select(

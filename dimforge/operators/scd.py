@@ -7,9 +7,9 @@ Type 2 (one row per run of constant state with start / end period):
   one row per run.  Both windows and the final grouping share one hash
   partitioning on the entity key, so the whole job has a single exchange.
 * ``scd2_increment`` — load of period t on top of snapshot t-1: only rows
-  that are still open at t-1 can be extended or closed, so only they take
-  part in the full outer join with period t; closed history bypasses the
-  shuffle and is re-attached with ``unionByName``.
+  that are still open can be extended or closed, so only they take part in
+  the full outer join with period t; all other history bypasses the shuffle
+  and is re-attached with ``unionByName``.
 * ``scd2_from_spine`` — SCD2 from raw rows over a period spine
   (activity = entity seen in that period).
 
@@ -103,59 +103,66 @@ def scd2_backfill_as_written(hist: DataFrame, *, lag_key: str, sum_key: str, gro
 def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str], state_cols: Sequence[str],
                    t: int, period: str, start_col: str = "start_season", end_col: str = "end_season",
                    snapshot_col: str = "current_season", change_cols: Sequence[str] | None = None,
-                   carried: Sequence[str] = (), compat: bool = False) -> DataFrame:
+                   carried: Sequence[str] = (), compat: bool = False, open_end: str = "period",
+                   keys_not_null: bool = False) -> DataFrame:
     """Snapshot ``t`` of a type-2 table from snapshot ``t-1`` and period ``t``.
 
     ``prev_scd``: rows of snapshot t-1 (keys, carried, state_cols, start, end).
     ``cur``: rows of the cumulated table at period ``t``.
     ``change_cols``: columns that decide a change (default: all state_cols).
     ``carried``: columns taken as ``COALESCE(old, new)`` and not compared.
-
-    Unchanged open run -> end extended to t; changed -> old run kept, new run
-    (t, t); entity only in one side -> carried as is / opened at t.
-
-    ``prev`` should be a stored partition (or a ``checkpoint()``): the step
-    reads it more than once, so chaining steps in memory grows the plan
-    with every period.  ``sinks.publish.load_periods`` does exactly that.
+    ``open_end``: how open runs are stored, ``'period'`` (end = snapshot) or
+    ``'null'`` (end is NULL), as in :func:`scd2_backfill`.
+
+    A run is open if its end is t-1 or NULL (with ``'null'``: only NULL); all
+    other rows, with a later end too, are carried as they are.  An open run
+    that meets period ``t`` goes on if nothing changed, else it ends at t-1 and
+    a new run starts at t.  ``compat`` applies the scripts' three-valued test:
+    a NULL comparison is neither a change nor none, so the run stays as it is
+    and a NULL state is filled from the new row.
+
+    Each stored version is one candidate row, the new version another; which
+    of the two are written is decided by flags.  ``prev`` should be a stored
+    partition or a ``checkpoint()``, sorted by end: open and other runs are
+    two filtered reads of it, and only open runs are shuffled.
     """
+    if open_end not in ("period", "null"):
+        raise ValueError("open_end must be 'period' or 'null'")
     change_cols = list(change_cols or state_cols)
     prev_scd = prev_scd.select(*keys, *carried, *state_cols, start_col, end_col)
-    open_rows = prev_scd.where(F.col(end_col) == t - 1).withColumn("_in_p", F.lit(True))
-    closed = prev_scd.where(F.col(end_col) < t - 1)   # cannot match ``end + 1 = t``
+    is_open = F.col(end_col).isNull()
+    if open_end == "period":
+        is_open = is_open | (F.col(end_col) == t - 1)
+    open_rows = prev_scd.where(is_open).withColumn("_in_p", F.lit(True))
+    others = prev_scd.where(~F.coalesce(is_open, F.lit(False)))
     cur_t = cur.where(F.col(period) == t).select(*keys, *carried, *state_cols).withColumn("_in_c", F.lit(True))
+    now = F.lit(t).cast("int")
+    still = now if open_end == "period" else F.lit(None).cast("int")
 
     def project(p, c):
+        old, new = p("_in_p").isNotNull(), c("_in_c").isNotNull()
         if compat:
-            # SQL three-valued comparison: NULL when either side is missing or NULL.
-            diff = _any([p(s) != c(s) for s in change_cols])
-            same = reduce(lambda a, b: a & b, [p(s) == c(s) for s in change_cols])
-            change = F.when(diff, F.lit(1)).when(same, F.lit(0))
+            same = reduce(lambda a, b: a & b, [p(s) == c(s) for s in change_cols])      # NULL: undecided
         else:
-            both = p("_in_p").isNotNull() & c("_in_c").isNotNull()
-            diff = _any([~p(s).eqNullSafe(c(s)) for s in change_cols])
-            change = F.when(both & diff, F.lit(1)).when(both, F.lit(0))
-
-        def row(state_src, start, end):
-            fields = [F.coalesce(p(x), c(x)).alias(x) for x in carried]
-            fields += [state_src(s).alias(s) for s in state_cols]
-            fields += [start.cast("int").alias(start_col), end.cast("int").alias(end_col)]
-            return F.struct(*fields)
-
-        tt = F.lit(t)
-        start = F.coalesce(p(start_col), tt)
-        end = F.coalesce(p(end_col), tt)
-        unchanged = F.array(row(p, start, end + 1))
-        changed = F.array(row(p, start, end), row(c, tt, tt))
-        carry_row = F.array(row(lambda s: F.coalesce(p(s), c(s)), start, end))
-        arr = (F.when(change == 0, unchanged)
-                .when(change == 1, changed)
-                .otherwise(carry_row))
-        return [*[F.coalesce(p(k), c(k)).alias(k) for k in keys], F.inline(arr)]
-
-    out = full_outer(open_rows, cur_t, keys, project)
+            same = reduce(lambda a, b: a & b, [p(s).eqNullSafe(c(s)) for s in change_cols])
+        goes_on = F.coalesce(old & new & same, F.lit(False))
+        changed = F.coalesce(old & new & ~same, F.lit(False))
+        undecided = old & new & ~goes_on & ~changed
+        end = F.when(goes_on, still).when(changed, F.coalesce(p(end_col), F.lit(t - 1))).otherwise(p(end_col))
+
+        def version(keep, state, start, stop):
+            return F.struct(keep.alias("_keep"), *[F.coalesce(p(x), c(x)).alias(x) for x in carried],
+                            *[state(s).alias(s) for s in state_cols],
+                            start.cast("int").alias(start_col), stop.cast("int").alias(end_col))
+
+        stored = version(old, lambda s: F.when(undecided, F.coalesce(p(s), c(s))).otherwise(p(s)), p(start_col), end)
+        opened = version(new & (~old | changed), c, now, still)
+        return [*[F.coalesce(p(k), c(k)).alias(k) for k in keys],
+                F.inline(F.filter(F.array(stored, opened), lambda v: v["_keep"]))]
+
+    out = full_outer(open_rows, cur_t, keys, project, keys_not_null=keys_not_null)
     out = out.select(*keys, *carried, *state_cols, start_col, end_col)
-    return (out.unionByName(closed)
-               .withColumn(snapshot_col, F.lit(t).cast("int")))
+    return out.unionByName(others).withColumn(snapshot_col, now)
 
 
 def scd2_from_spine(raw: DataFrame, *, keys: Sequence[str], period: str, lo: int, hi: int,

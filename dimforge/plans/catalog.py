@@ -9,6 +9,8 @@ tables.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from dimforge.operators import datelist as dl
 from dimforge.operators import facts as fa
 from dimforge.operators import scd
 from dimforge.operators.joins import broadcast_if_small
+from dimforge.operators.windows import rank_within, running_total
+from dimforge.session import shared_dir
 from dimforge.sinks import publish as pb
 from dimforge.sources import fixtures as fx
 from dimforge.sources import spine as sp
@@ -54,32 +58,56 @@ def q_cumulate_dim_backfill(spark, sf_dir):
     return _players_flat(players_hist(spark, sf_dir))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A snapshot as a step finds it: written once, then only read."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def q_cumulate_dim_step(spark, sf_dir):
     t = SEASON_HI
     ps = fx.player_seasons(spark, sf_dir)
-    prev = cu.players_cumulated(ps, SEASON_LO, t - 1, snapshots="last")
+    prev = _stored(cu.players_cumulated(ps, SEASON_LO, t - 1, snapshots="last"))
     cur = cu.period_items(ps.where(F.col("season") == t), keys=["player_name"], period="season",
                           item_cols=cu.SEASON_FIELDS, history_col="seasons", attrs=cu.PLAYER_ATTRS,
                           unique_per_period=True)
     step = cu.cumulate_step(prev, cur, keys=["player_name"], period="season", history_col="seasons",
                             snapshot_col="current_season", attrs=cu.PLAYER_ATTRS,
-                            since_col="years_since_last_active")
+                            since_col="years_since_last_active", keys_not_null=True)
     return _players_flat(step)
 
 
 # --- SCD2 -----------------------------------------------------------------
 
+def players_activity(spark, sf_dir, hi: int = SEASON_HI):
+    return cu.players_activity(fx.player_seasons(spark, sf_dir), SEASON_LO, hi)
+
+
 def q_scd2_backfill(spark, sf_dir):
-    return scd.scd2_backfill(players_hist(spark, sf_dir), keys=["player_name"], state_cols=["is_active"],
+    return scd.scd2_backfill(players_activity(spark, sf_dir), keys=["player_name"], state_cols=["is_active"],
                              period="current_season", as_of=SEASON_HI)
 
 
+def _players_increment(spark, sf_dir, open_end="period", compat=False):
+    """Snapshot t-1 is stored; period t is the last snapshot of the activity."""
+    hist = _stored(players_activity(spark, sf_dir))
+    kw = dict(keys=["player_name"], state_cols=["is_active"], period="current_season", open_end=open_end)
+    prev = _stored(scd.scd2_backfill(hist, as_of=SEASON_HI - 1, **kw))
+    return scd.scd2_increment(prev, hist, t=SEASON_HI, compat=compat, keys_not_null=True, **kw)
+
+
 def q_scd2_increment(spark, sf_dir):
-    hist = players_hist(spark, sf_dir)
-    prev = scd.scd2_backfill(hist, keys=["player_name"], state_cols=["is_active"],
-                             period="current_season", as_of=SEASON_HI - 1)
-    return scd.scd2_increment(prev, hist, keys=["player_name"], state_cols=["is_active"], t=SEASON_HI,
-                              period="current_season")
+    return _players_increment(spark, sf_dir)
+
+
+def q_scd2_increment_compat(spark, sf_dir):
+    """The script's three-valued change test (equal here: no NULL state)."""
+    return _players_increment(spark, sf_dir, compat=True)
+
+
+def q_scd2_increment_null_ends(spark, sf_dir):
+    """Open runs stored with a NULL end."""
+    return _players_increment(spark, sf_dir, open_end="null")
 
 
 def q_scd2_spine(spark, sf_dir):
@@ -108,30 +136,61 @@ def q_cumulate_actors_replace(spark, sf_dir):
 
 
 def q_quality_class(spark, sf_dir):
-    rows = cu.actor_period_rows(fx.actor_films(spark, sf_dir))
-    return rows.select("actor_id", "year", F.size("films").alias("n_films"), "quality_class")
+    return cu.actor_period_state(fx.actor_films(spark, sf_dir)).select("actor_id", "year", "n_films", "quality_class")
+
+
+def _actors_step(spark, sf_dir, mode):
+    """One year on top of the stored snapshot of the year before."""
+    films = fx.actor_films(spark, sf_dir)
+    prev = _stored(cu.actors_cumulated(films, SEASON_LO, SEASON_HI - 1, mode=mode, snapshots="last"))
+    cur = cu.actor_period_rows(films.where(F.col("year") == SEASON_HI))
+    kw = {"latest": ["quality_class"]} if mode == "replace" else {"current": {"quality_class": "bad"}}
+    return _actors_flat(cu.cumulate_step(prev, cur, keys=["actor_id"], period="year", history_col="films",
+                                         snapshot_col="current_year", attrs=["actor"], mode=mode,
+                                         keys_not_null=True, **kw))
+
+
+def q_cumulate_actors_accumulate_step(spark, sf_dir):
+    return _actors_step(spark, sf_dir, "accumulate")
+
+
+def q_cumulate_actors_replace_step(spark, sf_dir):
+    return _actors_step(spark, sf_dir, "replace")
 
 
 ACTOR_SCD = dict(period="current_year", start_col="start_date", end_col="end_date", snapshot_col="current_year")
 
 
+def actors_state(spark, sf_dir):
+    return cu.actors_state(fx.actor_films(spark, sf_dir), SEASON_LO, SEASON_HI)
+
+
 def q_scd2_actors_backfill(spark, sf_dir):
-    return scd.scd2_backfill(actors_hist(spark, sf_dir), keys=["actor_id"], carry=["actor"],
+    return scd.scd2_backfill(actors_state(spark, sf_dir), keys=["actor_id"], carry=["actor"],
                              state_cols=["quality_class", "is_active"], as_of=SEASON_HI, **ACTOR_SCD)
 
 
 def q_scd2_actors_backfill_compat(spark, sf_dir):
-    return scd.scd2_backfill_as_written(actors_hist(spark, sf_dir), lag_key="actor_id", sum_key="actor",
+    return scd.scd2_backfill_as_written(actors_state(spark, sf_dir), lag_key="actor_id", sum_key="actor",
                                         group_extra=["quality_class"], state="is_active", as_of=SEASON_HI,
                                         out_key="actor", **ACTOR_SCD)
 
 
+def _actors_increment(spark, sf_dir, **how):
+    hist = _stored(actors_state(spark, sf_dir))
+    kw = dict(keys=["actor_id"], **ACTOR_SCD)
+    prev = _stored(scd.scd2_backfill(hist, carry=["actor"], state_cols=["quality_class", "is_active"],
+                                     as_of=SEASON_HI - 1, **kw))
+    return scd.scd2_increment(prev, hist, t=SEASON_HI, keys_not_null=True, **kw, **how)
+
+
 def q_scd2_actors_increment(spark, sf_dir):
-    hist = actors_hist(spark, sf_dir)
-    prev = scd.scd2_backfill(hist, keys=["actor_id"], carry=["actor"], state_cols=["quality_class", "is_active"],
-                             as_of=SEASON_HI - 1, **ACTOR_SCD)
-    return scd.scd2_increment(prev, hist, keys=["actor_id"], carried=["actor"],
-                              state_cols=["quality_class", "is_active"], t=SEASON_HI, **ACTOR_SCD)
+    return _actors_increment(spark, sf_dir, carried=["actor"], state_cols=["quality_class", "is_active"])
+
+
+def q_scd2_actors_increment_compat(spark, sf_dir):
+    """The script's rule: only the activity decides, the class is carried."""
+    return _actors_increment(spark, sf_dir, carried=["actor", "quality_class"], state_cols=["is_active"], compat=True)
 
 
 # --- datelists and bit history ------------------------------------------------
@@ -164,7 +223,7 @@ STEP_DAY, STEP_PREV = "2024-01-30", "2024-01-29"
 
 def q_datelist_step(spark, sf_dir):
     ev = fx.web_events(spark, sf_dir)
-    prev = dl.datelist_backfill(ev, keys=["user_id"], ts_col="event_time", lo=DAY_LO, hi=STEP_PREV)
+    prev = _stored(dl.datelist_backfill(ev, keys=["user_id"], ts_col="event_time", lo=DAY_LO, hi=STEP_PREV))
     return _datelist_flat(dl.datelist_step(prev, ev, keys=["user_id"], ts_col="event_time", day=STEP_DAY))
 
 
@@ -194,12 +253,35 @@ def q_device_datelist(spark, sf_dir):
 
 def q_device_datelist_map(spark, sf_dir):
     m = dl.datelist_map(device_datelist(spark, sf_dir))
-    m = m.withColumn("n_browsers", F.size("dates_by_browser"))
-    flat = dl.datelist_unmap(m.select("user_id", "dates_by_browser", "curr_date")) \
-        .join(m.select("user_id", "n_browsers"), "user_id")
+    return _map_flat(m)
+
+
+def _map_flat(m):
+    flat = dl.datelist_unmap(m, keep=[F.size("dates_by_browser").alias("n_browsers")])
     return flat.select("user_id", "browser_type", "n_browsers", _dates_text().alias("dates_text"), "curr_date")
 
 
+def _devices_until(ev):
+    return _stored(dl.datelist_backfill(ev, keys=["user_id", "browser_type"], ts_col="event_time", lo=DAY_LO, hi=STEP_PREV))
+
+
+def q_device_datelist_step(spark, sf_dir):
+    ev = events_with_browser(spark, sf_dir)
+    step = dl.datelist_step(_devices_until(ev), ev, keys=["user_id", "browser_type"], ts_col="event_time", day=STEP_DAY)
+    return _datelist_flat(step, keys=("user_id", "browser_type"))
+
+
+def q_device_datelist_map_step(spark, sf_dir):
+    ev = events_with_browser(spark, sf_dir)
+    return _map_flat(dl.datelist_map_step(dl.datelist_map(_devices_until(ev)), ev, key="user_id", map_key="browser_type",
+                                          ts_col="event_time", day=STEP_DAY))
+
+
+def q_bits_60_days(spark, sf_dir):
+    """A history wider than 31 days, in the low 60 bits."""
+    return dl.bits_direct(fx.web_events(spark, sf_dir), ts_col="event_time", lo="2023-12-03", hi=DAY_HI, width=60)
+
+
 # --- facts ------------------------------------------------------------------
 
 DEDUPE_KEYS = ["game_id", "team_id", "player_id"]
@@ -212,7 +294,7 @@ def dedupe_order():
 
 
 def q_fct_game_details(spark, sf_dir):
-    return fa.build_game_fact(fx.games(spark, sf_dir), fx.game_details(spark, sf_dir))
+    return fa.build_game_fact(fx.games(spark, sf_dir), fx.box_scores(spark, sf_dir))
 
 
 def q_clock_to_seconds(spark, sf_dir):
@@ -259,10 +341,21 @@ def q_monthly_array_backfill(spark, sf_dir):
 
 def q_monthly_array_step(spark, sf_dir):
     d = daily(spark, sf_dir)
-    prev = fa.monthly_array_backfill(d, month_start=DAY_LO, through=STEP_PREV)
+    prev = _stored(fa.monthly_array_backfill(d, month_start=DAY_LO, through=STEP_PREV))
     return _monthly_flat(fa.monthly_array_step(prev, d, day=STEP_DAY, month_start=DAY_LO))
 
 
+def q_monthly_array_rerun(spark, sf_dir):
+    """The day's step run on a month that already holds the day: its slot is
+    replaced, not appended.  (Rows without a user never meet a stored row.)"""
+    d = daily(spark, sf_dir)
+    known = d.where(F.col("user_id").isNotNull())
+    prev = _stored(fa.monthly_array_backfill(known, month_start=DAY_LO, through=STEP_DAY))
+    again = fa.monthly_array_step(prev, known, day=STEP_DAY, month_start=DAY_LO)
+    alone = fa.monthly_array_backfill(d.where(F.col("user_id").isNull()), month_start=DAY_LO, through=STEP_DAY)
+    return _monthly_flat(again.unionByName(alone))
+
+
 def q_monthly_array_as_written(spark, sf_dir):
     """The script's stub: the month row holds only the day's value (the
     previous array is not carried; absent keys get [NULL])."""
@@ -288,7 +381,9 @@ def q_explode_history(spark, sf_dir):
 
 
 def q_career_total(spark, sf_dir):
-    return an.fold_array(players_hist(spark, sf_dir, snapshots="last"), ["player_name"], ["pts", "gp"],
+    rows = cu.players_cumulated(fx.player_seasons(spark, sf_dir), SEASON_LO, SEASON_HI, snapshots="last", attrs=(),
+                                season_fields=("season", "pts", "gp"))
+    return an.fold_array(rows, ["player_name"], ["pts", "gp"],
                          "seasons", F.lit(0.0), lambda acc, r: acc + r["pts"] * r["gp"], "total_points")
 
 
@@ -297,6 +392,33 @@ def q_dense_rank_global(spark, sf_dir):
     return an.dense_rank_all(ps, "pts")
 
 
+def q_dense_rank_text(spark, sf_dir):
+    """A text column with NULLs (ranked last), split into ranges."""
+    gd = fx.game_details(spark, sf_dir).select("game_id", "player_id", "l_partkey", "l_suppkey", "comment")
+    return an.dense_rank_all(gd, "comment", descending=False, small_values=1, ranges=4)
+
+
+def q_dense_rank_dates(spark, sf_dir):
+    ev = fx.web_events(spark, sf_dir).select("event_id", F.to_date("event_time").alias("day"))
+    return an.dense_rank_all(ev, "day", small_values=5, ranges=4)
+
+
+HOT_ROWS = 50     # low enough that the split path runs on any table
+
+
+def q_running_sum_hot(spark, sf_dir):
+    """Few keys that hold all rows (pages), split into range chunks."""
+    ev = fx.web_events(spark, sf_dir).select("url", "event_id", "event_time", "user_id")
+    return running_total(ev, key="url", order="event_time", value="user_id", out="running_users", hot_rows=HOT_ROWS) \
+        .select("url", "event_id", "user_id", "running_users")
+
+
+def q_rank_hot(spark, sf_dir):
+    """Events per user numbered; the NULL user is a hot key."""
+    ev = fx.web_events(spark, sf_dir).select("user_id", "event_id")
+    return rank_within(ev, key="user_id", order=["event_id"], out="event_no", kind="row_number", hot_rows=HOT_ROWS)
+
+
 def q_column_profile(spark, sf_dir):
     return an.profile(q_scd2_backfill(spark, sf_dir), exact_distinct=True)
 
@@ -313,6 +435,26 @@ def q_publish_twice_rows(spark, sf_dir):
         .select("player_name", "is_active", "start_season", "end_season", "current_season")
 
 
+def q_rerun_publish(spark, sf_dir):
+    """Every load run twice, with one day that has no rows the second time:
+    that day's partition is replaced by an empty one."""
+    path = _table_dir(spark, sf_dir, "daily_metric_rerun")
+    rows, empty_day = daily(spark, sf_dir), dt.date(2024, 1, 15)
+    pb.publish(rows, path, ["date", "metric_name"], replace_all=True)
+    for _ in range(2):
+        pb.publish(rows.where(F.col("date") != F.lit(empty_day)), path, ["date", "metric_name"])
+        pb.publish(rows.where("false"), path, ["date", "metric_name"], partition={"date": empty_day})
+    return spark.read.parquet(path).select("user_id", "metric_name", "metric_value", "date")
+
+
+def q_require_previous(spark, sf_dir):
+    """For each season: may it be loaded, i.e. is the season before stored?"""
+    path = _table_dir(spark, sf_dir, "players_guard")
+    pb.publish(q_cumulate_dim_backfill(spark, sf_dir), path, ["current_season"], replace_all=True)
+    found = [(t, pb.has_partition(spark, path, "current_season", t - 1)) for t in range(SEASON_LO, SEASON_HI + 2)]
+    return spark.createDataFrame(found, "current_season int, has_previous boolean")
+
+
 def q_cumulate_dim_published(spark, sf_dir):
     """The incremental load as run in production: one job per season, each
     reading the stored previous snapshot (depends_on_past)."""
@@ -325,7 +467,7 @@ def q_cumulate_dim_published(spark, sf_dir):
                               unique_per_period=True)
         return cu.cumulate_step(prev, cur, keys=["player_name"], period="season", history_col="seasons",
                                 snapshot_col="current_season", attrs=cu.PLAYER_ATTRS,
-                                since_col="years_since_last_active")
+                                since_col="years_since_last_active", keys_not_null=True)
 
     pb.load_periods(spark, path, "current_season", list(range(SEASON_LO, SEASON_HI + 1)), step)
     return _players_flat(pb.read_partition(spark, path, "current_season", SEASON_HI))
@@ -343,7 +485,7 @@ def q_daily_metrics_published(spark, sf_dir):
     spec = _parse_datatype_string(DAILY_SPEC)
     for _ in range(2):
         pb.publish(daily(spark, sf_dir), path, ["metric_name", "date"], spec=spec, not_null=["metric_name", "date"])
-    t = spark.read.parquet(path).where(F.col("date").between(F.lit(DAY_LO).cast("date"), F.lit(DAY_HI).cast("date")))
+    t = spark.read.schema(spec).parquet(path).where(F.col("date").between(F.lit(DAY_LO).cast("date"), F.lit(DAY_HI).cast("date")))
     return t.select("user_id", "metric_name", "metric_value", "date")
 
 
@@ -371,6 +513,21 @@ QUERIES = {
     "scd2_backfill": q_scd2_backfill,
     "scd2_increment": q_scd2_increment,
     "scd2_spine": q_scd2_spine,
+    "scd2_increment_compat": q_scd2_increment_compat,
+    "scd2_increment_null_ends": q_scd2_increment_null_ends,
+    "scd2_actors_increment_compat": q_scd2_actors_increment_compat,
+    "cumulate_actors_accumulate_step": q_cumulate_actors_accumulate_step,
+    "cumulate_actors_replace_step": q_cumulate_actors_replace_step,
+    "device_datelist_step": q_device_datelist_step,
+    "device_datelist_map_step": q_device_datelist_map_step,
+    "bits_60_days": q_bits_60_days,
+    "monthly_array_rerun": q_monthly_array_rerun,
+    "dense_rank_text": q_dense_rank_text,
+    "dense_rank_dates": q_dense_rank_dates,
+    "running_sum_hot": q_running_sum_hot,
+    "rank_hot": q_rank_hot,
+    "rerun_publish": q_rerun_publish,
+    "require_previous": q_require_previous,
     "cumulate_actors_accumulate": q_cumulate_actors_accumulate,
     "cumulate_actors_replace": q_cumulate_actors_replace,
     "quality_class": q_quality_class,

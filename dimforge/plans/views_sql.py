@@ -50,6 +50,14 @@ SELECT l_orderkey AS game_id,
             ELSE concat(cast(cast(l_quantity AS int) AS varchar), ':', lpad(cast(l_partkey % 60 AS varchar), 2, '0')) END AS min,
        cast(l_quantity AS int) AS pts, cast(l_partkey % 12 AS int) AS reb, cast(l_suppkey % 9 AS int) AS ast
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "box_scores": """
+SELECT *, cast(l_partkey % 15 AS int) AS fgm, cast(l_partkey % 15 + l_suppkey % 10 AS int) AS fga,
+       cast(l_partkey % 6 AS int) AS fg3m, cast(l_partkey % 6 + 2 AS int) AS fg3a, cast(l_suppkey % 8 AS int) AS ftm,
+       cast(l_suppkey % 8 + 1 AS int) AS fta, cast(l_partkey % 5 AS int) AS oreb, cast(l_suppkey % 7 AS int) AS dreb,
+       cast(l_partkey % 4 AS int) AS stl, cast(l_suppkey % 3 AS int) AS blk, cast(l_partkey % 7 AS int) AS "to",
+       cast(l_suppkey % 6 AS int) AS pf, cast(l_partkey % 41 - 20 AS int) AS plus_minus,
+       concat('Player ', cast(player_id AS varchar)) AS player_name, concat('T', cast(team_id AS varchar)) AS team_abbreviation
+FROM game_details""",
 }
 
 

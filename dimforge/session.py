@@ -1,9 +1,9 @@
 """Session construction and the shared storage folder.
 
-Everything that must survive an executor loss (published partitions,
-checkpoints) goes below the folder named by ``spark.checkpoint.dir``.  The
-cluster sets it; we only fall back to a private temporary folder when it is
-unset (local runs and tests).
+Checkpoints and intermediate tables go below the folder named by
+``spark.checkpoint.dir``, which the cluster sets.  Only in local mode, where
+driver and tasks share one machine, is a private temporary folder used when it
+is unset.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from pyspark.sql import SparkSession
 # shuffle partitions at run time; skew-join splits a hot partition; UTC keeps
 # date arithmetic identical to the oracle.  Broadcasts happen only with a
 # proven size: explicitly after a row-count probe (``broadcast_if_small``) or
-# by AQE from *measured* shuffle sizes — never from a file-size estimate
-# (a small compressed file can expand far beyond the threshold).
+# by AQE from *measured* shuffle sizes (the adaptive threshold; without it AQE
+# would fall back to the planner's, which is off) — never from a file-size
+# estimate (a small compressed file can expand far beyond the threshold).
 DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -49,15 +51,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Return a folder below the cluster's shared checkpoint directory.
 
     The directory is read from the session (``spark.checkpoint.dir`` or a
-    directory set with ``setCheckpointDir``).  Only when neither is set — a
-    local run or a test — is a private temporary folder created and
-    registered as the checkpoint directory.
+    directory set with ``setCheckpointDir``).  Only when neither is set and
+    Spark runs in local mode is a private temporary folder created and
+    registered as the checkpoint directory; on a cluster that raises.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         base = sc.getConf().get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="dimforge-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

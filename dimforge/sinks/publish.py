@@ -1,11 +1,13 @@
 """Idempotent publishing of partitioned tables and input-completeness checks.
 
-``publish`` replaces exactly the partitions present in the DataFrame
-(dynamic partition overwrite): running a load twice leaves the table as if
-it ran once, and other partitions — including the one a cumulative step
-just read — are untouched.  Columns are matched to the table spec *by name*
-(never by position, also inside structs) and NOT NULL columns are checked,
-since Parquet tables do not enforce them.
+``publish`` replaces the partitions present in the DataFrame (dynamic
+partition overwrite), one named partition (``partition={column: value}``: also
+when the load has no rows), or the whole table (``replace_all``).  Running a
+load twice leaves the table as if it ran once; other partitions — including
+the one a cumulative step just read — are untouched.  Columns are matched to
+the table spec *by name* (never by position, also inside structs); NOT NULL
+columns are asserted inside the written plan, since Parquet does not enforce
+them.
 
 ``load_periods`` is the depends-on-past driver for incremental loads: one
 Spark job per period, each reading the stored previous partition (so the
@@ -16,20 +18,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimforge.session import shared_dir
-
 
 class MissingPartition(RuntimeError):
     pass
 
 
 def table_location(spark: SparkSession, *parts: str) -> str:
-    """A table folder below the cluster's shared directory."""
-    return shared_dir(spark, "tables", *parts)
+    """A table folder below the warehouse, where a later session finds it (the
+    checkpoint folder is new in every session)."""
+    return "/".join([spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), "dimforge", *parts])
 
 
 def _conform_type(col, have: T.DataType, want: T.DataType):
@@ -56,31 +57,42 @@ def conform(df: DataFrame, spec: T.StructType) -> DataFrame:
                        for f in spec.fields])
 
 
-def check_not_null(df: DataFrame, columns: Sequence[str]) -> None:
-    if not columns:
-        return
-    bad = df.where(F.greatest(*[F.col(c).isNull().cast("int") for c in columns], F.lit(0)) == 1).limit(1).count()
-    if bad:
-        raise ValueError(f"NULL in NOT NULL columns {list(columns)}")
+def assert_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with NOT NULL columns that raise while they are written."""
+    return df.withColumns({c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {c}"))
+                                     .cast(df.schema[c].dataType)).otherwise(F.col(c)) for c in columns})
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str], spec: T.StructType | None = None,
-            not_null: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
+            not_null: Sequence[str] = (), sort_within: Sequence[str] = (), partition: dict | None = None,
+            replace_all: bool = False) -> None:
     """Write ``df`` replacing only the partitions it contains.
 
-    ``sort_within`` orders rows inside each written file (an in-task sort,
-    no shuffle), so Parquet row-group min/max statistics let later filters
-    on those columns skip row groups — e.g. an SCD2 snapshot sorted by its
-    end period lets the next increment read open and closed runs apart."""
+    ``partition``: the values of the leading partition column(s) that this
+    load owns; that folder is replaced as a whole, so rows of an earlier run
+    go even when this one has none.  ``replace_all`` replaces the table.
+
+    Rows are dealt by partition before the write (AQE splits large ones and
+    joins small ones), so a partition gets few files.  ``sort_within`` orders
+    rows inside each written file, so Parquet row-group statistics let later
+    filters on those columns skip row groups — e.g. an SCD2 snapshot sorted by
+    its end period lets the next increment read open and other runs apart."""
     if spec is not None:
         df = conform(df, spec)
-    check_not_null(df, not_null)
+    df = assert_not_null(df, not_null)
+    inner = [c for c in partition_by if c not in (partition or {})]
+    if partition:
+        for c, v in partition.items():
+            df = df.where(F.col(c).eqNullSafe(F.lit(v)))
+        path = "/".join([path, *[f"{c}={v}" for c, v in partition.items()]])
+        df = df.drop(*partition)
+    if inner:
+        df = df.hint("rebalance", *inner)
     if sort_within:
-        df = df.sortWithinPartitions(*partition_by, *sort_within)
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by)
-       .parquet(path))
+        df = df.sortWithinPartitions(*inner, *sort_within)
+    mode = "static" if partition or replace_all else "dynamic"
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    (w.partitionBy(*inner) if inner else w).parquet(path)
 
 
 def publish_table(df: DataFrame, name: str, partition_by: Sequence[str],
@@ -96,7 +108,7 @@ def publish_table(df: DataFrame, name: str, partition_by: Sequence[str],
     spark = df.sparkSession
     if spec is not None:
         df = conform(df, spec)
-    check_not_null(df, not_null)
+    df = assert_not_null(df, not_null)
     if not spark.catalog.tableExists(name):
         w = df.write.format("parquet").mode("overwrite").partitionBy(*partition_by)
         if bucket_by:
@@ -120,16 +132,23 @@ def read_table_partition(spark: SparkSession, name: str, column: str, value) ->
     return spark.table(name).where(F.col(column) == F.lit(value))
 
 
-def read_partition(spark: SparkSession, path: str, column: str, value) -> DataFrame:
-    """One partition of a published table (a partition filter: only that
-    folder is listed and read)."""
-    return spark.read.parquet(path).where(F.col(column) == F.lit(value))
+def read_partition(spark: SparkSession, path: str, column: str, value, spec: T.StructType | None = None) -> DataFrame:
+    """One partition of a published table: only its folder is listed and
+    read.  ``spec`` gives the declared types (a text partition value would
+    otherwise be read by its looks).  A value given as an expression is a
+    partition filter on the whole table."""
+    if isinstance(value, Column):
+        return spark.read.parquet(path).where(F.col(column) == value)
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(spec) if spec is not None else reader).parquet(f"{path}/{column}={value}")
 
 
 def has_partition(spark: SparkSession, path: str, column: str, value) -> bool:
+    """Whether the partition was loaded (an empty one counts)."""
     try:
-        return read_partition(spark, path, column, value).limit(1).count() > 0
-    except Exception as e:  # noqa: BLE001 - a table that does not exist yet
+        found = read_partition(spark, path, column, value)
+        return not (isinstance(value, Column) and found.isEmpty())
+    except Exception as e:  # noqa: BLE001 - a partition or table that does not exist yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
             return False
         raise
@@ -143,16 +162,17 @@ def require_previous(spark: SparkSession, path: str, column: str, value) -> None
 
 def load_periods(spark: SparkSession, path: str, column: str, periods: Sequence,
                  step: Callable[[DataFrame | None, object], DataFrame],
-                 partition_by: Sequence[str] | None = None, first_has_past: bool = False) -> None:
+                 partition_by: Sequence[str] | None = None, past=None) -> None:
     """Run ``step(previous_partition_or_None, period)`` for each period in
-    order and publish its result; the previous partition is always read back
-    from storage."""
-    for i, p in enumerate(periods):
+    order and publish its result as that period's partition; the previous
+    partition is always read back from storage.  ``past``: the stored period
+    before the first one (None: the table starts here)."""
+    for previous, p in zip([past, *periods], periods):
         prev = None
-        if i > 0 or first_has_past:
-            require_previous(spark, path, column, periods[i - 1] if i > 0 else None)
-            prev = read_partition(spark, path, column, periods[i - 1])
-        publish(step(prev, p), path, partition_by or [column])
+        if previous is not None:
+            require_previous(spark, path, column, previous)
+            prev = read_partition(spark, path, column, previous)
+        publish(step(prev, p), path, partition_by or [column], partition={column: p})
 
 
 def missing_periods(available: DataFrame, column: str, spine: DataFrame) -> DataFrame:

@@ -129,6 +129,18 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box scores with every measure and dimension of the fact table."""
+    part, supp = F.col("l_partkey"), F.col("l_suppkey")
+    extra = {"fgm": part % 15, "fga": part % 15 + supp % 10, "fg3m": part % 6, "fg3a": part % 6 + 2, "ftm": supp % 8,
+             "fta": supp % 8 + 1, "oreb": part % 5, "dreb": supp % 7, "stl": part % 4, "blk": supp % 3, "to": part % 7,
+             "pf": supp % 6, "plus_minus": part % 41 - 20}
+    return game_details(spark, sf_dir).select(
+        "*", *[e.cast("int").alias(n) for n, e in extra.items()],
+        F.concat(F.lit("Player "), F.col("player_id").cast("string")).alias("player_name"),
+        F.concat(F.lit("T"), F.col("team_id").cast("string")).alias("team_abbreviation"))
+
+
 VIEWS = {
     "player_seasons": player_seasons,
     "actor_films": actor_films,
@@ -136,6 +148,7 @@ VIEWS = {
     "devices": devices,
     "games": games,
     "game_details": game_details,
+    "box_scores": box_scores,
 }
 
 

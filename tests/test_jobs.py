@@ -67,7 +67,7 @@ def test_fact_and_dedupe_jobs(spark, sf_dir, tmp_path):
     fx.games(spark, sf_dir).write.parquet(g)
     fx.game_details(spark, sf_dir).write.parquet(d)
     fact, dd = str(tmp_path / "fct"), str(tmp_path / "dedup")
-    jobs.game_fact(spark, g, d, fact)
+    jobs.game_fact(spark, g, d, fact, ["reb", "ast", "pts"], ["start_position"])
     assert spark.read.parquet(fact).count() == c.q_fct_game_details(spark, sf_dir).count()
     jobs.dedupe(spark, d, dd, c.DEDUPE_KEYS, list(c.DEDUPE_ORDER_COLS))
     assert rows(spark.read.parquet(dd)) == rows(c.q_dedupe_first(spark, sf_dir))
@@ -78,7 +78,8 @@ def test_command_line_entry(spark, sf_dir, tmp_path):
     fx.games(spark, sf_dir).write.parquet(g)
     fx.game_details(spark, sf_dir).write.parquet(d)
     out = str(tmp_path / "fct")
-    jobs.main(["game-fact", "--games", g, "--details", d, "--table", out])
+    jobs.main(["game-fact", "--games", g, "--details", d, "--table", out, "--measures", "reb,ast,pts",
+               "--dimensions", "start_position"])
     assert spark.read.parquet(out).count() == spark.read.parquet(d).count()
 
 
