@@ -182,8 +182,8 @@ class Model:
         self.start = self.class_of[vocabulary.known.get(END, len(item) - 1)]
 
 
-def fit(train: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes: int = 400,
-        known_words: int = 100_000) -> tuple[DataFrame, Model]:
+def fit(train: DataFrame, *, classes: int = 48, top_words: int = 600, suffixes: int = 300,
+        known_words: int = 40_000) -> tuple[DataFrame, Model]:
     """Counts of all training words (``word, c``) and the model, from the
     ``text`` column of ``train``."""
     spark = train.sparkSession
@@ -191,8 +191,8 @@ def fit(train: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes:
     counts = materialize(train.select("text").mapInArrow(_count_words, "word binary, c long")
                               .groupBy("word").agg(F.sum("c").alias("c")), "brown-counts")
     n_words, n_tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(known_words).collect()
-    known, known_counts = [bytes(r["word"]) for r in top], [r["c"] for r in top]
+    top = counts.orderBy(F.desc("c"), "word").limit(known_words).toArrow()
+    known, known_counts = top.column("word").to_pylist(), top.column("c").to_pylist()
     if END in known:                                                # first, whatever its rank
         known_counts.insert(0, known_counts.pop(known.index(END)))
         known.insert(0, known.pop(known.index(END)))
@@ -203,9 +203,10 @@ def fit(train: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes:
     vocabulary = Vocabulary(known, known_counts, top_words, [bytes(r["s"]) for r in best])
     shared = spark.sparkContext.broadcast(vocabulary)
     pairs = (train.select("text").mapInArrow(_count_bigrams(shared), "a long, b long, n long")
-                  .groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas())     # at most items ** 2
+                  .groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow())      # at most items ** 2
     bigrams = np.zeros((vocabulary.n_items, vocabulary.n_items))
-    bigrams[pairs["a"].to_numpy(int), pairs["b"].to_numpy(int)] = pairs["n"].to_numpy()
+    bigrams[pairs.column("a").to_numpy(), pairs.column("b").to_numpy()] = pairs.column("n").to_numpy()
+    del pairs
     of = exchange_clusters(bigrams, classes)
     distinct = np.zeros(vocabulary.n_items)
     distinct[:vocabulary.n_top] = 1
