@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from dimforge.llm.storage import materialize, ship_package
 
 BAD, GOOD, NONE = 1, 0, -1
-SAMPLE = 12_000
+SAMPLE = 8_000
 ADDED = ("junk_score", "toxic_score", "keep")
 
 # Insults, in overlapping lists, one labeller each.
@@ -108,7 +108,7 @@ class Text:
         marks += [b"r:%d" % int(10 * self.repeats), b"v:%d" % int(10 * self.variety),
                   b"u:%d" % int(10 * self.upper), b"y:%d" % int(10 * min(1, self.symbols))]
         begins = {w[:4] for w in self.words} | {w[:5] for w in self.words}
-        return np.fromiter(map(zlib.crc32, [*self.words, *map(b" ".__add__, begins), *marks]), np.int64)
+        return np.fromiter(map(zlib.crc32, [*self.words, *map(b" ".__add__, begins), *marks]), np.uint32)
 
 
 def _texts(batch, text: str):
@@ -137,7 +137,7 @@ def _votes(batches):
             "head": pa.array([h for h, _ in seen] + ["both"] * len(chosen), pa.string()),
             "votes": pa.array(votes, pa.list_(pa.int64())),
             "n": pa.array([*seen.values()] + [1] * len(chosen), pa.int64()),
-            "features": pa.array([None] * len(seen) + [f for _, f in chosen], pa.list_(pa.int64()))})
+            "features": pa.array([None] * len(seen) + [f.tobytes() for _, f in chosen], pa.binary())})
 
 
 class LabelModel:
@@ -177,31 +177,38 @@ class LabelModel:
 class Scorer:
     """Hashed linear scorer: bias and the non-zero weights."""
 
-    def __init__(self, docs: list[np.ndarray], y: np.ndarray, penalty: float = 1e-3, rounds: int = 60):
+    def __init__(self, docs: list[bytes], y: np.ndarray, penalty: float = 1e-3, rounds: int = 60):
         n = max(1, len(docs))
         mean = float(np.clip(y.mean() if len(y) else 0.0, 1e-4, 1 - 1e-4))
         self.bias, self.weights = float(np.log(mean / (1 - mean))), {}
         if not len(docs):
             return
-        feature, where = np.unique(np.concatenate(docs), return_inverse=True)
-        row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        # features whose gradient at zero stays below the penalty keep weight 0
-        start = np.bincount(where, (mean - y)[row], len(feature)) / n
+        hashed = np.frombuffer(b"".join(docs), np.uint32)
+        row = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) // 4 for d in docs])
+        # features whose gradient at zero stays below the penalty keep weight 0;
+        # the gradient cannot exceed the share of documents that have the feature
+        feature, count = np.unique(hashed, return_counts=True)
+        feature = feature[count > penalty / 2 * n]
+        at = np.minimum(np.searchsorted(feature, hashed), max(0, len(feature) - 1)).astype(np.int32)
+        use = feature[at] == hashed if len(feature) else np.zeros(len(hashed), bool)
+        row, at = row[use], at[use]
+        start = np.bincount(at, (mean - y)[row], len(feature)) / n
         live = np.flatnonzero(np.abs(start) > penalty / 2)
-        new = np.full(len(feature), -1)
+        new = np.full(len(feature), -1, np.int32)
         new[live] = np.arange(len(live))
-        use = new[where] >= 0
-        row, col = row[use], new[where][use]
+        use = new[at] >= 0
+        row, col = row[use], new[at[use]]
         order = np.argsort(col, kind="stable")
         columns = np.split(row[order], np.cumsum(np.bincount(col, minlength=len(live)))[:-1])
         w, b = np.zeros(len(live)), self.bias
         margin = np.full(n, b)
         for strength in (penalty, penalty / 10):            # select features, then fit them with less shrinkage
+            everything = np.arange(len(live)) if strength == penalty else np.flatnonzero(w)
+            active = everything
             for _ in range(rounds):
                 largest = 0.0
-                for j, rows in [(-1, slice(None)), *enumerate(columns)]:
-                    if j >= 0 and strength < penalty and not w[j]:
-                        continue
+                for j in (-1, *active.tolist()):
+                    rows = columns[j] if j >= 0 else slice(None)
                     residual = 1 / (1 + np.exp(-np.clip(margin[rows], -30, 30))) - y[rows]
                     curve = 0.25 * len(residual) / n                 # bound of the second derivative
                     old = b if j < 0 else w[j]
@@ -215,8 +222,11 @@ class Scorer:
                             b = new
                         else:
                             w[j] = new
-                if largest < 1e-3:
+                # sweep the non-zero weights until they settle, then all once more
+                settled = largest < 2e-2
+                if settled and len(active) == len(everything):
                     break
+                active = everything if settled else np.flatnonzero(w)
         self.bias = float(b)
         self.weights = {int(feature[live[j]]): float(w[j]) for j in np.flatnonzero(w)}
 
@@ -246,13 +256,13 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, text: str = "text",
         joined = only.join(F.broadcast(judged), F.col("key") == F.col("lk"), "left")    # at most `sample` rows
         rows = joined.select("text", F.col("lk").isNotNull().alias("chosen"), F.coalesce("junk", none).alias("junk"),
                              F.coalesce("toxic", none).alias("toxic"))
-    raw = materialize(rows.mapInArrow(_votes, "head string, votes array<long>, n long, features array<long>"),
+    raw = materialize(rows.mapInArrow(_votes, "head string, votes array<long>, n long, features binary"),
                       "quality-votes")
     counted = raw.where("head <> 'both'").groupBy("head", "votes").agg(F.sum("n").alias("n")).collect()
-    got = raw.where("head = 'both'").select("votes", "features").toPandas()
+    got = raw.where("head = 'both'").select("votes", "features").toArrow()          # about `sample` rows
     # a fixed order: the sums of the fit do not depend on how rows arrive
-    chosen = sorted(((np.asarray(f, np.int64), tuple(v)) for v, f in zip(got["votes"], got["features"])),
-                    key=lambda x: (x[0].tobytes(), x[1]))
+    chosen = sorted(zip(got.column("features").to_pylist(), map(tuple, got.column("votes").to_pylist())))
+    del got
     model, width = {}, 0
     for head in HEADS:
         patterns = sorted((tuple(r["votes"]), r["n"]) for r in counted if r["head"] == head)
