@@ -23,6 +23,7 @@ table gives an empty result; the added columns replace clashing input columns.
 from __future__ import annotations
 
 import operator
+import re
 import zlib
 from collections import Counter
 
@@ -54,6 +55,8 @@ _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122
 # character classes of a token's shape
 _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 
+_RUNS = [(c, re.compile(re.escape(c) + b"{2,}")) for c in (b"a", b"A", b"0")]
+
 
 def _count(data: bytes, chars: bytes) -> int:
     return len(data) - len(data.translate(None, chars))
@@ -68,6 +71,7 @@ class Text:
     """What labellers and scorer look at."""
 
     def __init__(self, data: bytes):
+        self.data = data
         self.raw = data.split()
         self.n = len(self.raw)
         self.words = set(data.translate(_WORDS).split())
@@ -102,8 +106,12 @@ class Text:
     def features(self) -> np.ndarray:
         """Hashed features: words and word beginnings present, and how common
         each coarse token shape, doubling and lack of variety are (in tenths)."""
-        shapes = Counter(bytes(dict.fromkeys(w.translate(_SHAPE))) for w in self.raw)
-        n = max(1, self.n)
+        if not self.n:
+            return np.zeros(0, np.uint32)
+        coarse = self.data.translate(_SHAPE)
+        for once, many in _RUNS:
+            coarse = many.sub(once, coarse)
+        shapes, n = Counter(coarse.split()), self.n
         marks = [b"s:%s:%d" % (s, 10 * c // n) for s, c in shapes.items() if 10 * c >= n]
         marks += [b"r:%d" % int(10 * self.repeats), b"v:%d" % int(10 * self.variety),
                   b"u:%d" % int(10 * self.upper), b"y:%d" % int(10 * min(1, self.symbols))]
