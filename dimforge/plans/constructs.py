@@ -47,12 +47,12 @@ def q_full_outer_one_key(spark, sf_dir):
     b = ps.where(F.col("season") == 2001)
     return full_outer(a, b, ["player_name"], lambda p, c: [
         F.coalesce(p("player_name"), c("player_name")).alias("player_name"),
-        p("pts").alias("pts_2000"), c("pts").alias("pts_2001")])
+        p("pts").alias("pts_2000"), c("pts").alias("pts_2001")], keys_not_null=True)
 
 
 def q_full_outer_computed_key(spark, sf_dir):
     """Key + computed key: ``prev.end + 1 = cur.period`` (both equi-conditions)."""
-    hist = c.players_hist(spark, sf_dir)
+    hist = c.players_activity(spark, sf_dir)
     prev = scd.scd2_backfill(hist, keys=["player_name"], state_cols=["is_active"], period="current_season",
                              as_of=2000).withColumn("_next", F.col("end_season") + 1)
     cur = hist.where(F.col("current_season") == 2001).select("player_name", "is_active", "current_season")

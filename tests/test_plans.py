@@ -129,3 +129,35 @@ def test_explode_of_few_fields_prunes_nested_columns(spark, sf_dir, tmp_path):
     full = an.explode_history(dim, "seasons", ["player_name"])
     assert rows(an.explode_history(dim, "seasons", ["player_name"], fields=["season", "pts"])) == \
         rows(full, ["player_name", "season", "pts"])
+
+
+def scans(p: str, column: str) -> int:
+    """File scans that read ``column`` (reused exchanges are listed once)."""
+    return len(re.findall(rf"FileScan parquet \[[^\]]*{column}#", p))
+
+
+def test_steps_read_each_input_once(spark, sf_dir):
+    for q in (c.q_cumulate_dim_step, c.q_scd2_increment, c.q_scd2_increment_null_ends):
+        p = plan(q(spark, sf_dir))
+        assert scans(p, "o_orderkey") + scans(p, "o_custkey") <= 3, p
+    assert scans(plan(k.q_full_outer_one_key(spark, sf_dir)), "o_custkey") <= 2
+
+
+def test_type_two_loads_collect_no_payload(spark, sf_dir):
+    for q in (c.q_scd2_backfill, c.q_scd2_actors_backfill, c.q_scd2_actors_backfill_compat, c.q_quality_class):
+        p = plan(q(spark, sf_dir))
+        collected = " ".join(re.findall(r"collect_list\([^\n]*?\)", p))
+        for unused in ("film#", "votes#", "film_id", "college", "height", "draft_year", "reb#", "gp#"):
+            assert unused not in collected, (q.__name__, unused)
+    assert "collect_list" not in plan(c.q_quality_class(spark, sf_dir))
+
+
+def test_small_measured_side_is_broadcast_at_run_time(spark, sf_dir):
+    big = spark.range(200_000).select((F.col("id") % 1000).alias("k"), "id")
+    small = spark.range(1000).groupBy((F.col("id") % 500).alias("k")).agg(F.count("*").alias("n"))
+    joined = big.join(small, "k")
+    assert "SortMergeJoin" in plan(joined)
+    joined.write.format("noop").mode("overwrite").save()
+    ran = joined._jdf.queryExecution()
+    joined.collect()
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString() or "BroadcastHashJoin" in ran.executedPlan().toString()
