@@ -29,7 +29,6 @@ import re
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -325,12 +324,18 @@ def remove_spans(found: DataFrame, *, text: str = "text") -> DataFrame:
     """Cut the spans out of the texts and drop documents left without words.
     Words that only become neighbours by a cut are not searched again."""
     ship_package(found.sparkSession)
+    keep = [c for c in found.columns if c not in ADDED]
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_cut(t, s) for t, s in zip(texts, spans)], dtype=object)
-
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    hit, clean = found.where(F.size("spans") > 0), found.where(F.size("spans") == 0)
-    cut_rows = hit.where(n_hit < F.col("n_words")).withColumn(text, cut(text, "spans"))
-    return clean.unionByName(cut_rows).drop(*ADDED)
+    def run(batches):
+        for batch in batches:
+            out = batch.select(keep)
+            spans = batch.column("spans").to_pylist()
+            if any(spans):
+                old = out.column(text)
+                hit = [sum(s["end"] - s["start"] for s in ss) for ss in spans]
+                new = [_cut(t.as_py(), ss) if ss else t.as_py() for t, ss in zip(old, spans)]
+                left = pa.array([h == 0 or h < n for h, n in zip(hit, batch.column("n_words").to_pylist())])
+                out = out.set_column(keep.index(text), text, pa.array(new, old.type)).filter(left)
+            yield out
+
+    return found.mapInArrow(run, T.StructType([found.schema[c] for c in keep]))
