@@ -35,6 +35,7 @@ empty result.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -50,7 +51,15 @@ from dimforge.operators.joins import broadcast_if_small
 
 MAGIC = b"DFTOK01\n"
 FILE_IDS = 4_000_000
-REMEMBERED = 600_000
+REMEMBERED = 400_000
+PASSING = 100_000
+
+_WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
+
+# How byte-level BPE writes bytes as characters: printable Latin-1 as itself,
+# the other bytes from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -63,7 +72,9 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     padded = np.zeros(-(-len(r) // 4) * 4, np.uint8)
     padded[:len(r)] = n
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= n[:, None]]
+    most = int(n.max(initial=0)) + 1
+    used = r.view(np.uint8).reshape(-1, 4)[:, :most]
+    data = used[np.arange(most, dtype=np.uint8) <= n[:, None]]
     return control.tobytes(), data.tobytes()
 
 
@@ -72,7 +83,7 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     at = np.cumsum(lengths, dtype=np.int64) - lengths
     d = np.concatenate([data, np.zeros(3, np.uint8)])
     value = d[at].astype(np.uint32)
-    for k in (1, 2, 3):
+    for k in range(1, int(lengths.max(initial=1))):
         value |= d[at + k].astype(np.uint32) << np.uint32(8 * k)
     return value & _MASKS[lengths]
 
@@ -113,23 +124,40 @@ def unpack_file(raw: bytes) -> tuple[list, list[np.ndarray]]:
     return [int(d) if h else None for d, h in zip(doc_ids, has)], docs
 
 
-class _Pieces(dict):
-    """Remembered encodings of the runs between blanks.  None marks a run at
-    which a text cannot be cut."""
+def _safe(run: str) -> bool:
+    """Whether a text may be cut before and after this run: no white space or
+    control character at its edges."""
+    return bool(run) and run[0].isprintable() and run[-1].isprintable() and run[0] != " " and run[-1] != " "
+
 
-    def __init__(self, tokenizer, lead: str):
+class _Runs(dict):
+    """Encodings of the runs between blanks, all with the same lead.  The
+    first ``REMEMBERED`` stay for the life of the worker, later ones until
+    ``PASSING`` have come."""
+
+    def __init__(self, encoder: "Encoder", lead: str):
         super().__init__()
-        self.tokenizer, self.lead = tokenizer, lead
-
-    def __missing__(self, run: str):
-        # white space or control characters at an edge: not a safe cut
-        if not run or not (run[0].isprintable() and run[-1].isprintable()) or run[0].isspace() or run[-1].isspace():
-            value = None
-        else:
-            value = array("I", self.tokenizer.encode(self.lead + run, add_special_tokens=False).ids).tobytes()
+        self.encoder, self.lead, self.passing = encoder, lead, {}
+
+    def resolve(self, run: str) -> bytes | None:
+        """Ids of a run that is not remembered; None where a text cannot be
+        cut."""
+        value = self.passing.get(run)
+        if value is None and _safe(run):
+            value = self.encoder.simple(run, self) or self.encoder.whole(self.lead + run)
+            self.put(run, value)
+        return value
+
+    def put(self, run: str, value: bytes) -> None:
         if len(self) < REMEMBERED and len(run) < 64:
             self[run] = value
-        return value
+            return
+        if len(self.passing) >= PASSING:
+            self.passing.clear()
+        self.passing[run] = value
+
+    def known(self, run: str) -> bytes | None:
+        return self.get(run) or self.passing.get(run)
 
 
 class Encoder:
@@ -140,16 +168,65 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first, self.rest = _Pieces(self.tokenizer, ""), _Pieces(self.tokenizer, " ")
+        self.first, self.rest = _Runs(self, ""), _Runs(self, " ")
+        # byte-level BPE without a normaliser: a run of letters is one pre-token
+        kind = self.tokenizer.pre_tokenizer
+        self.plain = (type(kind).__name__ == "ByteLevel" and kind.use_regex and not kind.add_prefix_space
+                      and self.tokenizer.normalizer is None)
+        self.marks: dict[str, bytes] = {}
+        self.feed = self.whole("\n") if self.plain else b""
+        self.model_encode = self.tokenizer.model.tokenize
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def simple(self, run: str, runs: _Runs) -> bytes | None:
+        """Ids of letters, letters and marks, or two such runs around a line
+        feed: there the pre-tokens are certain, and only new letters need the
+        library's model.  None for all other runs."""
+        if not self.plain:
+            return None
+        if run.isalpha():
+            text = runs.lead + run
+            if run.isascii():
+                text = text.replace(" ", "\u0120")
+            else:
+                text = text.encode().decode("latin-1").translate(_BYTE_CHARS)
+            return array("I", [t.id for t in self.model_encode(text)]).tobytes()
+        word = _WORD_AND_MARKS.fullmatch(run)
+        if word and word[1].isalpha() and not any(c.isalnum() for c in word[2]):
+            marks = self.marks.get(word[2])
+            if marks is None:
+                marks = self.whole(word[2])
+                if len(self.marks) < 10_000:
+                    self.marks[word[2]] = marks
+            return self.part(word[1], runs) + marks
+        before, feed, after = run.partition("\n")
+        if feed and _safe(before) and _safe(after):
+            a, b = self.part(before, runs), self.part(after, self.first)
+            if a is not None and b is not None:
+                return a + self.feed + b
+        return None
+
+    def part(self, run: str, runs: _Runs) -> bytes | None:
+        value = runs.known(run)
+        if value is None:
+            value = self.simple(run, runs)
+            if value is not None:
+                runs.put(run, value)
+        return value
 
     def encode(self, text: str) -> np.ndarray:
         runs = text.split(" ")
-        head = self.first[runs[0]] if len(runs[0]) < 200 else None
-        if head is not None and not any(s in text for s in self.special):
-            tail = [*map(self.rest.__getitem__, runs[1:])]
-            if None not in tail:
-                return np.frombuffer(head + b"".join(tail), np.uint32)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        ids = [*map(self.rest.get, runs)]
+        ids[0] = self.first.get(runs[0])
+        if None in ids:
+            for i, value in enumerate(ids):
+                if value is None:
+                    ids[i] = (self.rest if i else self.first).resolve(runs[i])
+        if None in ids or any(s in text for s in self.special):
+            return np.frombuffer(self.whole(text), np.uint32)
+        return np.frombuffer(b"".join(ids), np.uint32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
