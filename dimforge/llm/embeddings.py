@@ -103,11 +103,13 @@ def _compare(threshold: float):
         # at least one at home here, and not already counted in an earlier cell
         at_home = home == cell
         linked &= at_home[:, None] | at_home[None, :]
-        earlier = np.zeros((len(pdf), len(pdf)), bool)
         foreign = np.flatnonzero(home < cell)
         if len(foreign):
-            for j in foreign:
-                earlier[:, j] = [home[j] in c for c in pdf["cells"]]
+            cells = pdf["cells"].to_numpy()
+            inside = np.zeros((len(pdf), max(int(c.max()) for c in cells) + 1), bool)
+            inside[np.repeat(np.arange(len(pdf)), [len(c) for c in cells]), np.concatenate(cells)] = True
+            earlier = np.zeros_like(linked)
+            earlier[:, foreign] = inside[:, home[foreign]]
             linked &= ~(earlier | earlier.T)
         some = linked.any(1)
         root = local_roots(linked)
