@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dimforge.llm.storage import ship_package
+from dimforge.llm.storage import forget, ship_package
 
 ADDED = ("n_words", "spans", "items")
 SHARD_WORDS = 1_500_000
@@ -250,6 +250,7 @@ def _searcher(text: str, out: list[str], item_type: pa.DataType, phrases, shard_
             k += n
 
     def run(batches):
+        forget()
         get = phrases.value.vocab.get
         held, total = [], 0
         for batch in batches:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimforge.llm.storage import materialize, ship_package
+from dimforge.llm.storage import forget, materialize, ship_package
 
 BAD, GOOD, NONE = 1, 0, -1
 SAMPLE = 8_000
@@ -131,6 +131,7 @@ HEADS = ("junk", "toxic")
 def _votes(batches):
     """Vote patterns with their counts, and the features of chosen documents
     (with their two patterns joined)."""
+    forget()
     for batch in batches:
         seen, chosen = Counter(), []
         extra = [batch.column(c).to_pylist() for c in ("chosen", "junk", "toxic")]
@@ -300,6 +301,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, *, key: str = "do
                    T.StructField("keep", T.BooleanType())]
 
     def run(batches):
+        forget()
         junk, toxic = shared.value
         for batch in batches:
             found = [x.features() for x in _texts(batch, text)]

@@ -48,6 +48,17 @@ def write_bytes(folder: str, name: str, data: bytes) -> str:
     return f"{folder}/{leaf}"
 
 
+# What a Python worker remembers between tasks of one operator.
+REMEMBERED: list[dict] = []
+
+
+def forget() -> None:
+    """Called by tasks of other operators: their worker gives that memory
+    back."""
+    for cache in REMEMBERED:
+        cache.clear()
+
+
 def ship_package(spark) -> None:
     """Make this package importable in the Python workers (once per session),
     as ``spark-submit --py-files`` would."""

@@ -46,13 +46,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.llm.storage import REMEMBERED as CACHES
 from dimforge.llm.storage import materialize, scratch, ship_package, write_bytes
 from dimforge.operators.joins import broadcast_if_small
 
 MAGIC = b"DFTOK01\n"
 FILE_IDS = 4_000_000
-REMEMBERED = 400_000
-PASSING = 100_000
+REMEMBERED = 250_000
+PASSING = 50_000
 
 _WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 
@@ -230,6 +231,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+CACHES.append(_ENCODERS)
 
 
 def encoder(path: str) -> Encoder:
