@@ -1,19 +1,24 @@
 """Language-model scoring with Brown class-based n-grams.
 
 Training words are counted with a shuffle over the whole vocabulary.  The
-clustering works on a bounded set of *items*: the ``top_words`` most frequent
+clustering starts from a bounded set of *items*: the ``top_words`` most frequent
 words, the ``suffixes`` most frequent endings (last three bytes) that tie the
 remaining words, and one item for all others.  Item bigrams are counted over
 all training texts; exchange clustering then moves items between ``classes``
-as long as the class bigram likelihood rises.  A text's probability is the
-product over its tokens of class transition times word emission::
+as long as the class bigram likelihood rises.  Then every other training word
+leaves its ending: the classes before and after it are counted with a shuffle
+over the whole vocabulary, and it takes the class that makes them likeliest.
+Class sizes and class bigrams are counted again with these classes; only words
+never seen in training keep the class of their ending.  A text's probability is
+the product over its tokens of class transition times word emission::
 
     P(w | v) = P(class(w) | class(v)) * (count(w) + 1) / (N_class + V_class + 1)
 
-Transitions are interpolated with the class unigram.  Counts of the
+Transitions are interpolated with the class unigram.  Counts and classes of the
 ``known_words`` most frequent words travel by broadcast (a fixed bound);
 all other words are looked up by a join on the word, whose keys are therefore
-never hot.  One row per document and rare word is shuffled, texts never.
+never hot.  One row per document and rare word is shuffled, and one per document
+with a byte per token (its class); texts never.
 
 Tokens: white-space separated words, ASCII lower-cased, then one end token.
 Defined results: NULL and empty texts consist of the end token; a NULL id is
@@ -23,6 +28,7 @@ count is 0 and both scores are uniform; clashing extra columns are not carried.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -34,6 +40,7 @@ from dimforge.llm.storage import materialize, ship_package
 
 END = b"\n"          # cannot be a word
 FLUSH = 300_000
+SLICE = 500          # texts
 BACKOFF = 0.05       # weight of the class unigram in a transition
 
 
@@ -47,6 +54,13 @@ def _binary(column):
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
 
 
+def _slices(batches):
+    """Few texts at a time: a list of their words takes ten times their bytes."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def _count_words(batches):
     seen = Counter()
 
@@ -97,7 +111,7 @@ def _count_bigrams(shared):
         item = np.concatenate([v.item, np.arange(v.n_items)])
         end = v.item[v.known[END]] if END in v.known else v.n_items - 1
         total = np.zeros(v.n_items * v.n_items, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             ws = []                       # every text ends with END, which is also what precedes the next one
             for t in _binary(batch.column("text")):
                 ws += tokens(t.as_py())
@@ -169,10 +183,7 @@ class Model:
         one = np.zeros((len(of), classes))
         one[np.arange(len(of)), of] = 1
         trans = one.T @ bigrams @ one
-        unigram = (trans.sum(0) + 0.5) / (trans.sum() + 0.5 * classes)
-        rows = trans.sum(1, keepdims=True)
-        direct = np.where(rows > 0, trans / np.maximum(rows, 1), unigram[None, :])
-        self.transition = np.log10((1 - BACKOFF) * direct + BACKOFF * unigram[None, :])
+        self.set_transitions(trans)
         size, kinds = trans.sum(0), distinct @ one
         self.vocabulary, self.n_tokens, self.n_words = vocabulary, n_tokens, n_words
         item = np.concatenate([vocabulary.item, np.arange(vocabulary.n_items)])
@@ -180,22 +191,102 @@ class Model:
         self.denominator = np.log10(size + kinds + 1)
         self.log_count = np.concatenate([np.log10(vocabulary.counts + 1), np.zeros(vocabulary.n_items)])
         self.start = self.class_of[vocabulary.known.get(END, len(item) - 1)]
+        self.dtype = np.uint8 if classes <= 256 else np.int32        # of a class in a text's row
 
+    def reassign(self, known: np.ndarray, size: np.ndarray, kinds: np.ndarray) -> None:
+        """New classes of the known words, tokens and words of every class."""
+        self.class_of[:self.vocabulary.n_known] = known
+        self.start = self.class_of[self.vocabulary.known.get(END, len(self.class_of) - 1)]
+        self.denominator = np.log10(size + kinds + 1)
 
-def fit(train: DataFrame, *, classes: int = 48, top_words: int = 600, suffixes: int = 300,
-        known_words: int = 40_000) -> tuple[DataFrame, Model]:
-    """Counts of all training words (``word, c``) and the model, from the
-    ``text`` column of ``train``."""
+    def set_transitions(self, trans: np.ndarray) -> None:
+        classes = len(trans)
+        unigram = (trans.sum(0) + 0.5) / (trans.sum() + 0.5 * classes)
+        rows = trans.sum(1, keepdims=True)
+        direct = np.where(rows > 0, trans / np.maximum(rows, 1), unigram[None, :])
+        self.transition = np.log10((1 - BACKOFF) * direct + BACKOFF * unigram[None, :])
+
+
+def _count_neighbours(shared):
+    """Per word outside the top words: the classes before it (codes from 0) and
+    after it (codes from the number of classes), each packed with its count."""
+    def run(batches):
+        m = shared.value
+        look, n_top = m.vocabulary.lookup(), m.vocabulary.n_top
+        classes = len(m.transition)
+        ids, counted, held = {}, [], 0
+
+        def out():
+            key = np.concatenate([k for k, _ in counted])
+            key, at = np.unique(key, return_inverse=True)
+            n = np.bincount(at, np.concatenate([c for _, c in counted])).astype(np.int64)
+            word, first = np.unique(key // (2 * classes), return_index=True)     # every id, in order
+            offsets = np.append(first, len(key)).astype(np.int32) * 8
+            packed = pa.Array.from_buffers(pa.binary(), len(word), [None, pa.py_buffer(offsets),
+                                                                    pa.py_buffer(n * (2 * classes) + key % (2 * classes))])
+            return pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()), packed], names=["word", "packed"])
+
+        for batch in _slices(batches):
+            ws = []                       # every text ends with END, a top word
+            for t in _binary(batch.column("text")):
+                ws += tokens(t.as_py())
+            at = np.fromiter(map(look.__getitem__, ws), np.int64, len(ws))
+            cls = m.class_of[at]
+            tail = np.flatnonzero((at >= n_top) & (np.arange(len(at)) < len(at) - 1))
+            if not len(tail):
+                continue
+            word = np.fromiter((ids.setdefault(ws[i], len(ids)) for i in tail.tolist()), np.int64, len(tail))
+            before = np.where(tail > 0, cls[tail - 1], m.start)
+            key = np.concatenate([word * (2 * classes) + before, word * (2 * classes) + classes + cls[tail + 1]])
+            counted.append(np.unique(key, return_counts=True))
+            held += len(counted[-1][0])
+            if len(ids) > FLUSH or held > 6 * FLUSH:
+                yield out()
+                ids, counted, held = {}, [], 0
+        if counted:
+            yield out()
+    return run
+
+
+def _unpack(lists, kind):
+    """The row of every number in a column of lists of packed numbers, and the numbers."""
+    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    data = lists.flatten().to_pylist()
+    return np.repeat(rows, [len(d) // kind().itemsize for d in data]), np.frombuffer(b"".join(data), kind)
+
+
+def _best_classes(shared):
+    def run(batches):
+        m = shared.value
+        classes = len(m.transition)
+        gain = np.vstack([m.transition, m.transition.T])             # code x class of the word
+        for batch in batches:
+            row, packed = _unpack(batch.column("packed"), np.int64)
+            seen = np.bincount(row * (2 * classes) + packed % (2 * classes), packed // (2 * classes),
+                               batch.num_rows * 2 * classes).reshape(-1, 2 * classes)
+            c = seen[:, :classes].sum(1)
+            best = np.argmax(seen @ gain - c[:, None] * m.denominator[None, :], 1)
+            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "c": pa.array(c.astype(np.int64)),
+                                              "class": pa.array(best, pa.int32())})
+    return run
+
+
+def _most_frequent(words: DataFrame, n: int) -> DataFrame:
+    """END first, whatever its rank."""
+    return words.orderBy((F.col("word") != F.lit(END)).cast("int"), F.desc("c"), "word").limit(n)
+
+
+def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
+              known_words: int) -> tuple[DataFrame, Model]:
+    """All training words (``word, c, class``), and the model but for its
+    transitions, which are still those between items."""
     spark = train.sparkSession
     ship_package(spark)
     counts = materialize(train.select("text").mapInArrow(_count_words, "word binary, c long")
                               .groupBy("word").agg(F.sum("c").alias("c")), "brown-counts")
     n_words, n_tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(known_words).toArrow()
+    top = _most_frequent(counts, known_words).toArrow()
     known, known_counts = top.column("word").to_pylist(), top.column("c").to_pylist()
-    if END in known:                                                # first, whatever its rank
-        known_counts.insert(0, known_counts.pop(known.index(END)))
-        known.insert(0, known.pop(known.index(END)))
     names = spark.createDataFrame([(bytearray(w),) for w in known[:top_words]], "word binary")
     tail = counts.join(F.broadcast(names), "word", "left_anti").groupBy(F.expr("substring(word, -3)").alias("s"))
     tail = materialize(tail.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("kinds")), "brown-suffixes")
@@ -213,56 +304,155 @@ def fit(train: DataFrame, *, classes: int = 48, top_words: int = 600, suffixes:
     for i, r in enumerate(best):
         distinct[vocabulary.n_top + i] = r["kinds"]
     distinct[-1] = max(0, n_words - distinct.sum())
-    return counts, Model(vocabulary, of, bigrams, distinct, n_tokens, n_words)
+    model = Model(vocabulary, of, bigrams, distinct, n_tokens, n_words)
+    # every other word to its best class
+    shared = spark.sparkContext.broadcast(model)
+    near = (train.select("text").mapInArrow(_count_neighbours(shared), "word binary, packed binary")
+                 .repartition("word").groupBy("word").agg(F.collect_list("packed").alias("packed")))
+    fixed = [(bytearray(w), c, int(k)) for w, c, k in zip(known[:top_words], known_counts, model.class_of)]
+    words = materialize(near.mapInArrow(_best_classes(shared), "word binary, c long, class int")
+                            .unionByName(spark.createDataFrame(fixed, "word binary, c long, class int")), "brown-classes")
+    got = _most_frequent(words, known_words).toArrow()
+    class_of = dict(zip(got.column("word").to_pylist(), got.column("class").to_pylist()))
+    size, kinds = np.zeros((2, len(model.transition)))
+    for r in words.groupBy("class").agg(F.sum("c").alias("size"), F.count(F.lit(1)).alias("kinds")).collect():
+        size[r["class"]], kinds[r["class"]] = r["size"], r["kinds"]
+    model.reassign(np.array([class_of[w] for w in known], np.int64), size, kinds)
+    return words, model
+
+
+def _count_transitions(n: int, kind):
+    def run(batches):
+        total = np.zeros(n * n, np.int64)
+        for batch in _slices(batches):
+            seq, _ = _sequences(batch, kind)
+            if len(seq):                  # every text ends with END, which is also what precedes the next one
+                total += np.bincount(np.concatenate([seq[-1:], seq[:-1]]) * n + seq, minlength=n * n)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(np.arange(n * n)), "n": pa.array(total)})
+    return run
+
+
+def _set_transitions(encoded: DataFrame, model: Model) -> None:
+    n = len(model.transition)
+    got = (encoded.select("n_tokens", "seq", "at", "cls").mapInArrow(_count_transitions(n, model.dtype), "k long, n long")
+                  .groupBy("k").agg(F.sum("n").alias("n")).toArrow())
+    trans = np.zeros(n * n)
+    trans[got.column("k").to_numpy()] = got.column("n").to_numpy()
+    model.set_transitions(trans.reshape(n, n))
+
+
+def fit(train: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes: int = 400,
+        known_words: int = 40_000) -> tuple[DataFrame, Model]:
+    """All training words with count and class (``word, c, class``) and the
+    model, from the ``text`` column of ``train``."""
+    words, model = _classify(train, classes, top_words, suffixes, known_words)
+    rows = train.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text")
+    _set_transitions(_encode(rows, words, model), model)
+    return words, model
+
+
+def fit_score(docs: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes: int = 400,
+              known_words: int = 40_000) -> DataFrame:
+    """:func:`score` of all rows by the :func:`fit` to those not held out; the
+    classes of rare words are joined once for both."""
+    words, model = _classify(docs.where("not held_out"), classes, top_words, suffixes, known_words)
+    encoded = materialize(_encode(docs, words, model), "brown-encoded")
+    _set_transitions(encoded.where("not held_out"), model)
+    return _score(encoded, model)
 
 
 def _score_rows(shared):
-    """One row per document, and one per document and word outside the
-    broadcast counts."""
-    names = ["rid", "word", "tf", "doc_id", "held_out", "n_tokens", "known", "logs", "classes"]
+    """One row per document with the classes of its tokens (by ending for words
+    outside the broadcast counts), and one per document and such word with its
+    places."""
+    names = ["rid", "word", "tf", "at", "doc_id", "held_out", "n_tokens", "known", "logs", "seq"]
 
     def run(batches):
         m = shared.value
         look, n_known = m.vocabulary.lookup(), m.vocabulary.n_known
-        for batch in batches:
-            rid, word, tf, doc = [], [], [], []
+        for batch in _slices(batches):
+            rid, word, tf, places, doc = [], [], [], [], []
             for r, d, held, t in zip(*(batch.column(c).to_pylist() for c in ("rid", "doc_id", "held_out")),
                                      _binary(batch.column("text"))):
                 ws = tokens(t.as_py())
                 at = np.fromiter(map(look.__getitem__, ws), np.int64, len(ws))
-                cls = m.class_of[at]
-                classes = m.transition[np.concatenate([[m.start], cls[:-1]]), cls].sum() - m.denominator[cls].sum()
                 rare = np.flatnonzero(at >= n_known)
                 rid.append(r)
                 word.append(b" " + r.to_bytes(8, "big"))             # no word starts with a blank: spreads the rows
                 tf.append(0)
-                doc.append((d, held, len(ws), len(ws) - len(rare), float(m.log_count[at].sum()), float(classes)))
-                found = Counter(map(ws.__getitem__, rare.tolist()))
+                places.append(None)
+                doc.append((d, held, len(ws), len(ws) - len(rare), float(m.log_count[at].sum()),
+                            m.class_of[at].astype(m.dtype).tobytes()))
+                found = {}
+                for i in rare.tolist():
+                    found.setdefault(ws[i], []).append(i)
                 rid += [r] * len(found)
                 word += found.keys()
-                tf += found.values()
+                tf += map(len, found.values())
+                places += [array("i", x).tobytes() for x in found.values()]
                 doc += [(None,) * 6] * len(found)
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            columns = [rid, word, tf, *(list(zip(*doc)) if doc else [[]] * 6)]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary()]
+            columns = [rid, word, tf, places, *(list(zip(*doc)) if doc else [[]] * 6)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
 
 
-def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """Scores of ``(doc_id, held_out, text)`` rows: ``doc_id, held_out,
-    n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def _encode(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """Per document its counts, the classes of its tokens (``seq``), and places
+    and classes of its rare training words (``at``, ``cls``)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
-        _score_rows(shared), "rid long, word binary, tf long, doc_id long, held_out boolean, n_tokens long, "
-                             "known long, logs double, classes double")
-    joined = rows.join(counts, "word", "left")
+        _score_rows(shared), "rid long, word binary, tf long, at binary, doc_id long, held_out boolean, n_tokens long, "
+                             "known long, logs double, seq binary")
+    # sent as it is joined: rows of a document meet once, without a partial aggregate before
+    joined = rows.join(words, "word", "left").drop("word").repartition("rid")
     c = F.coalesce("c", F.lit(0))
-    per = joined.groupBy("rid").agg(
+    found = F.col("class").isNotNull()
+    return joined.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         (F.max("known") + F.sum(F.when(c > 0, F.col("tf")).otherwise(0))).alias("n_known"),
-        (F.max("logs") + F.sum(F.col("tf") * F.log10(c + 1))).alias("logs"), F.max("classes").alias("classes"))
+        (F.max("logs") + F.sum(F.col("tf") * F.log10(c + 1))).alias("logs"), F.first("seq", True).alias("seq"),
+        F.collect_list(F.when(found, F.struct("at", "class"))).alias("rare")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "logs", "seq", F.col("rare.at").alias("at"), F.col("rare.class").alias("cls"))
+
+
+def _sequences(batch, kind):
+    """The classes of the tokens of all texts, one after the other, and where
+    each text starts."""
+    n = batch.column("n_tokens").to_numpy()
+    start = np.cumsum(n) - n
+    seq = np.frombuffer(b"".join(batch.column("seq").to_pylist()), kind).astype(np.int64)
+    at, cls = batch.column("at"), batch.column("cls").flatten().to_numpy(zero_copy_only=False)
+    row, place = _unpack(at, np.int32)
+    seq[start[row] + place] = np.repeat(cls, [len(x) // 4 for x in at.flatten().to_pylist()])
+    return seq, start
+
+
+def _score_classes(shared):
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "logs"]
+
+    def run(batches):
+        m = shared.value
+        for batch in _slices(batches):
+            seq, start = _sequences(batch, m.dtype)
+            each = m.transition[np.concatenate([[m.start], seq[:-1]]), seq] - m.denominator[seq] if len(seq) else np.zeros(0)
+            total = np.add.reduceat(each, start) if len(start) else each
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total)], names=[*names, "classes"])
+
+    return run
+
+
+def _score(encoded: DataFrame, model: Model) -> DataFrame:
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    per = encoded.mapInArrow(_score_classes(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                                                     "logs double, classes double")
     base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(model.n_tokens + model.n_words + 1)))
     return per.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
                       base.alias("base_score"), (F.col("logs") + F.col("classes")).alias("score"))
+
+
+def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """Scores of ``(doc_id, held_out, text)`` rows: ``doc_id, held_out,
+    n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
+    return _score(_encode(docs, words, model), model)

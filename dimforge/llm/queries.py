@@ -97,8 +97,7 @@ def op9_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", (F.crc32(key.cast("binary")) % 7 == 2).alias("held_out"), "text")
-    counts, model = brown.fit(docs.where("not held_out"))
-    return brown.score(docs, counts, model)
+    return brown.fit_score(docs)
 
 
 def op10_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

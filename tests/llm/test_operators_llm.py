@@ -343,6 +343,40 @@ def test_brown_model_is_a_distribution():
     assert np.allclose((10 ** m.transition).sum(1), 1)
 
 
+def test_brown_classes_cover_the_whole_vocabulary(spark):
+    # words in zzz stand in the places of those in aaa or those in bbb, and no word is among the top or known words
+    rng = np.random.default_rng(5)
+    a, b = ([f"{k}{i:03d}{'zzz' if i < 100 else 3 * k}" for i in range(300)] for k in "ab")
+    rows = [(i, i % 5 == 0, " ".join(w for _ in range(20) for w in ("the", a[rng.integers(300)], "of", b[rng.integers(300)]))) for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")
+    options = {"known_words": 20, "top_words": 3, "suffixes": 3, "classes": 5}
+    words, model = brown.fit(d.where("not held_out"), **options)
+    got = {bytes(r["word"]).decode(): r for r in words.collect()}
+    counted = Counter(w for _, held, t in rows if not held for w in t.split())
+    assert {w: r["c"] for w, r in got.items() if w != "\n"} == counted
+    classes = [{got[w]["class"] for w in ws if w in got} for ws in (a, b)]
+    assert len(classes[0]) == len(classes[1]) == 1 and classes[0] != classes[1]
+    # scores are those of a plain loop over the tokens
+    of = {w: r["class"] for w, r in got.items()}
+    trans = np.zeros((5, 5))
+    for _, held, t in rows:
+        if not held:
+            s = [of["\n"], *(of[w] for w in t.split()), of["\n"]]
+            np.add.at(trans, (s[:-1], s[1:]), 1)
+    unigram = (trans.sum(0) + 0.5) / (trans.sum() + 2.5)
+    p = 0.95 * trans / np.maximum(trans.sum(1, keepdims=True), 1) + 0.05 * unigram
+    p[trans.sum(1) == 0] = unigram
+    size, kinds = trans.sum(0), np.bincount(list(of.values()), minlength=5)
+    scores = {r.doc_id: r.score for r in brown.score(d, words, model).collect()}
+    for i, _, t in rows:
+        ws = [*t.split(), "\n"]
+        if all(w in of for w in ws):
+            cls = [of["\n"], *(of[w] for w in ws)]
+            assert scores[i] == pytest.approx(sum(np.log10(p[x, y] * (got[w]["c"] + 1) / (size[y] + kinds[y] + 1))
+                                                  for x, y, w in zip(cls, cls[1:], ws)))
+    assert {r.doc_id: r.score for r in brown.fit_score(d, **options).collect()} == pytest.approx(scores)
+
+
 def test_brown_without_training_texts(spark):
     d = spark.createDataFrame([(1, True, "a b")], "doc_id long, held_out boolean, text string")
     counts, model = brown.fit(d.where("not held_out"))
