@@ -8,7 +8,10 @@ An identifier that no rule takes is reported as ``fragment``.
 
 A sentence ends at ``. ! ?`` before white space or the end of the text, so a
 sentence may run over several lines (wrapped licence texts).  If such a
-sentence is not known as a whole, its lines are looked up one by one.
+sentence is not known as a whole, the known sentences in it are looked for that
+start and end with its lines: after a copyright line, a blank line, a colon or a
+list number, and over any number of lines (the longest first).  Comment marks
+and list numbers around a line do not count.  ``n_sentences`` counts by ``. ! ?``.
 
 Defined results: NULL and empty texts have no sentences and no licences;
 repeated sentences count each time they occur; input columns that clash with
@@ -18,6 +21,8 @@ is one projection over the scan: no shuffle, no Python, any text length.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +73,14 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ENDS = r"[.!?]+(?:[\x09-\x0D\x20]+|$)"
 NOISE = r"[\x00-\x20!-*,:-@\[-`{-\x7F]+"
+_BLANK = r"[\x00-\x20]"
+# what comes before the words of a line: comment marks, then a list number or bullet
+PREFIX = (rf"^(?:{_BLANK}|/\*+|\*+/|//+|--+|<!--|[*#;%!>|]|(?:dnl|rem)(?={_BLANK}))*"
+          rf"(?:(?:\(?(?:[0-9]{{1,2}}|[a-z])\)|[0-9]{{1,2}}\.|[-+\u2022\u00b7]){_BLANK}+)?")
+SUFFIX = rf"{_BLANK}*(?:\*+/|-->){_BLANK}*$"
+# the number of the next list item, cut off from it by its full stop
+NEXT_ITEM = rf":{_BLANK}+\(?[0-9]{{1,2}}\)?{_BLANK}*$"
+RULER = r"^[-+./ ]*$"
 ADDED = ("n_sentences", "sentence_ids", "licenses")
 
 
@@ -86,10 +99,17 @@ def recognise(docs: DataFrame, *, text: str = "text", sentences=SENTENCES, rules
     low = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
     raw = F.filter(F.split(low, ENDS), lambda s: F.length(_normal(s)) > 0)
 
+    longest = sorted((s for _, s in sentences.values()), key=lambda s: (-len(s), s))
+    inside = "\n(" + "|".join(re.escape(s).replace("\\ ", "[ \n]") for s in longest) + ")(?=\n)"
+
     def known(s):
-        lines = F.transform(F.split(s, r"[\x0A\x0D]+"), lambda line: F.element_at(letter, _normal(line)))
+        lines = F.transform(F.split(F.regexp_replace(s, NEXT_ITEM, ""), r"[\x0A\x0D]+"), lambda line: _normal(
+            F.regexp_replace(F.regexp_replace(line, PREFIX, ""), SUFFIX, "")))
+        lines = F.filter(lines, lambda line: ~line.rlike(RULER))
+        found = F.regexp_extract_all(F.concat(F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n")), F.lit(inside), F.lit(1))
         whole = F.element_at(letter, _normal(s))
-        return F.when(whole.isNotNull(), whole).otherwise(F.array_join(lines, ""))
+        return F.when(whole.isNotNull(), whole).otherwise(F.array_join(
+            F.transform(found, lambda m: F.element_at(letter, F.translate(m, "\n", " "))), ""))
 
     # array_join skips NULLs, so unknown sentences leave no letter
     step = (base.select("*", raw.alias("_raw"))

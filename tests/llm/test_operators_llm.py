@@ -265,6 +265,92 @@ def test_license_rules(spark):
     assert licenses.recognise(docs(spark, [])).count() == 0
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2021 Jane A. Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+""",
+    "Apache-2.0": """Copyright 2019 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""",
+    "BSD-3-Clause": """Copyright (c) 2018, Some Holder
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+""",
+    "GPL-3.0-or-later": """frob - a program
+Copyright (C) 2020  Some Holder
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+""",
+}
+
+
+def test_wrapped_licence_texts(spark):
+    forms = {"plain": "{}", "slashes": "// {}", "hash": "# {}", "dashes": "-- {}", "star": " * {}", "indent": "    {}"}
+    rows = [(i, "\n".join(form.format(line) for line in text.split("\n")), f"{name} {kind}")
+            for i, (name, text, kind, form) in enumerate((n, t, k, f) for n, t in WRAPPED.items() for k, f in forms.items())]
+    rows += [(100, "/*\n" + rows[4][1] + "\n */\nint main;", "MIT block"), (101, rows[0][1].replace("\n", "\r\n"), "MIT crlf"),
+             (102, WRAPPED["BSD-3-Clause"].replace("1. ", "(a) ").replace("2. ", "(b) ").replace("3. ", "(c) "), "BSD-3-Clause letters"),
+             (103, " ".join(WRAPPED["BSD-3-Clause"].split("\n\n", 1)[1].split()), "BSD-3-Clause one")]
+    got = {r.source: list(r.licenses) for r in licenses.recognise(docs(spark, rows)).collect()}
+    assert got == {source: [source.split()[0]] for _, _, source in rows}
+
+
 # --- 7 chat -------------------------------------------------------------------------------
 
 def test_trees_rank_and_format_branches(spark):
