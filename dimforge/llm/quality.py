@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from dimforge.llm.storage import forget, materialize, ship_package
 
 BAD, GOOD, NONE = 1, 0, -1
-SAMPLE = 8_000
+SAMPLE = 12_000
 ADDED = ("junk_score", "toxic_score", "keep")
 
 # Insults, in overlapping lists, one labeller each.
@@ -232,7 +232,7 @@ class Scorer:
                         else:
                             w[j] = new
                 # sweep the non-zero weights until they settle, then all once more
-                settled = largest < 2e-2
+                settled = largest < 1e-3
                 if settled and len(active) == len(everything):
                     break
                 active = everything if settled else np.flatnonzero(w)

@@ -390,6 +390,19 @@ def test_label_model_recovers_accuracies():
     assert abs(m.share[1] - 0.2) < 0.06 and ((post > 0.5) == bad).mean() > 0.93
 
 
+def test_scorer_is_fitted_to_the_end_on_the_whole_sample():
+    assert quality.SAMPLE == 12_000
+    rng = np.random.default_rng(4)
+    shared = rng.random(600) < 0.5                                    # makes the features depend on each other
+    x = rng.random((600, 40)) < np.where(shared[:, None], 0.7, 0.2)
+    y = (rng.random(600) < 1 / (1 + np.exp(-(x[:, :6].sum(1) - 3.0)))).astype(float)
+    s = quality.Scorer([np.flatnonzero(r).astype(np.uint32).tobytes() for r in x], y)
+    w = np.array([s.weights.get(j, 0.0) for j in range(40)])
+    off = 1 / (1 + np.exp(-(s.bias + x @ w))) - y
+    step = [(off @ x[:, j] / 600 + 1e-4 * np.sign(w[j])) / (0.25 * x[:, j].sum() / 600) for j in np.flatnonzero(w)]
+    assert np.abs(step).max() < 4e-3 and abs(4 * off.mean()) < 4e-3
+
+
 def test_quality_on_labelled_rows_and_edges(spark, sf_dir):
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
