@@ -122,5 +122,65 @@ SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.low
 FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
+FILL_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+e AS (
+  SELECT *, len(u)::BIGINT AS n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN range(4)] AS r FROM d),
+c AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR r[3] % 100 >= 100 THEN 'plain'
+              WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM e),
+p AS (
+  SELECT doc_id, n, form, text, array_to_string(u[1:a], '') AS x, array_to_string(u[a + 1:b], '') AS y,
+         array_to_string(u[b + 1:], '') AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(x)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(y)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+                        ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?
+-
+]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+g AS (
+  SELECT lang, size, array_to_string(w[i + 1:i + size], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(len(w) - size + 1)) AS i FROM w, range(1, 4) s(size) WHERE len(w) >= size)),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+part AS MATERIALIZED (SELECT lang || chr(10) || phrase AS key, f FROM f WHERE f >= 10),
+cand AS MATERIALIZED (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+cut AS MATERIALIZED (
+  SELECT lang, phrase, a, k, lang || chr(10) || array_to_string(w[1:k], ' ') AS lk,
+         lang || chr(10) || array_to_string(w[k + 1:], ' ') AS rk
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)),
+score AS (
+  SELECT cut.*, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cut JOIN part l ON l.key = lk JOIN part r ON r.key = rk),
+best AS (
+  SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner2 AS (
+  SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE size = 3
+  UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE size = 3),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM inner2 i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 50 * b.a))
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank,
+       phrase, a, l, r, n, score
+FROM kept k JOIN total ON total.lang = k.lang QUALIFY rank <= 2000
+"""
+
 ORACLE = {"op1_mix_sources": MIX, "op6_license_scan": LICENSES, "op7_chat_format": CHAT,
-          "op5_warc": WARC, "op10_near_embeddings": EMBEDDINGS}
+          "op5_warc": WARC, "op10_near_embeddings": EMBEDDINGS,
+          "op11_fill_middle": FILL_MIDDLE, "op12_collocations": COLLOCATIONS}

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import (brown, chat, chosen_path, decontaminate, embeddings, licenses, mixing, quality, token_files,
-                          warc)
+from dimforge.llm import (brown, chat, chosen_path, collocations, decontaminate, embeddings, fill_middle, fingerprints,
+                          licenses, mixing, quality, token_files, warc)
 from dimforge.llm.storage import materialize
 from dimforge.sources.tables import read_table
 
@@ -105,6 +105,28 @@ def op10_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    threshold=0.93)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    made = fill_middle.transform(docs, keep=["doc_id"], seed=7, fim_percent=100, spm_percent=50)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                       digest(fill_middle.restore()).alias("restored_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "lang", "text")
+    return collocations.mine(docs, min_words=2, max_words=3, threshold=10, absorb_percent=50,
+                             top=2000).withColumnRenamed("grp", "lang")
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = fingerprints.compare_with_next(docs, keep=["doc_id"])
+    text_form = lambda c: F.lower(F.hex(c)).alias(c)
+    return found.select("doc_id", "n_chars", "edited_sha256", text_form("fingerprint"), text_form("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline                  # it imports this module
 
@@ -112,4 +134,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_token_files, op4_jaccard_join, op5_warc, op6_license_scan,
-                                  op7_chat_format, op8_quality, op9_brown_score, op10_near_embeddings, pipeline)}
+                                  op7_chat_format, op8_quality, op9_brown_score, op10_near_embeddings, op11_fill_middle,
+                                  op12_collocations, op13_fingerprints, pipeline)}
