@@ -1,23 +1,30 @@
 """Quality classifier from weak labels.
 
 Labellers vote on every document (bad, good, or no opinion), in two heads:
-junk and toxic.  Most are heuristics on the text; if a table of judgements is
-given, a bounded hash sample of it (``sample`` rows) is one more labeller.  The
-votes of all documents are counted by pattern; expectation-maximisation on the
-pattern counts estimates each labeller's accuracy and the share of bad
-documents, which gives every pattern a posterior probability.  The posteriors
-label the sampled documents (without judgements: a hash sample of about as many
-documents), on which a hashed linear scorer is fitted per head (logistic loss,
-L1 penalty by coordinate descent, so that the many rare words of a long text
-carry no weight).  The scorer, not the votes, decides: a document is kept if
-both scores are below ``threshold``.
+junk and toxic.  Most are heuristics on the text; judgements from a table are
+one more labeller, whose accuracy is estimated like any other's.  The votes of
+all documents are counted by pattern; expectation-maximisation on the pattern
+counts estimates each labeller's accuracy and the share of bad documents, which
+gives every pattern a posterior probability.
+
+A sample of at most about ``sample`` documents, judged ones first (two thirds
+at most) and a hash sample of the rest, is labelled by these posteriors, and a
+hashed linear scorer is fitted to it per head (logistic loss, L1 penalty by
+coordinate descent, so that the many rare words of a long text carry no
+weight).  A document weighs what its votes tell: 1 for a certain posterior, 0
+for one that is as uncertain as the class shares.  The scorer, not the votes,
+decides: a document is kept if both scores are below ``threshold``.
 
 Whole texts are read, in two passes, and never shuffled.  Pattern counts are
-bounded by 3 to the number of labellers, the model by the sample.
+bounded by 3 to the number of labellers, the model by the sample: one document
+per judged id and one per sampled text, chosen before features leave Spark.
 
 Defined results: NULL and empty texts draw no votes and are kept unless the
-model says otherwise; repeated rows are judged separately and alike; an empty
-table gives an empty result; the added columns replace clashing input columns.
+model says otherwise; repeated rows are judged separately and alike, and trained
+on once; an id judged twice takes the worse judgement; a NULL judgement is no
+opinion; judgements that are empty or of no document's id change nothing
+(as without the table); an empty table gives an empty result; the added columns
+replace clashing input columns.
 """
 
 from __future__ import annotations
@@ -33,10 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimforge.llm.storage import forget, materialize, ship_package
+from dimforge.llm.storage import forget, materialize, ship_package, tidy
 
 BAD, GOOD, NONE = 1, 0, -1
 SAMPLE = 12_000
+JUDGED = 2 / 3               # of the sample, at most
 ADDED = ("junk_score", "toxic_score", "keep")
 
 # Insults, in overlapping lists, one labeller each.
@@ -130,23 +138,33 @@ HEADS = ("junk", "toxic")
 
 def _votes(batches):
     """Vote patterns with their counts, and the features of chosen documents
-    (with their two patterns joined)."""
+    (with their two patterns joined), one per id or text and batch."""
     forget()
     for batch in batches:
-        seen, chosen = Counter(), []
-        extra = [batch.column(c).to_pylist() for c in ("chosen", "junk", "toxic")]
-        for x, pick, junk, toxic in zip(_texts(batch, "text"), *extra):
+        seen, chosen = Counter(), {}
+        extra = [batch.column(c).to_pylist() for c in ("chosen", "hash", "junk", "toxic")]
+        for x, pick, h, junk, toxic in zip(_texts(batch, "text"), *extra):
             j, t = (*x.junk_votes(), junk), (*x.toxic_votes(), toxic)
             seen["junk", j] += 1
             seen["toxic", t] += 1
-            if pick:
-                chosen.append((j + t, x.features()))
-        votes = [list(v) for _, v in seen] + [list(v) for v, _ in chosen]
+            if pick is not None and (pick not in chosen or h < chosen[pick][0]):
+                chosen[pick] = h, j + t, x.features().tobytes()
+        votes = [list(v) for _, v in seen] + [list(v) for _, v, _ in chosen.values()]
         yield pa.RecordBatch.from_pydict({
             "head": pa.array([h for h, _ in seen] + ["both"] * len(chosen), pa.string()),
             "votes": pa.array(votes, pa.list_(pa.int64())),
             "n": pa.array([*seen.values()] + [1] * len(chosen), pa.int64()),
-            "features": pa.array([None] * len(seen) + [f.tobytes() for _, f in chosen], pa.binary())})
+            "chosen": pa.array([None] * len(seen) + list(chosen), pa.string()),
+            "hash": pa.array([None] * len(seen) + [h for h, _, _ in chosen.values()], pa.int64()),
+            "features": pa.array([None] * len(seen) + [f for _, _, f in chosen.values()], pa.binary())})
+
+
+# Rates at which a labeller has no opinion, says good, says bad: of good and of
+# bad documents.  EM starts from them.
+DETECTOR = ((0.6, 0.39, 0.01), (0.6, 0.05, 0.35))
+WORD_LIST = ((0.3, 0.69, 0.01), (0.3, 0.35, 0.35))         # says good of texts without the words it knows
+JUDGE = ((0.6, 0.398, 0.002), (0.6, 0.002, 0.398))
+STARTS = {"junk": {-1: JUDGE}, "toxic": {-1: JUDGE, -2: WORD_LIST}}
 
 
 class LabelModel:
@@ -154,16 +172,16 @@ class LabelModel:
     independent given the class; "no opinion" lowers a labeller's rate of
     votes but is no evidence itself (detectors are silent together).
     Pseudo-counts (``strength`` documents) start every labeller better than
-    chance, so the bad class stays the bad one; for the last labeller
-    (judgements) they weigh as much as all documents."""
+    chance, so the bad class stays the bad one; from there the votes decide,
+    for judgements as for heuristics."""
 
-    def __init__(self, votes: np.ndarray, n: np.ndarray, rounds: int = 50, strength: float = 20.0):
-        k = votes.shape[1]
+    def __init__(self, votes: np.ndarray, n: np.ndarray, starts: dict | None = None, rounds: int = 50,
+                 strength: float = 20.0):
         seen = np.stack([votes == NONE, votes == GOOD, votes == BAD], 2).astype(float)   # pattern, labeller, outcome
-        p = np.repeat(np.array([[[0.6, 0.39, 0.01]], [[0.6, 0.05, 0.35]]]), k, 1)        # class, labeller, outcome
-        p[:, -1] = [[0.6, 0.398, 0.002], [0.6, 0.002, 0.398]]
+        p = np.repeat(np.array(DETECTOR)[:, None], votes.shape[1], 1)                    # class, labeller, outcome
+        for labeller, rates in (starts or {}).items():
+            p[:, labeller] = rates
         prior = strength * p
-        prior[:, -1] *= max(1.0, n.sum() / strength)
         share = np.array([0.9, 0.1])
         for _ in range(rounds):
             post = self._posterior(seen, p, share)
@@ -175,6 +193,11 @@ class LabelModel:
         self.accuracy = p[1, :, 2] / (p[1, :, 2] + p[0, :, 2])
         self.of = {tuple(v): float(b) for v, b in zip(votes.tolist(), self._posterior(seen, p, share)[:, 1])}
 
+    def weight(self, posterior: np.ndarray) -> np.ndarray:
+        """What is known beyond the class shares: 1 minus the ratio of
+        entropies, 0 at least."""
+        return np.clip(1 - _entropy(posterior) / _entropy(self.share[1]), 0.0, 1.0)
+
     @staticmethod
     def _posterior(seen, p, share):
         log = np.einsum("pko,cko->pc", seen[:, :, 1:], np.log(p[:, :, 1:])) + np.log(share)
@@ -183,25 +206,33 @@ class LabelModel:
         return e / e.sum(1, keepdims=True)
 
 
+def _entropy(p):
+    p = np.clip(p, 1e-12, 1 - 1e-12)
+    return -(p * np.log(p) + (1 - p) * np.log(1 - p))
+
+
 class Scorer:
     """Hashed linear scorer: bias and the non-zero weights."""
 
-    def __init__(self, docs: list[bytes], y: np.ndarray, penalty: float = 1e-3, rounds: int = 60):
-        n = max(1, len(docs))
-        mean = float(np.clip(y.mean() if len(y) else 0.0, 1e-4, 1 - 1e-4))
+    def __init__(self, docs: list[bytes], y: np.ndarray, weight: np.ndarray | None = None, penalty: float = 1e-3,
+                 rounds: int = 60):
+        size = max(1, len(docs))
+        weight = np.ones(len(docs)) if weight is None else weight
+        n = float(weight.sum())
+        mean = float(np.clip((y * weight).sum() / n if n > 0 else 0.0, 1e-4, 1 - 1e-4))
         self.bias, self.weights = float(np.log(mean / (1 - mean))), {}
-        if not len(docs):
+        if n <= 0:
             return
         hashed = np.frombuffer(b"".join(docs), np.uint32)
         row = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) // 4 for d in docs])
         # features whose gradient at zero stays below the penalty keep weight 0;
         # the gradient cannot exceed the share of documents that have the feature
         feature, count = np.unique(hashed, return_counts=True)
-        feature = feature[count > penalty / 2 * n]
+        feature = feature[count > penalty / 2 * n]          # no document weighs more than 1
         at = np.minimum(np.searchsorted(feature, hashed), max(0, len(feature) - 1)).astype(np.int32)
         use = feature[at] == hashed if len(feature) else np.zeros(len(hashed), bool)
         row, at = row[use], at[use]
-        start = np.bincount(at, (mean - y)[row], len(feature)) / n
+        start = np.bincount(at, ((mean - y) * weight)[row], len(feature)) / n
         live = np.flatnonzero(np.abs(start) > penalty / 2)
         new = np.full(len(feature), -1, np.int32)
         new[live] = np.arange(len(live))
@@ -210,7 +241,7 @@ class Scorer:
         order = np.argsort(col, kind="stable")
         columns = np.split(row[order], np.cumsum(np.bincount(col, minlength=len(live)))[:-1])
         w, b = np.zeros(len(live)), self.bias
-        margin = np.full(n, b)
+        margin = np.full(size, b)
         for strength in (penalty, penalty / 10):            # select features, then fit them with less shrinkage
             everything = np.arange(len(live)) if strength == penalty else np.flatnonzero(w)
             active = everything
@@ -218,8 +249,10 @@ class Scorer:
                 largest = 0.0
                 for j in (-1, *active.tolist()):
                     rows = columns[j] if j >= 0 else slice(None)
-                    residual = 1 / (1 + np.exp(-np.clip(margin[rows], -30, 30))) - y[rows]
-                    curve = 0.25 * len(residual) / n                 # bound of the second derivative
+                    residual = (1 / (1 + np.exp(-np.clip(margin[rows], -30, 30))) - y[rows]) * weight[rows]
+                    curve = 0.25 * weight[rows].sum() / n            # bound of the second derivative
+                    if curve <= 0:
+                        continue
                     old = b if j < 0 else w[j]
                     new = old - residual.sum() / n / curve
                     if j >= 0:
@@ -244,31 +277,41 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.bias + sum(get(f, 0.0) for f in features.tolist()), -30, 30))))
 
 
+def _judgements(labels: DataFrame, key: str, most: int) -> DataFrame:
+    """``lk, junk, toxic`` of a hash sample of at most ``most`` judged ids."""
+    vote = lambda c: F.coalesce(c.cast("long"), F.lit(NONE).cast("long"))
+    return (labels.select(F.col(key).alias("lk"), "quality", "toxic").where("lk is not null")
+                  .groupBy("lk").agg(vote(1 - F.min("quality")).alias("junk"), vote(F.max("toxic")).alias("toxic"))
+                  .orderBy(F.xxhash64("lk"), "lk").limit(most))
+
+
 def fit(docs: DataFrame, labels: DataFrame | None = None, *, text: str = "text", key: str = "doc_id",
         sample: int = SAMPLE) -> dict:
-    """Label models and scorers of both heads.  ``labels``: judgements
-    ``(key, quality, toxic)``, of which at most ``sample`` rows are used."""
+    """Label models and scorers of both heads.  ``labels``: judgements ``(key,
+    quality, toxic)``, of which at most two thirds of ``sample`` are used."""
     spark = docs.sparkSession
     ship_package(spark)
-    only = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    none = F.lit(NONE).cast("long")
-    if labels is None:
-        total = max(1, only.count())
-        share = min(1.0, sample / total)
-        rows = only.select("text", (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30)).alias("chosen"),
-                           none.alias("junk"), none.alias("toxic"))
-    else:
-        judged = (labels.select(F.col(key).alias("lk"), "quality", "toxic").where("lk is not null")
-                        .orderBy(F.xxhash64("lk"), "lk", "quality", "toxic").limit(sample)
-                        .groupBy("lk").agg((1 - F.min("quality")).cast("long").alias("junk"),
-                                           F.max("toxic").cast("long").alias("toxic")))
-        joined = only.join(F.broadcast(judged), F.col("key") == F.col("lk"), "left")    # at most `sample` rows
-        rows = joined.select("text", F.col("lk").isNotNull().alias("chosen"), F.coalesce("junk", none).alias("junk"),
+    only = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    none, matched = F.lit(NONE).cast("long"), 0
+    total = max(1, docs.count())
+    if labels is not None:
+        judged = materialize(_judgements(labels, key, int(JUDGED * sample)), "quality-judged")
+        matched = (docs.select(F.col(key).alias("lk")).join(F.broadcast(judged.select("lk")), "lk", "left_semi")
+                       .distinct().count())
+    share = min(1.0, (sample - matched) / total)
+    drawn = F.when(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30), F.concat(F.lit("text "), F.col("hash").cast("string")))
+    if matched:
+        joined = only.join(F.broadcast(judged), F.col("key") == F.col("lk"), "left")    # fewer rows than `sample`
+        chosen = F.when(F.col("lk").isNotNull(), F.concat(F.lit("id "), F.col("lk").cast("string"))).otherwise(drawn)
+        rows = joined.select("text", "hash", chosen.alias("chosen"), F.coalesce("junk", none).alias("junk"),
                              F.coalesce("toxic", none).alias("toxic"))
-    raw = materialize(rows.mapInArrow(_votes, "head string, votes array<long>, n long, features binary"),
-                      "quality-votes")
+    else:
+        rows = only.select("text", "hash", drawn.alias("chosen"), none.alias("junk"), none.alias("toxic"))
+    raw = materialize(rows.mapInArrow(tidy(_votes), "head string, votes array<long>, n long, chosen string, hash long, "
+                                                    "features binary"), "quality-votes")
     counted = raw.where("head <> 'both'").groupBy("head", "votes").agg(F.sum("n").alias("n")).collect()
-    got = raw.where("head = 'both'").select("votes", "features").toArrow()          # about `sample` rows
+    one = raw.where("head = 'both'").groupBy("chosen").agg(F.min_by(F.struct("votes", "features"), "hash").alias("x"))
+    got = one.select("x.votes", "x.features").toArrow()                              # about `sample` rows
     # a fixed order: the sums of the fit do not depend on how rows arrive
     chosen = sorted(zip(got.column("features").to_pylist(), map(tuple, got.column("votes").to_pylist())))
     del got
@@ -278,11 +321,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, text: str = "text",
         if not patterns:
             model[head], model[head + "_scorer"] = None, Scorer([], np.zeros(0))
             continue
-        m = LabelModel(np.array([v for v, _ in patterns]), np.array([n for _, n in patterns], float))
+        m = LabelModel(np.array([v for v, _ in patterns]), np.array([n for _, n in patterns], float), STARTS[head])
         k = len(patterns[0][0])
         y = np.array([m.of[v[width:width + k]] for _, v in chosen])
         width += k
-        model[head], model[head + "_scorer"] = m, Scorer([f for f, _ in chosen], y)
+        model[head], model[head + "_scorer"] = m, Scorer([f for f, _ in chosen], y, m.weight(y))
     return model
 
 
@@ -314,4 +357,4 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, *, key: str = "do
                 yield pa.RecordBatch.from_arrays([*out.columns, pa.array(j, pa.float64()), pa.array(t, pa.float64()), good],
                                                  names=[*keep, *ADDED])
 
-    return source.mapInArrow(run, T.StructType(fields))
+    return source.mapInArrow(tidy(run), T.StructType(fields))

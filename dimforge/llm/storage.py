@@ -59,6 +59,31 @@ def forget() -> None:
         cache.clear()
 
 
+def release() -> None:
+    """Give unused memory of this worker back to the machine: workers are kept
+    for the next tasks, and neither Arrow nor the C heap shrinks by itself."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):            # not glibc
+        pass
+
+
+def tidy(task):
+    """A task over batches whose worker ends it with :func:`release`."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def ship_package(spark) -> None:
     """Make this package importable in the Python workers (once per session),
     as ``spark-submit --py-files`` would."""
