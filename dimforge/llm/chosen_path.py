@@ -8,9 +8,9 @@ its members, and each member goes to the child named by its token there.  Two
 sets of similarity 0.8 share a child with probability 0.8 per pick, so the
 expected number of paths they share does not shrink with depth.  Nodes of at
 most ``leaf_rows`` members are brute-forced by their sketches; larger ones are
-split again, up to ``max_depth``; what is then still large (sets that agree
-along the whole path) is compared in parts that share the node's smallest
-member.  Everything is repeated for ``runs`` independent recursions: a pair at
+split again, up to ``max_depth``; in what is then still large (sets that agree
+along the whole path) members are compared with the smallest one, and those
+that do not agree with it with all others, in block pairs.  Everything is repeated for ``runs`` independent recursions: a pair at
 the threshold survives a run with probability 0.73 (two levels) to 0.53 (five),
 so twelve runs reach a recall above 0.999 even at five levels.
 
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from dimforge.llm.components import components
 from dimforge.llm.decontaminate import words
-from dimforge.llm.storage import forget, materialize, ship_package
+from dimforge.llm.storage import forget, materialize, ship_package, tidy
 from dimforge.operators.joins import broadcast_if_small
 
 SKETCH = 128
@@ -76,12 +76,13 @@ def shingles(data: bytes, width: int = 5) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Min-hash values (upper 16 bits) of a non-empty set."""
+    """Min-hash values of a non-empty set, 16 bits each.  The minimum of a large
+    set is near 0, so it is scrambled before bits are taken from it."""
     low = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(s), 2048):
             low = np.minimum(low, ((s[None, at:at + 2048] ^ _FLIP[:, None]) * _TIMES[:, None]).min(1))
-    return (low >> np.uint64(48)).astype("<u2")
+    return mix(low).astype("<u2")
 
 
 def _binary(column):
@@ -213,6 +214,43 @@ def _leaf_task(loose):
     return run
 
 
+def _head_task(loose):
+    """Members of heavy last nodes: whether their sketches agree with that of
+    the node's smallest member."""
+    def run(batches):
+        need = int(np.ceil(loose * SKETCH))
+        for batch in batches:
+            x, head = (_matrix(batch.column(c), np.uint8, SKETCH) for c in ("small", "head"))
+            tied = (x == head).sum(1) >= need
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("rep"), batch.column("least"), pa.array(tied)],
+                                             names=["node", "rep", "least", "tied"])
+    return run
+
+
+def _heavy_nodes(frontier: DataFrame, heavy: DataFrame, classes: DataFrame, leaf_rows: int,
+                 loose: float) -> tuple[DataFrame, DataFrame]:
+    """Nodes above ``leaf_rows`` that are not split any more: ``(a, b)`` ties of
+    members to their node's smallest one, and leaves ``(node, rep)`` in which
+    every member without such a tie meets all others, in blocks of half a leaf.
+    Near copies tie, so the blocks of their nodes are few."""
+    small = classes.select("rep", "small")
+    heads = heavy.select("node", "least").join(small.withColumnRenamed("rep", "least"), "least").withColumnRenamed("small", "head")
+    members = frontier.join(broadcast_if_small(heads), "node").join(small, "rep").select("node", "rep", "least", "small", "head")
+    found = materialize(members.mapInArrow(tidy(_head_task(loose)), "node long, rep long, least long, tied boolean"), "path-heavy")
+    half = leaf_rows // 2
+    blocks = (found.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.sum((~F.col("tied")).cast("long")).alias("u"))
+                   .where("u > 0").select("node", F.ceil(F.col("c") / half).cast("int").alias("cb"),
+                                          F.ceil(F.col("u") / half).cast("int").alias("ub")))
+    dealt = found.join(broadcast_if_small(blocks), "node")
+    in_c = F.pmod(F.xxhash64("rep"), "cb").cast("int")
+    in_u = F.pmod(F.xxhash64("rep", F.lit(1)), "ub").cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sides = (dealt.select("node", "rep", in_c.alias("i"), every("ub").alias("j"))
+                  .unionByName(dealt.where("not tied").select("node", "rep", every("cb").alias("i"), in_u.alias("j"))))
+    ties = found.where("tied and rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    return ties, sides.select(F.xxhash64("node", "i", "j").alias("node"), "rep").distinct()
+
+
 def _set_task(width):
     def run(batches):
         forget()
@@ -275,8 +313,8 @@ def candidate_links(classes: DataFrame, *, runs: int, levels: int, max_depth: in
     """``(a, b)`` ties between classes that share a leaf and whose sketches
     agree; one tie per class and leaf at most."""
     kind = "node long, rep long"
-    frontier = materialize(classes.select("rep", "sketch").mapInArrow(_first_task(runs, levels), kind), "path-nodes")
-    leaves, depth = [], levels
+    frontier = materialize(classes.select("rep", "sketch").mapInArrow(tidy(_first_task(runs, levels)), kind), "path-nodes")
+    leaves, ties, depth = [], [], levels
     while True:
         counts = materialize(frontier.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("least"))
                                      .where("c > 1"), "path-counts")
@@ -288,23 +326,22 @@ def candidate_links(classes: DataFrame, *, runs: int, levels: int, max_depth: in
         if heavy.isEmpty():
             break
         if last:
-            # parts of a node that shares its whole path; the smallest member is in all of them
-            parts = F.ceil(F.col("c") / leaf_rows).cast("int")
-            part = F.pmod(F.xxhash64("rep"), parts).cast("int")
-            members = frontier.join(heavy, "node").where("rep <> least").select("node", "rep", part.alias("part"))
-            heads = heavy.select("node", F.col("least").alias("rep"),
-                                 F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-            leaves.append(members.unionByName(heads).select(F.xxhash64("node", "part").alias("node"), "rep"))
+            tied, blocks = _heavy_nodes(frontier, heavy, classes, leaf_rows, loose)
+            ties.append(tied)
+            leaves.append(blocks)
             break
         again = frontier.join(broadcast_if_small(heavy.select("node")), "node")
         split = classes.select("rep", "sketch").join(broadcast_if_small(again, NARROW_ROWS), "rep")
-        frontier = materialize(split.select("node", "rep", "sketch").mapInArrow(_deeper_task, kind), "path-nodes")
+        frontier = materialize(split.select("node", "rep", "sketch").mapInArrow(tidy(_deeper_task), kind), "path-nodes")
         depth += 1
     rows = leaves[0]
     for more in leaves[1:]:
         rows = rows.unionByName(more)
     dealt = rows.join(classes.select("rep", "small"), "rep").repartition("node").sortWithinPartitions("node")
-    return materialize(dealt.mapInArrow(_leaf_task(loose), "a long, b long").distinct(), "path-ties")
+    found = dealt.mapInArrow(tidy(_leaf_task(loose)), "a long, b long")
+    for more in ties:
+        found = found.unionByName(more)
+    return materialize(found.distinct(), "path-ties")
 
 
 def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8,
@@ -315,7 +352,7 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     ``n_links`` (other documents at or above the threshold)."""
     ship_package(docs.sparkSession)
     named = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = materialize(named.mapInArrow(_sketch_task(width), "key long, sig binary, size long, sketch binary"), "path-sketches")
+    rows = materialize(named.mapInArrow(tidy(_sketch_task(width)), "key long, sig binary, size long, sketch binary"), "path-sketches")
     some = rows.where("sig is not null")
     # the low byte of each value is enough to compare sketches
     low = F.expr("concat(" + ", ".join(f"substring(sketch, {2 * i + 1}, 1)" for i in range(SKETCH)) + ")")
@@ -330,12 +367,12 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                       F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "path-wanted")
     sets = (named.join(broadcast_if_small(wanted), named["key"] == wanted["rep"])
                  .select("rep", "component", "blocks", "block", "n", "sig", "text")
-                 .mapInArrow(_set_task(width), "rep long, component long, blocks int, block int, n long, set binary"))
+                 .mapInArrow(tidy(_set_task(width)), "rep long, component long, blocks int, block int, n long, set binary"))
     dealt = (sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("component", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
                          "rep", "block", "n", "set")
                  .repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj"))
-    found = materialize(dealt.mapInArrow(_verify_task(threshold), "rep long, links long, root long"), "path-links")
+    found = materialize(dealt.mapInArrow(tidy(_verify_task(threshold)), "rep long, links long, root long"), "path-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     result = materialize(
