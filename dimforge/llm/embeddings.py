@@ -97,20 +97,17 @@ def _compare(threshold: float):
         norm = np.linalg.norm(x, axis=1)
         linked = (x @ x.T) / np.outer(norm, norm) >= threshold
         np.fill_diagonal(linked, False)
-        home = pdf["home"].to_numpy()
         if not same:
             linked &= pdf["block"].to_numpy()[:, None] != pdf["block"].to_numpy()[None, :]
-        # at least one at home here, and not already counted in an earlier cell
-        at_home = home == cell
-        linked &= at_home[:, None] | at_home[None, :]
-        foreign = np.flatnonzero(home < cell)
-        if len(foreign):
-            cells = pdf["cells"].to_numpy()
-            inside = np.zeros((len(pdf), max(int(c.max()) for c in cells) + 1), bool)
-            inside[np.repeat(np.arange(len(pdf)), [len(c) for c in cells]), np.concatenate(cells)] = True
-            earlier = np.zeros_like(linked)
-            earlier[:, foreign] = inside[:, home[foreign]]
-            linked &= ~(earlier | earlier.T)
+        # a pair counts in the smallest cell that both are in
+        cells = pdf["cells"].to_numpy()
+        row, other = np.repeat(np.arange(len(pdf)), [len(c) for c in cells]), np.concatenate(cells)
+        row, other = row[other < cell], other[other < cell]
+        if len(row):
+            lower, column = np.unique(other, return_inverse=True)
+            inside = np.zeros((len(pdf), len(lower)), np.float32)
+            inside[row, column] = 1
+            linked &= inside @ inside.T == 0
         some = linked.any(1)
         root = local_roots(linked)
         rep = pdf["rep"].to_numpy()
