@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.storage import materialize, ship_package
+from dimforge.llm.storage import materialize, ship_package, tidy
 
 END = b"\n"          # cannot be a word
 FLUSH = 300_000
@@ -282,7 +282,7 @@ def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
     transitions, which are still those between items."""
     spark = train.sparkSession
     ship_package(spark)
-    counts = materialize(train.select("text").mapInArrow(_count_words, "word binary, c long")
+    counts = materialize(train.select("text").mapInArrow(tidy(_count_words), "word binary, c long")
                               .groupBy("word").agg(F.sum("c").alias("c")), "brown-counts")
     n_words, n_tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     top = _most_frequent(counts, known_words).toArrow()
@@ -293,7 +293,7 @@ def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
     best = tail.orderBy(F.desc("n"), "s").limit(suffixes).collect()
     vocabulary = Vocabulary(known, known_counts, top_words, [bytes(r["s"]) for r in best])
     shared = spark.sparkContext.broadcast(vocabulary)
-    pairs = (train.select("text").mapInArrow(_count_bigrams(shared), "a long, b long, n long")
+    pairs = (train.select("text").mapInArrow(tidy(_count_bigrams(shared)), "a long, b long, n long")
                   .groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow())      # at most items ** 2
     bigrams = np.zeros((vocabulary.n_items, vocabulary.n_items))
     bigrams[pairs.column("a").to_numpy(), pairs.column("b").to_numpy()] = pairs.column("n").to_numpy()
@@ -307,7 +307,7 @@ def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
     model = Model(vocabulary, of, bigrams, distinct, n_tokens, n_words)
     # every other word to its best class
     shared = spark.sparkContext.broadcast(model)
-    near = (train.select("text").mapInArrow(_count_neighbours(shared), "word binary, packed binary")
+    near = (train.select("text").mapInArrow(tidy(_count_neighbours(shared)), "word binary, packed binary")
                  .repartition("word").groupBy("word").agg(F.collect_list("packed").alias("packed")))
     fixed = [(bytearray(w), c, int(k)) for w, c, k in zip(known[:top_words], known_counts, model.class_of)]
     words = materialize(near.mapInArrow(_best_classes(shared), "word binary, c long, class int")

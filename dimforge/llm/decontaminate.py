@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dimforge.llm.storage import forget, ship_package
+from dimforge.llm.storage import forget, ship_package, tidy
 
 ADDED = ("n_words", "spans", "items")
 SHARD_WORDS = 1_500_000
@@ -339,4 +339,4 @@ def remove_spans(found: DataFrame, *, text: str = "text") -> DataFrame:
                 out = out.set_column(keep.index(text), text, pa.array(new, old.type)).filter(left)
             yield out
 
-    return found.mapInArrow(run, T.StructType([found.schema[c] for c in keep]))
+    return found.mapInArrow(tidy(run), T.StructType([found.schema[c] for c in keep]))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimforge.llm.chosen_path import shingles
-from dimforge.llm.storage import forget, materialize, ship_package
+from dimforge.llm.storage import forget, materialize, ship_package, tidy
 
 K = 64
 WIDTH = 5
@@ -261,7 +261,7 @@ def compare_with_next(docs: DataFrame, *, key: str = "doc_id", text: str = "text
                 done.add(t, done.sketch(t), following, done.sketch(following))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *done.columns()], names=[*keep, *ADDED])
 
-    made = materialize(ordered.mapInArrow(neighbours, schema), "fingerprints")
+    made = materialize(ordered.mapInArrow(tidy(neighbours), schema), "fingerprints")
     first = made.where(F.col("_fp_kind") == FIRST).select("_fp_part", "_fp_text")
     everything = Window.partitionBy(F.lit(0))                                      # one row per partition
     follows = first.select("_fp_part", F.coalesce(F.lead("_fp_part").over(everything.orderBy("_fp_part")),
