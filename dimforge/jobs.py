@@ -37,9 +37,9 @@ from dimforge.operators import datelist as dl
 from dimforge.operators import facts as fa
 from dimforge.operators import scd
 from dimforge.operators.joins import broadcast_if_small
-from dimforge.session import DEFAULT_CONF
-from dimforge.sinks.publish import (MissingPartition, conform, publish, publish_table, read_partition,
-                                    read_table_partition, require_previous)
+from dimforge.session import DEFAULT_CONF, shared_dir
+from dimforge.sinks.publish import (MissingPartition, conform, has_partition, path_exists, publish, publish_table,
+                                    read_partition, read_table_partition, require_previous)
 
 # The full attribute / season-row column lists of the player
 # table.  A load declares the ones it has (``attrs``, ``fields``; by default the
@@ -49,19 +49,17 @@ SEASON_FIELDS_FULL = ("season", "age", "weight", "gp", "pts", "reb", "ast")
 
 
 def _existing_schema(spark: SparkSession, table: str):
-    try:
-        return spark.read.parquet(table).schema
-    except Exception as e:  # noqa: BLE001 - first load
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+    return spark.read.parquet(table).schema if path_exists(spark, table) else None
 
 
-def _publish(spark: SparkSession, df: DataFrame, table: str, partition_by, sort_within=()) -> None:
-    spec = _existing_schema(spark, table)
+def _publish(spark: SparkSession, df: DataFrame, table: str, partition_by, sort_within=(), partition=None,
+             replace_all=False) -> None:
+    """``partition``: the period this load owns, replaced also if it has no
+    rows; ``replace_all``: the load owns the whole table."""
+    spec = None if replace_all else _existing_schema(spark, table)
     if spec is not None:
         df = conform(df, spec)
-    publish(df, table, partition_by, sort_within=sort_within)
+    publish(df, table, partition_by, sort_within=sort_within, partition=partition, replace_all=replace_all)
 
 
 def _prev(spark, table, column, value, buckets=None):
@@ -74,13 +72,14 @@ def _prev(spark, table, column, value, buckets=None):
     return read_partition(spark, table, column, value)
 
 
-def _store(spark, df, table, partition_by, buckets=None, bucket_key=None):
-    """Path table, or (with ``buckets``) a catalog table bucketed by the
-    entity key so the next load joins it without a shuffle."""
+def _store(spark, df, table, partition, buckets=None, bucket_key=None):
+    """The one partition of a load, in a path table or (with ``buckets``) a
+    catalog table bucketed by the entity key so the next load joins it without
+    a shuffle."""
     if buckets:
-        publish_table(df, table, partition_by, bucket_by=(buckets, bucket_key))
+        publish_table(df, table, list(partition), bucket_by=(buckets, bucket_key))
     else:
-        _publish(spark, df, table, partition_by)
+        _publish(spark, df, table, list(partition), partition=partition)
 
 
 # --- players -------------------------------------------------------------------
@@ -101,7 +100,7 @@ def players_cumulate(spark, seasons_path, table, period, first=False, buckets=No
     prev = None if first else _prev(spark, table, "current_season", period - 1, buckets)
     out = cu.cumulate_step(prev, rows, keys=["player_name"], period="season", history_col="seasons",
                            snapshot_col="current_season", attrs=attrs, since_col="years_since_last_active")
-    _store(spark, out, table, ["current_season"], buckets, ["player_name"])
+    _store(spark, out, table, {"current_season": period}, buckets, ["player_name"])
 
 
 def players_backfill(spark, seasons_path, table, lo, hi, attrs=None, fields=None):
@@ -110,6 +109,11 @@ def players_backfill(spark, seasons_path, table, lo, hi, attrs=None, fields=None
                                snapshot_col="current_season", lo=lo, hi=hi, attrs=attrs,
                                since_col="years_since_last_active")
     _publish(spark, out, table, ["current_season"])
+    # seasons before the first one with rows: what an earlier run left there goes too
+    first = rows.where(F.col("season").between(lo, hi)).agg(F.min("season")).first()[0]
+    for t in range(lo, hi + 1 if first is None else first):
+        if has_partition(spark, table, "current_season", t):
+            _publish(spark, out.where("false"), table, ["current_season"], partition={"current_season": t})
 
 
 def players_scd2(spark, cumulated_path, table, period, full=False):
@@ -121,7 +125,7 @@ def players_scd2(spark, cumulated_path, table, period, full=False):
         out = scd.scd2_increment(_prev(spark, table, "current_season", period - 1), hist,
                                  keys=["player_name"], state_cols=["is_active"], t=period, period="current_season")
     # sorted by end: the next increment's open-run and closed-run reads skip each other's row groups
-    _publish(spark, out, table, ["current_season"], sort_within=["end_season"])
+    _publish(spark, out, table, ["current_season"], sort_within=["end_season"], partition={"current_season": period})
 
 
 # --- actors --------------------------------------------------------------------
@@ -136,7 +140,7 @@ def actors_cumulate(spark, films_path, table, period, first=False, mode="replace
     kw = {"latest": ["quality_class"]} if mode == "replace" else {"current": {"quality_class": "bad"}}
     out = cu.cumulate_step(prev, rows, keys=["actor_id"], period="year", history_col="films",
                            snapshot_col="current_year", attrs=["actor"], mode=mode, **kw)
-    _store(spark, out, table, ["current_year"], buckets, ["actor_id"])
+    _store(spark, out, table, {"current_year": period}, buckets, ["actor_id"])
 
 
 def actors_scd2(spark, actors_path, table, period, full=False):
@@ -147,7 +151,7 @@ def actors_scd2(spark, actors_path, table, period, full=False):
     else:
         out = scd.scd2_increment(_prev(spark, table, "current_year", period - 1), hist, carried=["actor"],
                                  t=period, **kw)
-    _publish(spark, out, table, ["current_year"], sort_within=["end_date"])
+    _publish(spark, out, table, ["current_year"], sort_within=["end_date"], partition={"current_year": period})
 
 
 # --- activity ------------------------------------------------------------------
@@ -162,7 +166,7 @@ def datelist(spark, events_path, table, day, first=False, devices_path=None, buc
     d = dt.date.fromisoformat(day)
     prev = None if first else _prev(spark, table, "curr_date", d - dt.timedelta(days=1), buckets)
     out = dl.datelist_step(prev, events, keys=keys, ts_col="event_time", day=day)
-    _store(spark, out, table, ["curr_date"], buckets, keys)
+    _store(spark, out, table, {"curr_date": d}, buckets, keys)
 
 
 def datelist_bits(spark, datelist_table, table, day, lo=None, buckets=None):
@@ -173,20 +177,40 @@ def datelist_bits(spark, datelist_table, table, day, lo=None, buckets=None):
     snap = _prev(spark, datelist_table, "curr_date", d, buckets)
     keys = [c for c in ("user_id", "browser_type") if c in snap.columns]
     out = dl.datelist_bits(snap, keys=keys, lo=lo, hi=day).withColumn("curr_date", F.lit(d))
-    _publish(spark, out, table, ["curr_date"])
+    _publish(spark, out, table, ["curr_date"], partition={"curr_date": d})
+
+
+METRIC = "visited_home_page"
 
 
 def daily_metric(spark, events_path, table, day=None):
     out = fa.daily_metric(spark.read.parquet(events_path), user_col="user_id", ts_col="event_time",
-                          name="visited_home_page", cond=F.col("url") == "/", day_lo=day, day_hi=day)
-    _publish(spark, out, table, ["metric_name", "date"])
+                          name=METRIC, cond=F.col("url") == "/", day_lo=day, day_hi=day)
+    own = {"metric_name": METRIC, **({"date": dt.date.fromisoformat(day)} if day else {})}
+    _publish(spark, out, table, ["metric_name", "date"], partition=own)
 
 
 def monthly_array(spark, daily_path, table, day, month_start):
-    first = day == month_start
-    prev = None if first else spark.read.parquet(table).where(F.col("month_start") == month_start)
-    out = fa.monthly_array_step(prev, spark.read.parquet(daily_path), day=day, month_start=month_start)
-    _publish(spark, out, table, ["metric_name", "month_start"])
+    """One day into the month's arrays.  The stored month, if there is one, is
+    read whatever the day, so a day may be loaded again or late: the step
+    replaces its slot.  The month is a partition of its own, read before it is
+    replaced, so the new one is written through a checkpoint."""
+    stored = has_partition(spark, f"{table}/metric_name={METRIC}", "month_start", month_start)
+    daily = spark.read.parquet(daily_path).where(F.col("metric_name") == METRIC)
+    prev, through = None, dt.date.fromisoformat(day)
+    if stored:
+        month = spark.read.parquet(table).where((F.col("metric_name") == METRIC) & (F.col("month_start") == month_start))
+        prev = month.where(F.col("user_id").isNotNull())
+        days = month.agg(F.max(F.size("metric_array"))).first()[0] or 1
+        through = max(through, dt.date.fromisoformat(month_start) + dt.timedelta(days=days - 1))
+    # a row without a user meets no stored one: these are made again from the days loaded so far
+    known = fa.monthly_array_step(prev, daily.where(F.col("user_id").isNotNull()), day=day, month_start=month_start)
+    alone = fa.monthly_array_backfill(daily.where(F.col("user_id").isNull()), month_start=month_start,
+                                      through=through.isoformat())
+    shared_dir(spark)
+    out = known.unionByName(alone.select(*known.columns)).checkpoint()
+    _publish(spark, out, table, ["metric_name", "month_start"],
+             partition={"metric_name": METRIC, "month_start": dt.date.fromisoformat(month_start)})
 
 
 # --- facts ---------------------------------------------------------------------
@@ -204,10 +228,12 @@ def game_fact(spark, games_path, details_path, table, measures=None, dimensions=
 
 
 def dedupe(spark, input_path, table, keys, order, partition_by=None):
+    if input_path.rstrip("/") == table.rstrip("/"):
+        raise ValueError("the input cannot be replaced while it is read: name another table")
     df = spark.read.parquet(input_path)
     out = fa.dedupe_first(df, keys, [F.col(c).asc_nulls_first() for c in order])
     if partition_by:
-        _publish(spark, out, table, partition_by)
+        _publish(spark, out, table, partition_by, replace_all=True)
     else:
         out.write.mode("overwrite").parquet(table)
 

@@ -50,9 +50,10 @@ def period_items(raw: DataFrame, *, keys: Sequence[str], period: str, item_cols:
     aggs = [F.sort_array(F.collect_list(item)).alias(history_col)]
     aggs += [F.min(a).alias(a) for a in attrs]
     aggs += [expr.alias(name) for name, expr in (period_aggs or {}).items()]
-    # Hash-partition the raw rows on the entity key once: the (entity, period)
-    # aggregation and a later per-entity aggregation/window then reuse it.
-    return raw.repartition(*keys).groupBy(*keys, period).agg(*aggs)
+    # Items are gathered per task before the exchange on (entity, period): a hot
+    # entity, or the NULL one, is dealt out by period.  A later per-entity step
+    # shuffles the period rows only.
+    return raw.groupBy(*keys, period).agg(*aggs)
 
 
 class DuplicatePeriodRows(ValueError):

@@ -12,6 +12,8 @@ first seen: the date when it was active, NULL when not (the position is
   linear time from the sorted days.
 * ``datelist_bits`` / ``bits_direct`` — the last 31 days as an integer
   (bit 30 = the snapshot day), from a datelist or straight from events.
+* ``bits_step`` — the integer of a day from that of the day before;
+  ``recent_days`` counts the active ones of its last days.
 * ``datelist_map`` / ``datelist_unmap`` / ``datelist_map_step`` — one row per
   user with ``MAP(browser -> dates)``.
 """
@@ -151,6 +153,44 @@ def bits_direct(events: DataFrame, *, keys: Sequence[str] = ("user_id",), ts_col
                     popcount(F.col("history_int"), width).alias("num_days_active"))
 
 
+def bits_step(prev: DataFrame | None, events: DataFrame, *, keys: Sequence[str] = ("user_id",), ts_col: str, day,
+              width: int = HISTORY_WIDTH, keep_inactive: bool = False) -> DataFrame:
+    """Bit history of ``day`` from that of the day before: every integer moves
+    one day down, and users seen today get the top bit.  No date array is read
+    or kept, so a row is a key and 8 bytes whatever the history.
+
+    ``prev``: keys and ``history_int`` (a stored partition, bucketed or not);
+    None on the first day.  As in a GROUP BY, the NULL key is one key.  Users
+    whose last active day has left the window go, unless ``keep_inactive``."""
+    check_width(day, day, width)
+    top = F.lit(1 << (width - 1)).cast("bigint")
+    today = active_days(events, keys=keys, ts_col=ts_col, lo=day, hi=day).select(*keys).distinct()
+    if prev is None:
+        out = today.withColumn("history_int", top)
+    else:
+        moved = prev.select(*keys, F.shiftright("history_int", 1).alias("history_int"))
+        null = _null_key(keys)
+
+        def project(p, t):
+            seen = F.when(t("_today"), top).otherwise(F.lit(0).cast("bigint"))
+            return [*[F.coalesce(p(k), t(k)).alias(k) for k in keys],
+                    F.coalesce(p("history_int"), F.lit(0).cast("bigint")).bitwiseOR(seen).alias("history_int")]
+
+        known = full_outer(moved.where(~null), today.where(~null).withColumn("_today", F.lit(True)), keys, project,
+                           keys_not_null=True)
+        rest = moved.where(null).unionByName(today.where(null).withColumn("history_int", top))
+        out = known.unionByName(rest.groupBy(*keys).agg(F.bit_or("history_int").alias("history_int")))
+    return out if keep_inactive else out.where(F.col("history_int") != 0)
+
+
+def recent_days(col, days: int, width: int = HISTORY_WIDTH) -> Column:
+    """Active days among the last ``days`` of a bit history."""
+    if not 1 <= days <= width:
+        raise ValueError(f"a history of {width} bits does not hold {days} days")
+    mask = ((1 << days) - 1) << (width - days)
+    return F.bit_count(col.bitwiseAND(F.lit(mask).cast("bigint"))).cast("bigint")
+
+
 # --- MAP(browser -> dates) form -------------------------------------------
 #
 # A NULL map key is stored as '' (a map cannot hold it).  Rows with a NULL key

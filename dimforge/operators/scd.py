@@ -10,6 +10,8 @@ Type 2 (one row per run of constant state with start / end period):
   that are still open can be extended or closed, so only they take part in
   the full outer join with period t; all other history bypasses the shuffle
   and is re-attached with ``unionByName``.
+* ``scd2_splice`` — late or corrected periods, in any order of arrival: only
+  the runs they fall into or touch are cut and joined again.
 * ``scd2_from_spine`` — SCD2 from raw rows over a period spine
   (activity = entity seen in that period).
 
@@ -29,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.operators.joins import full_outer
+from dimforge.operators.joins import broadcast_if_small, full_outer
 
 
 def _any(cols: list[Column]) -> Column:
@@ -165,6 +167,61 @@ def scd2_increment(prev_scd: DataFrame, cur: DataFrame, *, keys: Sequence[str],
     return out.unionByName(others).withColumn(snapshot_col, now)
 
 
+def scd2_splice(prev_scd: DataFrame | None, late: DataFrame, *, keys: Sequence[str], state_cols: Sequence[str],
+                period: str, start_col: str = "start_season", end_col: str = "end_season") -> DataFrame:
+    """A type-2 table after periods arrive late or corrected.
+
+    ``prev_scd``: runs (keys, state_cols, start, end), each period of a run
+    observed; ``late``: rows (keys, period, state_cols) that add a period or
+    replace its state, before, inside or after the stored runs.  Periods are
+    integers; a run ends where the next period was not observed or has
+    another state.  Whatever the order in which periods arrive, the result is
+    that of one load of all of them; where every period of an entity has come
+    it equals :func:`scd2_backfill`.
+
+    Only runs that hold a late period, or touch one (end just before it, begin
+    just after), are cut and joined again, with the late periods as runs of
+    length one; all other rows pass as they are and are not shuffled as long
+    as the late periods fit a checked broadcast.
+
+    Defined results: an entity with a NULL key is an entity; a NULL state is a
+    state; of several late rows for one period the greatest state counts; an
+    empty ``late`` changes nothing.
+    """
+    span = [start_col, end_col]
+    new = (late.where(F.col(period).isNotNull()).groupBy(*keys, F.col(period).cast("int").alias(start_col))
+               .agg(F.max(F.struct(*state_cols)).alias("_s"))
+               .select(*keys, *[F.col(f"_s.{s}").alias(s) for s in state_cols], start_col, F.col(start_col).alias(end_col)))
+    if prev_scd is None:
+        return _joined_runs(new, keys, state_cols, start_col, end_col)
+    prev_scd = prev_scd.select(*keys, *state_cols, *span)
+    points = new.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(start_col).alias("_p"))
+    points = broadcast_if_small(points)
+    meets = reduce(lambda a, b: a & b, [prev_scd[k].eqNullSafe(points[f"_{k}"]) for k in keys]
+                   + [points["_p"].between(prev_scd[start_col] - 1, prev_scd[end_col] + 1)])
+    untouched = prev_scd.join(points, meets, "left_anti")
+    hit = (prev_scd.join(points, meets).groupBy(*keys, *state_cols, *span)
+                   .agg(F.sort_array(F.collect_set(F.when(F.col("_p").between(F.col(start_col), F.col(end_col)), F.col("_p")))).alias("_ps")))
+    # what lies between the late periods of a run: from one bound + 1 to the next - 1
+    bounds = F.concat(F.array(F.col(start_col) - 1), "_ps", F.array(F.col(end_col) + 1))
+    parts = F.transform(F.sequence(F.lit(1), F.size("_ps") + 1),
+                        lambda i: F.struct((F.get(bounds, i - 1) + 1).alias(start_col), (F.get(bounds, i) - 1).alias(end_col)))
+    kept = hit.select(*keys, *state_cols, F.inline(F.filter(parts, lambda r: r[start_col] <= r[end_col])))
+    return untouched.unionByName(_joined_runs(kept.unionByName(new), keys, state_cols, start_col, end_col))
+
+
+def _joined_runs(pieces: DataFrame, keys, state_cols, start_col, end_col) -> DataFrame:
+    """Disjoint runs, neighbours of equal state joined."""
+    w = Window.partitionBy(*keys).orderBy(start_col)
+    same = reduce(lambda a, b: a & b, [F.lag(F.col(s)).over(w).eqNullSafe(F.col(s)) for s in state_cols])
+    goes_on = F.coalesce((F.lag(end_col).over(w) == F.col(start_col) - 1) & same, F.lit(False))
+    numbered = (pieces.withColumn("_new", (~goes_on).cast("int"))
+                      .withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    return (numbered.groupBy(*keys, *state_cols, "_run")
+                    .agg(F.min(start_col).cast("int").alias(start_col), F.max(end_col).cast("int").alias(end_col))
+                    .select(*keys, *state_cols, start_col, end_col))
+
+
 def scd2_from_spine(raw: DataFrame, *, keys: Sequence[str], period: str, lo: int, hi: int,
                     current_period: int | None = None, active_col: str = "is_active",
                     start_col: str = "start_season", end_col: str = "end_season",

@@ -97,3 +97,29 @@ def rank_within(df: DataFrame, *, key, order, out: str, hot_rows: int = HOT_ROWS
     split = _chunked(hot, keys, order, fn(), F.count(F.lit(1)), chunks)
     number = (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("int")
     return plain.unionByName(split.select(*df.columns, number.alias(out)))
+
+
+def running_total_of_ties(df: DataFrame, *, key, order: str, value: str, out: str, hot_rows: int = HOT_ROWS,
+                          chunks: int | None = None) -> DataFrame:
+    """:func:`running_total` where very many rows may share one (key, order).
+
+    With the default RANGE frame all peers of a row have one sum, so rows are
+    first summed per (key, order) — partially before the shuffle —, the running
+    total runs over these groups, and rows take their group's total in a join.
+    Groups above ``hot_rows`` rows (at most rows / hot_rows of them) are joined
+    by a checked broadcast, so their rows stay where they are; the others meet
+    their group by a shuffle on (key, order)."""
+    keys = _keys(key)
+    cols = [*keys, order]
+    groups = df.groupBy(*cols).agg(F.sum(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    totals = running_total(groups, key=keys, order=order, value="_v", out=out, hot_rows=hot_rows, chunks=chunks)
+    shared_dir(df.sparkSession)
+    totals = totals.select(*[F.col(c).alias(f"_{c}") for c in cols], F.col("_n") > hot_rows, out).toDF(
+        *[f"_{c}" for c in cols], "_hot", out).checkpoint()
+    hot = totals.where("_hot").drop("_hot")
+    ordinary = totals.where("not _hot").drop("_hot")
+    joined = df.join(ordinary, _same(df, ordinary, cols)).select(*df.columns, out)
+    if hot.isEmpty():
+        return joined
+    hot = broadcast_if_small(hot)
+    return joined.unionByName(df.join(hot, _same(df, hot, cols)).select(*df.columns, out))

@@ -10,6 +10,7 @@ tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from dimforge.operators import datelist as dl
 from dimforge.operators import facts as fa
 from dimforge.operators import scd
 from dimforge.operators.joins import broadcast_if_small
-from dimforge.operators.windows import rank_within, running_total
+from dimforge.operators.segments import fold_segments, segments
+from dimforge.operators.windows import rank_within, running_total, running_total_of_ties
 from dimforge.session import shared_dir
+from dimforge.sinks import ledger as lg
 from dimforge.sinks import publish as pb
 from dimforge.sources import fixtures as fx
 from dimforge.sources import spine as sp
@@ -110,6 +113,18 @@ def q_scd2_increment_null_ends(spark, sf_dir):
     return _players_increment(spark, sf_dir, open_end="null")
 
 
+def q_scd2_late_periods(spark, sf_dir):
+    """Seasons arrive out of order — odd ones, then even ones with every state
+    wrong — and the even ones are corrected afterwards: the full load."""
+    hist = _stored(players_activity(spark, sf_dir))
+    kw = dict(keys=["player_name"], state_cols=["is_active"], period="current_season")
+    odd, even = hist.where("current_season % 2 <> 0"), hist.where("current_season % 2 = 0")
+    table = None
+    for arrival in (odd, even.withColumn("is_active", ~F.col("is_active")), even):
+        table = _stored(scd.scd2_splice(table, arrival, **kw))
+    return table.withColumn("current_season", F.lit(SEASON_HI).cast("int"))
+
+
 def q_scd2_spine(spark, sf_dir):
     return scd.scd2_from_spine(fx.player_seasons(spark, sf_dir), keys=["player_name"], period="season",
                                lo=SEASON_LO, hi=SEASON_HI)
@@ -247,6 +262,17 @@ def device_datelist(spark, sf_dir):
                                 ts_col="event_time", lo=DAY_LO, hi=DAY_HI)
 
 
+def q_bits_step(spark, sf_dir):
+    """The last day's bit history from the stored one of the day before, with
+    the active days of the last 7 and 28 read off the same integer."""
+    ev = fx.web_events(spark, sf_dir)
+    day = dt.date.fromisoformat(DAY_HI)
+    prev = _stored(dl.bits_direct(ev, ts_col="event_time", lo=DAY_LO, hi=(day - dt.timedelta(days=1)).isoformat()))
+    out = dl.bits_step(prev, ev, ts_col="event_time", day=DAY_HI)
+    return out.select("user_id", "history_int", dl.recent_days(F.col("history_int"), 7).alias("days_of_7"),
+                      dl.recent_days(F.col("history_int"), 28).alias("days_of_28"))
+
+
 def q_device_datelist(spark, sf_dir):
     return _datelist_flat(device_datelist(spark, sf_dir), keys=("user_id", "browser_type"))
 
@@ -406,6 +432,37 @@ def q_dense_rank_dates(spark, sf_dir):
 HOT_ROWS = 50     # low enough that the split path runs on any table
 
 
+def q_running_sum_ties(spark, sf_dir):
+    """Running totals over days: all events of a page and day share one order value."""
+    ev = fx.web_events(spark, sf_dir).select("url", "event_id", F.to_date("event_time").alias("day"), "user_id")
+    return running_total_of_ties(ev, key="url", order="day", value="user_id", out="running_users", hot_rows=HOT_ROWS)
+
+
+SEGMENT = 20      # small, so that any table has users of several segments
+
+
+def _event_segments(spark, sf_dir):
+    return segments(fx.web_events(spark, sf_dir), keys=["user_id"], order=["event_time", "event_id"],
+                    item_cols=["event_id", "url", "device_id"], size=SEGMENT, hot_rows=HOT_ROWS)
+
+
+def q_event_segments(spark, sf_dir):
+    """Every user's events in numbered segments; the NULL user is hot."""
+    ids = F.transform("items", lambda x: x["event_id"].cast("string"))
+    return _event_segments(spark, sf_dir).select("user_id", "segment", F.size("items").alias("n_events"),
+                                                 F.array_join(ids, ",").alias("event_ids"))
+
+
+def q_event_segments_fold(spark, sf_dir):
+    """Values of whole histories, folded over their segments."""
+    views = F.aggregate("items", F.lit(0).cast("bigint"), lambda a, x: a + (x["url"] == "/").cast("bigint"))
+    return fold_segments(_event_segments(spark, sf_dir), keys=["user_id"],
+                         per_segment={"n": F.size("items").cast("bigint"), "views": views,
+                                      "last_device": F.element_at("items", -1)["device_id"]},
+                         across={"n_events": F.sum("n"), "n_views": F.sum("views"), "n_segments": F.count(F.lit(1)),
+                                 "last_device": F.max_by("last_device", "segment")})
+
+
 def q_running_sum_hot(spark, sf_dir):
     """Few keys that hold all rows (pages), split into range chunks."""
     ev = fx.web_events(spark, sf_dir).select("url", "event_id", "event_time", "user_id")
@@ -489,6 +546,33 @@ def q_daily_metrics_published(spark, sf_dir):
     return t.select("user_id", "metric_name", "metric_value", "date")
 
 
+def q_load_ledger(spark, sf_dir):
+    """Games loaded season by season with a ledger.  The last season's load
+    stops between data and ledger; afterwards the first season's input gets a
+    new version.  Per season: rows loaded, whether it counts as loaded, and
+    whether it must be loaded (again)."""
+    path, ledger = _table_dir(spark, sf_dir, "games_by_season"), f"{_table_dir(spark, sf_dir, 'load_ledger')}-{uuid.uuid4().hex[:12]}"
+    games = fx.games(spark, sf_dir)
+    version = F.concat_ws("/", F.count(F.lit(1)), F.sum(F.col("game_id") % 1000))
+    versions = _stored(games.groupBy("season").agg(version.alias("input_version")))
+    seasons = sorted((r["season"], r["input_version"]) for r in versions.collect())       # bounded by the calendar
+    before = None
+    for t, v in seasons:
+        rows = games.where(F.col("season") == t)
+        if t == seasons[-1][0]:
+            pb.publish(rows, path, ["season"], partition={"season": t})
+        else:
+            lg.load(rows, ledger, "games", path, "season", t, input_version=v, after=before)
+        before = t
+    now = versions.withColumn("input_version", F.when(F.col("season") == seasons[0][0], "corrected").otherwise(F.col("input_version")))
+    have = lg.loaded(spark, ledger, "games").select(F.col("period").cast("int").alias("season"), "rows")
+    missing = lg.missing(spark, ledger, "games", versions.select("season"), "season").withColumn("is_loaded", F.lit(False))
+    again = lg.outdated(spark, ledger, "games", now, "season").select("season", F.lit(True).alias("load_again"))
+    return (versions.select("season").join(have, "season", "left").join(missing, "season", "left").join(again, "season", "left")
+                    .select("season", "rows", F.coalesce("is_loaded", F.lit(True)).alias("is_loaded"),
+                            F.coalesce("load_again", F.lit(False)).alias("load_again")))
+
+
 def q_missing_periods(spark, sf_dir):
     days = fx.web_events(spark, sf_dir).select(F.to_date("event_time").alias("date"))
     return pb.missing_periods(days, "date", sp.date_spine(spark, DAY_LO, DAY_HI))
@@ -560,6 +644,12 @@ QUERIES = {
     "publish_twice_rows": q_publish_twice_rows,
     "cumulate_dim_published": q_cumulate_dim_published,
     "missing_periods": q_missing_periods,
+    "load_ledger": q_load_ledger,
+    "scd2_late_periods": q_scd2_late_periods,
+    "bits_step": q_bits_step,
+    "running_sum_ties": q_running_sum_ties,
+    "event_segments": q_event_segments,
+    "event_segments_fold": q_event_segments_fold,
     "daily_metrics_published": q_daily_metrics_published,
     "scd0_first": q_scd0_first,
     "scd1_latest": q_scd1_latest,

@@ -17,6 +17,7 @@ lineage never grows), refusing to run when that partition is missing.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,24 @@ def assert_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                                      .cast(df.schema[c].dataType)).otherwise(F.col(c)) for c in columns})
 
 
+def _owned(df: DataFrame, partition: dict) -> DataFrame:
+    """``df`` without the partition columns; a row with another value of them
+    raises while it is written."""
+    foreign = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.lit(v).cast(df.schema[c].dataType)) for c, v in partition.items()])
+    message = F.concat(F.lit(f"row outside the partition {partition}: "),
+                       F.to_json(F.struct(*[F.col(c) for c in partition])))
+    rest = [c for c in df.columns if c not in partition]
+    guarded = [F.when(foreign, F.raise_error(message).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in rest]
+    return df.select(*guarded)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its file system."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
 def publish(df: DataFrame, path: str, partition_by: Sequence[str], spec: T.StructType | None = None,
             not_null: Sequence[str] = (), sort_within: Sequence[str] = (), partition: dict | None = None,
             replace_all: bool = False) -> None:
@@ -70,7 +89,8 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str], spec: T.Struc
 
     ``partition``: the values of the leading partition column(s) that this
     load owns; that folder is replaced as a whole, so rows of an earlier run
-    go even when this one has none.  ``replace_all`` replaces the table.
+    go even when this one has none.  A row of another partition raises while
+    it is written.  ``replace_all`` replaces the table.
 
     Rows are dealt by partition before the write (AQE splits large ones and
     joins small ones), so a partition gets few files.  ``sort_within`` orders
@@ -82,10 +102,8 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str], spec: T.Struc
     df = assert_not_null(df, not_null)
     inner = [c for c in partition_by if c not in (partition or {})]
     if partition:
-        for c, v in partition.items():
-            df = df.where(F.col(c).eqNullSafe(F.lit(v)))
+        df = _owned(df, partition)
         path = "/".join([path, *[f"{c}={v}" for c, v in partition.items()]])
-        df = df.drop(*partition)
     if inner:
         df = df.hint("rebalance", *inner)
     if sort_within:
@@ -144,14 +162,11 @@ def read_partition(spark: SparkSession, path: str, column: str, value, spec: T.S
 
 
 def has_partition(spark: SparkSession, path: str, column: str, value) -> bool:
-    """Whether the partition was loaded (an empty one counts)."""
-    try:
-        found = read_partition(spark, path, column, value)
-        return not (isinstance(value, Column) and found.isEmpty())
-    except Exception as e:  # noqa: BLE001 - a partition or table that does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-            return False
-        raise
+    """Whether the partition was loaded (an empty one counts).  Whether its
+    load also came to its end is known to the ledger (``sinks.ledger``)."""
+    if isinstance(value, Column):
+        return path_exists(spark, path) and not read_partition(spark, path, column, value).isEmpty()
+    return path_exists(spark, f"{path}/{column}={value}")
 
 
 def require_previous(spark: SparkSession, path: str, column: str, value) -> None:

@@ -25,16 +25,13 @@ from pyspark.sql import types as T
 from dimforge.functions.scalars import day_of
 from dimforge.operators.datelist import datelist_step
 from dimforge.session import shared_dir
-from dimforge.sinks.publish import has_partition, publish, read_partition, require_previous
+from dimforge.sinks.publish import has_partition, path_exists, publish, read_partition, require_previous
 
 
 def _published_days(spark: SparkSession, path: str, column: str) -> list[dt.date]:
-    try:
-        return sorted(r[0] for r in spark.read.parquet(path).select(column).distinct().collect())
-    except Exception as e:  # noqa: BLE001 - no table yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return []
-        raise
+    if not path_exists(spark, path):
+        return []
+    return sorted(r[0] for r in spark.read.parquet(path).select(column).distinct().collect())
 
 
 def rebuild_days(spark: SparkSession, source: DataFrame, table_path: str, changed: Sequence[dt.date], *,
@@ -56,7 +53,7 @@ def rebuild_days(spark: SparkSession, source: DataFrame, table_path: str, change
             prev = read_partition(spark, table_path, snapshot_col, d - dt.timedelta(days=1))
         day_events = source.where(day_of(ts_col) == F.lit(d))
         publish(datelist_step(prev, day_events, keys=keys, ts_col=ts_col, day=d.isoformat(),
-                              snapshot_col=snapshot_col), table_path, [snapshot_col])
+                              snapshot_col=snapshot_col), table_path, [snapshot_col], partition={snapshot_col: d})
         written.append(d)
         d += dt.timedelta(days=1)
     return written
