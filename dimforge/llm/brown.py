@@ -14,11 +14,16 @@ the product over its tokens of class transition times word emission::
 
     P(w | v) = P(class(w) | class(v)) * (count(w) + 1) / (N_class + V_class + 1)
 
-Transitions are interpolated with the class unigram.  Counts and classes of the
-``known_words`` most frequent words travel by broadcast (a fixed bound);
-all other words are looked up by a join on the word, whose keys are therefore
-never hot.  One row per document and rare word is shuffled, and one per document
-with a byte per token (its class); texts never.
+Transitions are interpolated with the class unigram.
+
+Texts are read and split once, into *chunks* of about ``CHUNK`` tokens: the
+chunk's distinct words, and every token as a number among them.  Chunks are
+written to the shared folder; all later passes look words up once per chunk and
+count on arrays.  Counts and classes of the ``known_words`` most frequent words
+travel by broadcast (a fixed bound), and their neighbours are counted in one
+matrix per task; other words are shuffled, one row per chunk and word, and what
+a word gathers is summed as its rows stream by.  So no list grows with the
+corpus, and no word is hot.
 
 Tokens: white-space separated words, ASCII lower-cased, then one end token.
 Defined results: NULL and empty texts consist of the end token; a NULL id is
@@ -28,19 +33,16 @@ count is 0 and both scores are uniform; clashing extra columns are not carried.
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm.storage import materialize, ship_package, tidy
 
 END = b"\n"          # cannot be a word
-FLUSH = 300_000
-SLICE = 500          # texts
+CHUNK = 500_000      # tokens
 BACKOFF = 0.05       # weight of the class unigram in a transition
 
 
@@ -54,30 +56,75 @@ def _binary(column):
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
 
 
-def _slices(batches):
-    """Few texts at a time: a list of their words takes ten times their bytes."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, SLICE):
-            yield batch.slice(i, SLICE)
+class _Numbers(dict):
+    """Numbers words as they come; END is 0."""
 
+    def __init__(self):
+        super().__init__({END: 0})
 
-def _count_words(batches):
-    seen = Counter()
+    def __missing__(self, word):
+        number = self[word] = len(self)
+        return number
+
+
+CHUNKS = ("chunk long, doc_id array<long>, held_out array<boolean>, n_tokens array<int>, words binary, ids binary")
+
+
+def _encode_chunks(batches):
+    part, made = TaskContext.get().partitionId(), 0
+    numbers, docs, ids, total = _Numbers(), [], [], 0
 
     def out():
-        return pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()),
-                                           "c": pa.array(list(seen.values()), pa.int64())})
+        doc, held, n = zip(*docs)
+        row = [pa.array([(part << 32) + made], pa.int64()), pa.array([doc], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
+               pa.array([n], pa.list_(pa.int32())), pa.array([b"\n".join(w for w in numbers if w != END)], pa.binary()),
+               pa.array([np.concatenate(ids).tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(row, names=["chunk", "doc_id", "held_out", "n_tokens", "words", "ids"])
 
     for batch in batches:
-        for t in _binary(batch.column("text")):
-            seen.update(tokens(t.as_py()))
-            if len(seen) > FLUSH:
+        for doc, held, t in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), _binary(batch.column("text"))):
+            ws = tokens(t.as_py())
+            ids.append(np.fromiter(map(numbers.__getitem__, ws), np.int32, len(ws)))
+            docs.append((doc, held, len(ws)))
+            total += len(ws)
+            if total >= CHUNK:
                 yield out()
-                seen.clear()
-    if seen:
+                numbers, docs, ids, total, made = _Numbers(), [], [], 0, made + 1
+    if docs:
         yield out()
 
 
+class Chunk:
+    """A row of the chunk table."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        words = batch.column("words")[i].as_py()
+        self.words = [END, *words.split(b"\n")] if words else [END]
+        self.ids = np.frombuffer(batch.column("ids")[i].as_py(), np.int32)
+        self.n = np.array(batch.column("n_tokens")[i].as_py(), np.int64)
+        self.held = np.array(batch.column("held_out")[i].as_py(), bool)
+        self.start = np.cumsum(self.n) - self.n
+
+    def training(self) -> np.ndarray:
+        """Words of the training texts, one text after the other; every text
+        ends with END, which is also what precedes the next one."""
+        return self.ids if not self.held.any() else self.ids[np.repeat(~self.held, self.n)]
+
+
+def _each_chunk(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Chunk(batch, i)
+
+
+def _count_words(batches):
+    for chunk in _each_chunk(batches):
+        c = np.bincount(chunk.training(), minlength=len(chunk.words))
+        some = np.flatnonzero(c)
+        yield pa.RecordBatch.from_arrays([pa.array([chunk.words[i] for i in some.tolist()], pa.binary()), pa.array(c[some])],
+                                         names=["word", "c"])
+
+
 class Vocabulary:
     """Broadcast part of the model: known words, and items for all others."""
 
@@ -93,30 +140,22 @@ class Vocabulary:
     def item_of(self, word: bytes) -> int:
         return self.suffix.get(word[-3:], self.n_items - 1)
 
-    def lookup(self):
-        """word -> position among the known words, or ``n_known`` + item."""
-        vocabulary = self
-
-        class Lookup(dict):
-            def __missing__(self, word):
-                return vocabulary.n_known + vocabulary.suffix.get(word[-3:], vocabulary.n_items - 1)
-
-        return Lookup(self.known)
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """Position among the known words, or ``n_known`` + item."""
+        known, suffix, other = self.known, self.suffix, self.n_items - 1
+        return np.fromiter((known[w] if w in known else self.n_known + suffix.get(w[-3:], other) for w in words), np.int64, len(words))
 
 
 def _count_bigrams(shared):
     def run(batches):
         v = shared.value
-        look = v.lookup()
         item = np.concatenate([v.item, np.arange(v.n_items)])
         end = v.item[v.known[END]] if END in v.known else v.n_items - 1
         total = np.zeros(v.n_items * v.n_items, np.int64)
-        for batch in _slices(batches):
-            ws = []                       # every text ends with END, which is also what precedes the next one
-            for t in _binary(batch.column("text")):
-                ws += tokens(t.as_py())
-            seq = np.concatenate([[end], item[np.fromiter(map(look.__getitem__, ws), np.int64, len(ws))]])
-            total += np.bincount(seq[:-1] * v.n_items + seq[1:], minlength=len(total))
+        for chunk in _each_chunk(batches):
+            seq = item[v.codes(chunk.words)][chunk.training()]
+            if len(seq):
+                total += np.bincount(np.concatenate([[end], seq[:-1]]) * v.n_items + seq, minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"a": pa.array(some // v.n_items), "b": pa.array(some % v.n_items),
                                           "n": pa.array(total[some])})
@@ -207,83 +246,112 @@ class Model:
         self.transition = np.log10((1 - BACKOFF) * direct + BACKOFF * unigram[None, :])
 
 
+def _packed(words: list[bytes], row: np.ndarray, code: np.ndarray, n: np.ndarray, codes: int) -> pa.RecordBatch:
+    """One row per word: its codes, each packed with its count.  ``row``:
+    ascending position among ``words``."""
+    some, first = np.unique(row, return_index=True)
+    offsets = np.append(first, len(row)).astype(np.int32) * 8
+    packed = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(n.astype(np.int64) * codes + code)])
+    return pa.RecordBatch.from_arrays([pa.array([words[i] for i in some.tolist()], pa.binary()), packed], names=["word", "packed"])
+
+
 def _count_neighbours(shared):
     """Per word outside the top words: the classes before it (codes from 0) and
-    after it (codes from the number of classes), each packed with its count."""
+    after it (codes from the number of classes), each packed with its count;
+    known words once per task, others once per chunk."""
     def run(batches):
         m = shared.value
-        look, n_top = m.vocabulary.lookup(), m.vocabulary.n_top
-        classes = len(m.transition)
-        ids, counted, held = {}, [], 0
-
-        def out():
-            key = np.concatenate([k for k, _ in counted])
-            key, at = np.unique(key, return_inverse=True)
-            n = np.bincount(at, np.concatenate([c for _, c in counted])).astype(np.int64)
-            word, first = np.unique(key // (2 * classes), return_index=True)     # every id, in order
-            offsets = np.append(first, len(key)).astype(np.int32) * 8
-            packed = pa.Array.from_buffers(pa.binary(), len(word), [None, pa.py_buffer(offsets),
-                                                                    pa.py_buffer(n * (2 * classes) + key % (2 * classes))])
-            return pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()), packed], names=["word", "packed"])
-
-        for batch in _slices(batches):
-            ws = []                       # every text ends with END, a top word
-            for t in _binary(batch.column("text")):
-                ws += tokens(t.as_py())
-            at = np.fromiter(map(look.__getitem__, ws), np.int64, len(ws))
-            cls = m.class_of[at]
-            tail = np.flatnonzero((at >= n_top) & (np.arange(len(at)) < len(at) - 1))
+        v, classes = m.vocabulary, len(m.transition)
+        codes = 2 * classes
+        matrix = np.zeros((v.n_known, codes), np.int64)
+        for chunk in _each_chunk(batches):
+            at = v.codes(chunk.words)
+            seq = chunk.training()
+            cls = m.class_of[at][seq]
+            tail = np.flatnonzero((at >= v.n_top)[seq])                # END, a top word, ends every text
             if not len(tail):
                 continue
-            word = np.fromiter((ids.setdefault(ws[i], len(ids)) for i in tail.tolist()), np.int64, len(tail))
-            before = np.where(tail > 0, cls[tail - 1], m.start)
-            key = np.concatenate([word * (2 * classes) + before, word * (2 * classes) + classes + cls[tail + 1]])
-            counted.append(np.unique(key, return_counts=True))
-            held += len(counted[-1][0])
-            if len(ids) > FLUSH or held > 6 * FLUSH:
-                yield out()
-                ids, counted, held = {}, [], 0
-        if counted:
-            yield out()
+            word, before = seq[tail].astype(np.int64) * codes, np.where(tail > 0, cls[tail - 1], m.start)
+            key, n = np.unique(np.concatenate([word + before, word + classes + cls[tail + 1]]), return_counts=True)
+            row, code = key // codes, key % codes
+            known = (at < v.n_known)[row]
+            matrix[at[row[known]], code[known]] += n[known]
+            rare = ~known
+            if rare.any():
+                yield _packed(chunk.words, row[rare], code[rare], n[rare], codes)
+        row, code = np.nonzero(matrix)
+        if len(row):
+            yield _packed(list(v.known), row, code, matrix[row, code], codes)
     return run
 
 
-def _unpack(lists, kind):
-    """The row of every number in a column of lists of packed numbers, and the numbers."""
-    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    data = lists.flatten().to_pylist()
-    return np.repeat(rows, [len(d) // kind().itemsize for d in data]), np.frombuffer(b"".join(data), kind)
-
-
 def _best_classes(shared):
+    """Rows sorted by word -> each word with its count and best class."""
     def run(batches):
         m = shared.value
         classes = len(m.transition)
-        gain = np.vstack([m.transition, m.transition.T])             # code x class of the word
+        codes = 2 * classes
+        gain = np.vstack([m.transition, m.transition.T])               # code x class of the word
+        held, held_sums = None, None                                   # the last word, which may go on in the next batch
+
+        def out(words, sums):
+            c = sums[:, :classes].sum(1)
+            best = np.argmax(sums @ gain - c[:, None] * m.denominator[None, :], 1)
+            return pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "c": pa.array(c.astype(np.int64)),
+                                               "class": pa.array(best, pa.int32())})
+
         for batch in batches:
-            row, packed = _unpack(batch.column("packed"), np.int64)
-            seen = np.bincount(row * (2 * classes) + packed % (2 * classes), packed // (2 * classes),
-                               batch.num_rows * 2 * classes).reshape(-1, 2 * classes)
-            c = seen[:, :classes].sum(1)
-            best = np.argmax(seen @ gain - c[:, None] * m.denominator[None, :], 1)
-            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "c": pa.array(c.astype(np.int64)),
-                                              "class": pa.array(best, pa.int32())})
+            for at in range(0, batch.num_rows, 4096):
+                words = batch.column("word").slice(at, 4096).to_pylist()
+                data = batch.column("packed").slice(at, 4096).to_pylist()
+                new = np.array([i == 0 or words[i] != words[i - 1] for i in range(len(words))])
+                packed = np.frombuffer(b"".join(data), np.int64)
+                of = np.repeat(np.cumsum(new) - 1, [len(d) // 8 for d in data])
+                sums = np.bincount(of * codes + packed % codes, packed // codes, int(new.sum()) * codes).reshape(-1, codes)
+                names = [w for w, first in zip(words, new) if first]
+                if held is not None:
+                    if names[0] == held:
+                        sums[0] += held_sums
+                    else:
+                        names, sums = [held, *names], np.vstack([held_sums, sums])
+                if len(names) > 1:
+                    yield out(names[:-1], sums[:-1])
+                held, held_sums = names[-1], sums[-1]
+        if held is not None:
+            yield out([held], held_sums[None, :])
     return run
 
 
 def _most_frequent(words: DataFrame, n: int) -> DataFrame:
-    """END first, whatever its rank."""
-    return words.orderBy((F.col("word") != F.lit(END)).cast("int"), F.desc("c"), "word").limit(n)
+    """The n most frequent words, END first, whatever its rank.  A histogram of
+    the counts (bounded: exact to 1,024, then 16 steps per doubling) gives a
+    count that at least n words reach; only those are sorted."""
+    step = F.when(F.col("c") <= 1024, F.col("c")).otherwise(F.floor(864 + 16 * F.log2("c")).cast("long"))
+    steps = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()
+    reach, low = 0, 0
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        reach, low = reach + r["k"], r["step"]
+        if reach >= n:
+            break
+    some = words.where((step >= low) | (F.col("word") == F.lit(END)))
+    return some.orderBy((F.col("word") != F.lit(END)).cast("int"), F.desc("c"), "word").limit(n)
 
 
-def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
+def _encode(docs: DataFrame) -> DataFrame:
+    """The chunk table of ``(doc_id, held_out, text)`` rows, written once."""
+    ship_package(docs.sparkSession)
+    rows = docs.select("doc_id", "held_out", "text")
+    return materialize(rows.mapInArrow(tidy(_encode_chunks), CHUNKS), "brown-chunks")
+
+
+def _classify(chunks: DataFrame, classes: int, top_words: int, suffixes: int,
               known_words: int) -> tuple[DataFrame, Model]:
     """All training words (``word, c, class``), and the model but for its
     transitions, which are still those between items."""
-    spark = train.sparkSession
-    ship_package(spark)
-    counts = materialize(train.select("text").mapInArrow(tidy(_count_words), "word binary, c long")
-                              .groupBy("word").agg(F.sum("c").alias("c")), "brown-counts")
+    spark = chunks.sparkSession
+    need = chunks.select("held_out", "n_tokens", "words", "ids")
+    counts = materialize(need.mapInArrow(tidy(_count_words), "word binary, c long")
+                             .groupBy("word").agg(F.sum("c").alias("c")), "brown-counts")
     n_words, n_tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     top = _most_frequent(counts, known_words).toArrow()
     known, known_counts = top.column("word").to_pylist(), top.column("c").to_pylist()
@@ -293,8 +361,8 @@ def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
     best = tail.orderBy(F.desc("n"), "s").limit(suffixes).collect()
     vocabulary = Vocabulary(known, known_counts, top_words, [bytes(r["s"]) for r in best])
     shared = spark.sparkContext.broadcast(vocabulary)
-    pairs = (train.select("text").mapInArrow(tidy(_count_bigrams(shared)), "a long, b long, n long")
-                  .groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow())      # at most items ** 2
+    pairs = (need.mapInArrow(tidy(_count_bigrams(shared)), "a long, b long, n long")
+                 .groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow())      # at most items ** 2
     bigrams = np.zeros((vocabulary.n_items, vocabulary.n_items))
     bigrams[pairs.column("a").to_numpy(), pairs.column("b").to_numpy()] = pairs.column("n").to_numpy()
     del pairs
@@ -307,12 +375,12 @@ def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
     model = Model(vocabulary, of, bigrams, distinct, n_tokens, n_words)
     # every other word to its best class
     shared = spark.sparkContext.broadcast(model)
-    near = (train.select("text").mapInArrow(tidy(_count_neighbours(shared)), "word binary, packed binary")
-                 .repartition("word").groupBy("word").agg(F.collect_list("packed").alias("packed")))
+    near = need.mapInArrow(tidy(_count_neighbours(shared)), "word binary, packed binary").repartition("word").sortWithinPartitions("word")
     fixed = [(bytearray(w), c, int(k)) for w, c, k in zip(known[:top_words], known_counts, model.class_of)]
-    words = materialize(near.mapInArrow(_best_classes(shared), "word binary, c long, class int")
+    words = materialize(near.mapInArrow(tidy(_best_classes(shared)), "word binary, c long, class int")
                             .unionByName(spark.createDataFrame(fixed, "word binary, c long, class int")), "brown-classes")
-    got = _most_frequent(words, known_words).toArrow()
+    ours = spark.createDataFrame([(bytearray(w),) for w in known], "word binary")
+    got = words.join(F.broadcast(ours), "word", "left_semi").toArrow()          # at most `known_words` rows
     class_of = dict(zip(got.column("word").to_pylist(), got.column("class").to_pylist()))
     size, kinds = np.zeros((2, len(model.transition)))
     for r in words.groupBy("class").agg(F.sum("c").alias("size"), F.count(F.lit(1)).alias("kinds")).collect():
@@ -321,20 +389,78 @@ def _classify(train: DataFrame, classes: int, top_words: int, suffixes: int,
     return words, model
 
 
+def _rare_words(shared):
+    """The words of a chunk that the broadcast model does not know."""
+    def run(batches):
+        v = shared.value.vocabulary
+        for batch in batches:
+            for i, chunk in enumerate(batch.column("chunk").to_pylist()):
+                raw = batch.column("words")[i].as_py()
+                words = [END, *raw.split(b"\n")] if raw else [END]
+                rare = [(n, w) for n, w in enumerate(words) if w not in v.known]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(rare), pa.int64()), pa.array([n for n, _ in rare], pa.int32()),
+                                                  pa.array([w for _, w in rare], pa.binary())], names=["chunk", "number", "word"])
+    return run
+
+
+ENCODED = ("doc_id array<long>, held_out array<boolean>, n_tokens array<int>, n_known array<long>, logs array<double>, seq binary")
+
+
+def _name_classes(shared):
+    """Chunks, with what was found of their rare words -> the class of every
+    token, and per text its known tokens and the sum of their log counts."""
+    def run(batches):
+        m = shared.value
+        v = m.vocabulary
+        for batch in batches:
+            found = batch.column("found")
+            for i in range(batch.num_rows):
+                chunk = Chunk(batch, i)
+                at = v.codes(chunk.words)
+                cls, logs, known = m.class_of[at], m.log_count[at], at < v.n_known
+                if found[i].is_valid:
+                    x = found[i].values
+                    number = x.field("number").to_numpy()
+                    cls[number], logs[number] = x.field("class").to_numpy(), np.log10(x.field("c").to_numpy() + 1)
+                    known[number] = True
+                each = [pa.array([batch.column(c)[i].as_py()], k) for c, k in (
+                    ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int32())))]
+                n_known = np.add.reduceat(known[chunk.ids].astype(np.int64), chunk.start)
+                total = np.add.reduceat(logs[chunk.ids], chunk.start)
+                yield pa.RecordBatch.from_arrays(
+                    [*each, pa.array([n_known], pa.list_(pa.int64())), pa.array([total], pa.list_(pa.float64())),
+                     pa.array([cls[chunk.ids].astype(m.dtype).tobytes()], pa.binary())],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "seq"])
+    return run
+
+
+def _named(chunks: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """Classes of all tokens by chunk: the words that the broadcast model does
+    not know meet the vocabulary in a join, then their chunk."""
+    shared = chunks.sparkSession.sparkContext.broadcast(model)
+    rare = chunks.select("chunk", "words").mapInArrow(tidy(_rare_words(shared)), "chunk long, number int, word binary")
+    found = (rare.join(words, "word").groupBy("chunk")
+                 .agg(F.collect_list(F.struct("number", "c", "class")).alias("found")))      # at most a chunk's words
+    return chunks.join(found, "chunk", "left").mapInArrow(tidy(_name_classes(shared)), ENCODED)
+
+
 def _count_transitions(n: int, kind):
     def run(batches):
         total = np.zeros(n * n, np.int64)
-        for batch in _slices(batches):
-            seq, _ = _sequences(batch, kind)
-            if len(seq):                  # every text ends with END, which is also what precedes the next one
-                total += np.bincount(np.concatenate([seq[-1:], seq[:-1]]) * n + seq, minlength=n * n)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                seq = np.frombuffer(batch.column("seq")[i].as_py(), kind).astype(np.int64)
+                held = np.array(batch.column("held_out")[i].as_py(), bool)
+                seq = seq[np.repeat(~held, np.array(batch.column("n_tokens")[i].as_py(), np.int64))]
+                if len(seq):                  # every text ends with END, which is also what precedes the next one
+                    total += np.bincount(np.concatenate([seq[-1:], seq[:-1]]) * n + seq, minlength=n * n)
         yield pa.RecordBatch.from_pydict({"k": pa.array(np.arange(n * n)), "n": pa.array(total)})
     return run
 
 
 def _set_transitions(encoded: DataFrame, model: Model) -> None:
     n = len(model.transition)
-    got = (encoded.select("n_tokens", "seq", "at", "cls").mapInArrow(_count_transitions(n, model.dtype), "k long, n long")
+    got = (encoded.select("held_out", "n_tokens", "seq").mapInArrow(tidy(_count_transitions(n, model.dtype)), "k long, n long")
                   .groupBy("k").agg(F.sum("n").alias("n")).toArrow())
     trans = np.zeros(n * n)
     trans[got.column("k").to_numpy()] = got.column("n").to_numpy()
@@ -345,100 +471,38 @@ def fit(train: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes:
         known_words: int = 40_000) -> tuple[DataFrame, Model]:
     """All training words with count and class (``word, c, class``) and the
     model, from the ``text`` column of ``train``."""
-    words, model = _classify(train, classes, top_words, suffixes, known_words)
-    rows = train.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text")
-    _set_transitions(_encode(rows, words, model), model)
+    chunks = _encode(train.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text"))
+    words, model = _classify(chunks, classes, top_words, suffixes, known_words)
+    _set_transitions(_named(chunks, words, model), model)
     return words, model
 
 
 def fit_score(docs: DataFrame, *, classes: int = 48, top_words: int = 800, suffixes: int = 400,
               known_words: int = 40_000) -> DataFrame:
     """:func:`score` of all rows by the :func:`fit` to those not held out; the
-    classes of rare words are joined once for both."""
-    words, model = _classify(docs.where("not held_out"), classes, top_words, suffixes, known_words)
-    encoded = materialize(_encode(docs, words, model), "brown-encoded")
-    _set_transitions(encoded.where("not held_out"), model)
+    texts are split and the classes of rare words joined once for both."""
+    chunks = _encode(docs)
+    words, model = _classify(chunks, classes, top_words, suffixes, known_words)
+    encoded = materialize(_named(chunks, words, model), "brown-encoded")
+    _set_transitions(encoded, model)
     return _score(encoded, model)
 
 
-def _score_rows(shared):
-    """One row per document with the classes of its tokens (by ending for words
-    outside the broadcast counts), and one per document and such word with its
-    places."""
-    names = ["rid", "word", "tf", "at", "doc_id", "held_out", "n_tokens", "known", "logs", "seq"]
-
-    def run(batches):
-        m = shared.value
-        look, n_known = m.vocabulary.lookup(), m.vocabulary.n_known
-        for batch in _slices(batches):
-            rid, word, tf, places, doc = [], [], [], [], []
-            for r, d, held, t in zip(*(batch.column(c).to_pylist() for c in ("rid", "doc_id", "held_out")),
-                                     _binary(batch.column("text"))):
-                ws = tokens(t.as_py())
-                at = np.fromiter(map(look.__getitem__, ws), np.int64, len(ws))
-                rare = np.flatnonzero(at >= n_known)
-                rid.append(r)
-                word.append(b" " + r.to_bytes(8, "big"))             # no word starts with a blank: spreads the rows
-                tf.append(0)
-                places.append(None)
-                doc.append((d, held, len(ws), len(ws) - len(rare), float(m.log_count[at].sum()),
-                            m.class_of[at].astype(m.dtype).tobytes()))
-                found = {}
-                for i in rare.tolist():
-                    found.setdefault(ws[i], []).append(i)
-                rid += [r] * len(found)
-                word += found.keys()
-                tf += map(len, found.values())
-                places += [array("i", x).tobytes() for x in found.values()]
-                doc += [(None,) * 6] * len(found)
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary()]
-            columns = [rid, word, tf, places, *(list(zip(*doc)) if doc else [[]] * 6)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    return run
-
-
-def _encode(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
-    """Per document its counts, the classes of its tokens (``seq``), and places
-    and classes of its rare training words (``at``, ``cls``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
-        _score_rows(shared), "rid long, word binary, tf long, at binary, doc_id long, held_out boolean, n_tokens long, "
-                             "known long, logs double, seq binary")
-    # sent as it is joined: rows of a document meet once, without a partial aggregate before
-    joined = rows.join(words, "word", "left").drop("word").repartition("rid")
-    c = F.coalesce("c", F.lit(0))
-    found = F.col("class").isNotNull()
-    return joined.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("known") + F.sum(F.when(c > 0, F.col("tf")).otherwise(0))).alias("n_known"),
-        (F.max("logs") + F.sum(F.col("tf") * F.log10(c + 1))).alias("logs"), F.first("seq", True).alias("seq"),
-        F.collect_list(F.when(found, F.struct("at", "class"))).alias("rare")).select(
-        "doc_id", "held_out", "n_tokens", "n_known", "logs", "seq", F.col("rare.at").alias("at"), F.col("rare.class").alias("cls"))
-
-
-def _sequences(batch, kind):
-    """The classes of the tokens of all texts, one after the other, and where
-    each text starts."""
-    n = batch.column("n_tokens").to_numpy()
-    start = np.cumsum(n) - n
-    seq = np.frombuffer(b"".join(batch.column("seq").to_pylist()), kind).astype(np.int64)
-    at, cls = batch.column("at"), batch.column("cls").flatten().to_numpy(zero_copy_only=False)
-    row, place = _unpack(at, np.int32)
-    seq[start[row] + place] = np.repeat(cls, [len(x) // 4 for x in at.flatten().to_pylist()])
-    return seq, start
-
-
 def _score_classes(shared):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "logs"]
 
     def run(batches):
         m = shared.value
-        for batch in _slices(batches):
-            seq, start = _sequences(batch, m.dtype)
-            each = m.transition[np.concatenate([[m.start], seq[:-1]]), seq] - m.denominator[seq] if len(seq) else np.zeros(0)
-            total = np.add.reduceat(each, start) if len(start) else each
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total)], names=[*names, "classes"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                seq = np.frombuffer(batch.column("seq")[i].as_py(), m.dtype).astype(np.int64)
+                n = np.array(batch.column("n_tokens")[i].as_py(), np.int64)
+                # what precedes the chunk is END, as before every text
+                each = m.transition[np.concatenate([[m.start], seq[:-1]]), seq] - m.denominator[seq]
+                total = np.add.reduceat(each, np.cumsum(n) - n)
+                columns = [batch.column(c)[i].values for c in names]
+                columns[2] = columns[2].cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(total)], names=[*names, "classes"])
 
     return run
 
@@ -455,4 +519,4 @@ def _score(encoded: DataFrame, model: Model) -> DataFrame:
 def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
     """Scores of ``(doc_id, held_out, text)`` rows: ``doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
-    return _score(_encode(docs, words, model), model)
+    return _score(_named(_encode(docs), words, model), model)
