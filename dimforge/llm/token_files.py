@@ -47,13 +47,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.llm.storage import REMEMBERED as CACHES
-from dimforge.llm.storage import materialize, scratch, ship_package, write_bytes
+from dimforge.llm.storage import materialize, scratch, ship_package, tidy, write_bytes
 from dimforge.operators.joins import broadcast_if_small
 
 MAGIC = b"DFTOK01\n"
 FILE_IDS = 4_000_000
 REMEMBERED = 250_000
-PASSING = 50_000
+PASSING = 200_000
 
 _WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 
@@ -132,9 +132,9 @@ def _safe(run: str) -> bool:
 
 
 class _Runs(dict):
-    """Encodings of the runs between blanks, all with the same lead.  The
-    first ``REMEMBERED`` stay for the life of the worker, later ones until
-    ``PASSING`` have come."""
+    """Encodings of the runs between blanks, all with the same lead.  A run is
+    remembered for the life of the worker (at most ``REMEMBERED``) once it has
+    come twice among ``PASSING`` new ones; most new runs never come again."""
 
     def __init__(self, encoder: "Encoder", lead: str):
         super().__init__()
@@ -143,22 +143,29 @@ class _Runs(dict):
     def resolve(self, run: str) -> bytes | None:
         """Ids of a run that is not remembered; None where a text cannot be
         cut."""
+        value = self.again(run)
+        if value is None:
+            value = self.encoder.simple(run, self)
+            if value is None and _safe(run):
+                value = self.encoder.whole(self.lead + run)
+                self.put(run, value)
+        return value
+
+    def again(self, run: str) -> bytes | None:
+        """Ids of a run that has passed; from now on it is remembered."""
         value = self.passing.get(run)
-        if value is None and _safe(run):
-            value = self.encoder.simple(run, self) or self.encoder.whole(self.lead + run)
-            self.put(run, value)
+        if value is not None and len(self) < REMEMBERED and len(run) < 64:
+            self[run] = value
+            del self.passing[run]
         return value
 
     def put(self, run: str, value: bytes) -> None:
-        if len(self) < REMEMBERED and len(run) < 64:
-            self[run] = value
-            return
         if len(self.passing) >= PASSING:
             self.passing.clear()
         self.passing[run] = value
 
     def known(self, run: str) -> bytes | None:
-        return self.get(run) or self.passing.get(run)
+        return self.get(run) or self.again(run)
 
 
 class Encoder:
@@ -193,7 +200,9 @@ class Encoder:
                 text = text.replace(" ", "\u0120")
             else:
                 text = text.encode().decode("latin-1").translate(_BYTE_CHARS)
-            return array("I", [t.id for t in self.model_encode(text)]).tobytes()
+            value = array("I", [t.id for t in self.model_encode(text)]).tobytes()
+            runs.put(run, value)
+            return value
         word = _WORD_AND_MARKS.fullmatch(run)
         if word and word[1].isalpha() and not any(c.isalnum() for c in word[2]):
             marks = self.marks.get(word[2])
@@ -201,7 +210,11 @@ class Encoder:
                 marks = self.whole(word[2])
                 if len(self.marks) < 10_000:
                     self.marks[word[2]] = marks
-            return self.part(word[1], runs) + marks
+            value = runs.known(word[1])
+            if value is None:                              # a new word's marks are not worth remembering
+                return self.simple(word[1], runs) + marks
+            runs.put(run, value + marks)
+            return value + marks
         before, feed, after = run.partition("\n")
         if feed and _safe(before) and _safe(after):
             a, b = self.part(before, runs), self.part(after, self.first)
@@ -210,12 +223,7 @@ class Encoder:
         return None
 
     def part(self, run: str, runs: _Runs) -> bytes | None:
-        value = runs.known(run)
-        if value is None:
-            value = self.simple(run, runs)
-            if value is not None:
-                runs.put(run, value)
-        return value
+        return runs.known(run) or self.simple(run, runs)
 
     def encode(self, text: str) -> np.ndarray:
         runs = text.split(" ")
@@ -275,7 +283,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, *, key: str = "doc
             yield flush()
 
     schema = "part long, seq long, name string, path string, n_docs long, n_ids long"
-    return materialize(rows.mapInArrow(task, schema), "token-manifest")
+    return materialize(rows.mapInArrow(tidy(task), schema), "token-manifest")
 
 
 def read_files(manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
@@ -290,9 +298,13 @@ def read_files(manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
     if first is None:
         return spark.createDataFrame([], schema).withColumn("start", F.col("local")).select(*out)
     folder = first["path"].rsplit("/", 1)[0]
-    before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part", "seq").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    base = manifest.select("name", before.alias("base"))        # one row per file
+    # ids before a file: those of the parts before its own, and of its part's files before it
+    upto = Window.unboundedPreceding, -1
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n"))             # one row per partition
+    parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(*upto)), F.lit(0)).alias("above"))
+    inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(*upto)), F.lit(0))
+    base = manifest.withColumn("inside", inside).join(broadcast_if_small(parts), "part").select(
+        "name", (F.col("above") + F.col("inside")).alias("base"))
 
     def task(batches):
         for batch in batches:
@@ -310,5 +322,5 @@ def read_files(manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
     files = (spark.read.format("binaryFile").load(folder)
                   .select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"))
     counted = files.join(broadcast_if_small(base.select("name")), "name", "left_semi")
-    docs = counted.mapInArrow(task, schema).join(broadcast_if_small(base), "name")
+    docs = counted.mapInArrow(tidy(task), schema).join(broadcast_if_small(base), "name")
     return docs.withColumn("start", F.col("base") + F.col("local")).select(*out)
