@@ -47,11 +47,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.llm.chosen_path import mix
-from dimforge.llm.storage import forget, materialize, ship_package
+from dimforge.llm.storage import forget, materialize, release, ship_package, tidy
 
-CHUNK = 1_500_000            # words; below 2**21, so that three word numbers fit 64 bits
+CHUNK = 600_000              # words; below 2**21, so that three word numbers fit 64 bits
 PART_BYTES = 6_000_000       # of texts per partition of the n-grams
-MERGED = 2_000_000           # counters that are merged at once
+MERGED = 1_000_000           # counters that are merged at once
 FILTER_BITS = 1 << 28
 PROBES = 3
 BREAK = b"."                 # no word holds it
@@ -117,7 +117,8 @@ class Chunk:
             order = at[np.argsort(key[at])]
             ordered = key[order]
             first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            words = ids[order[first][:, None] + np.arange(n)]
+            del ordered
+            words = ids[order[first][:, None] + np.arange(n)].astype(np.int32)
             h = self.hash[words[:, 0]]
             with np.errstate(over="ignore"):
                 for k in range(1, n):
@@ -154,7 +155,7 @@ def _chunks(batches):
 
 def place(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Partition and 32-bit key of a hash."""
-    return ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), h.astype(np.uint32)
+    return ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int32), h.astype(np.uint32)
 
 
 def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,18 +206,18 @@ def _unpack(keys: bytes, small: bytes, large: bytes) -> tuple[np.ndarray, np.nda
 def _summaries(parts: int, longest: int):
     def run(batches):
         for chunk in _chunks(batches):
-            found = [(h, c) for _, c, h in chunk.grams(longest)]
+            found = [(*place(h, parts), c.astype(np.int32)) for _, c, h in chunk.grams(longest)]
             if not found:
                 continue
-            part, key = place(np.concatenate([h for h, _ in found]), parts)
-            counts = np.concatenate([c for _, c in found])
+            part, key, counts = map(np.concatenate, zip(*found))
+            del found, chunk
             order = np.argsort(part, kind="stable")
             part, key, counts = part[order], key[order], counts[order]
             some, first = np.unique(part, return_index=True)
             edges = np.append(first, len(part))
             rows = [_pack(*add_up(key[a:b], counts[a:b])) for a, b in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(np.add.reduceat(counts, first)), *(pa.array(c, pa.binary()) for c in zip(*rows))],
+                [pa.array(some.astype(np.int64)), pa.array(np.add.reduceat(counts, first, dtype=np.int64)), *(pa.array(c, pa.binary()) for c in zip(*rows))],
                 names=["part", "mass", "keys", "small", "large"])
     return run
 
@@ -236,6 +237,8 @@ def _survivors(threshold: int):
             summary.merge(*zip(*held))
         assert summary.error < threshold
         left = summary.may_reach(threshold)
+        del held, summary
+        release()
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "n": pa.array([len(left)], pa.int64()),
                          "keys": pa.array([left.tobytes()], pa.binary())})
     return run
@@ -267,7 +270,7 @@ def survivors_filter(survivors: DataFrame, parts: int) -> tuple[np.ndarray, int]
     n = survivors.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     width = 8 * max(1, min(12 * n, FILTER_BITS // parts) // 8)
     bits = np.zeros(parts * width // 8, np.uint8)
-    for batch in survivors.mapInArrow(_slices(width), "part long, bits binary").toArrow().to_batches():
+    for batch in survivors.mapInArrow(tidy(_slices(width)), "part long, bits binary").toArrow().to_batches():
         for part, raw in zip(batch.column("part").to_pylist(), batch.column("bits")):
             bits[part * width // 8:(part + 1) * width // 8] = np.frombuffer(raw.as_py(), np.uint8)
     return bits, width
@@ -307,10 +310,10 @@ def frequent(docs: DataFrame, *, text: str = "text", group: str = "lang", max_wo
     rows = docs.select(F.coalesce(F.col(group), F.lit("und")).alias("grp"), F.col(text).cast("binary").alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     parts = 1 + size // PART_BYTES
-    made = rows.mapInArrow(_summaries(parts, max_words), "part long, mass long, keys binary, small binary, large binary")
+    made = rows.mapInArrow(tidy(_summaries(parts, max_words)), "part long, mass long, keys binary, small binary, large binary")
     kept = materialize(made.groupBy("part").applyInArrow(_survivors(threshold), "part long, n long, keys binary"), "phrases-survivors")
     shared = spark.sparkContext.broadcast(survivors_filter(kept, parts))
-    counted = rows.mapInArrow(_exact(shared, parts, max_words), "grp string, words int, phrase string, c long")
+    counted = rows.mapInArrow(tidy(_exact(shared, parts, max_words)), "grp string, words int, phrase string, c long")
     total = counted.groupBy("grp", "words", "phrase").agg(F.sum("c").alias("f"))
     return materialize(total.where((F.col("words") == 0) | (F.col("f") >= threshold)), "phrases-frequent")
 
