@@ -91,16 +91,22 @@ def format_trees(messages: DataFrame, *, best: int | None = None) -> DataFrame:
     """One row per chosen path: ``conv_id, leaf, rank, n_turns, formatted,
     loss_spans``.  ``best`` keeps that many branches of each conversation
     (None: all)."""
-    keyed = messages.select("conv_id", "node", "role", "text", "score")
     reach = paths(messages)
-    full = reach.join(keyed.withColumnsRenamed({"conv_id": "kc", "node": "kn"}),
-                      F.col("conv_id").eqNullSafe(F.col("kc")) & (F.col("node") == F.col("kn")))
+    keyed = messages.select(F.col("conv_id").alias("kc"), F.col("node").alias("kn"), "role", "text", "score")
+    here = F.col("conv_id").eqNullSafe(F.col("kc")) & (F.col("node") == F.col("kn"))
+    # branches are ranked on ids and scores; texts are joined to the chosen ones only
+    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("path_score").desc_nulls_last(), "leaf"))
+    chosen = (reach.join(keyed.select("kc", "kn", "score"), here).groupBy("conv_id", "leaf").agg(F.avg("score").alias("path_score"))
+                   .select(F.col("conv_id").alias("bc"), F.col("leaf").alias("bl"), rank.cast("long").alias("rank")))
+    if best is not None:
+        chosen = chosen.where(F.col("rank") <= best)
+    full = (reach.join(chosen, F.col("conv_id").eqNullSafe(F.col("bc")) & (F.col("leaf") == F.col("bl")))
+                 .select("conv_id", "leaf", "node", "up", "rank").join(keyed.drop("score"), here))
     role = escape_role(F.coalesce("role", F.lit("")))
     text = escape(F.coalesce("text", F.lit("")))
     turn = F.struct((-F.col("up")).alias("at"), F.concat(F.lit(START), role, F.lit("\n")).alias("head"),
                     text.alias("body"), (F.col("role") == LEARNED).alias("learn"))
-    per = (full.groupBy("conv_id", "leaf")
-               .agg(F.array_sort(F.collect_list(turn)).alias("turns"), F.avg("score").alias("path_score")))
+    per = full.groupBy("conv_id", "leaf", "rank").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     tail = f"{END}\n"
     body = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(tail))), "")
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,len:bigint>>)").alias("spans"))
@@ -111,10 +117,8 @@ def format_trees(messages: DataFrame, *, best: int | None = None) -> DataFrame:
         return F.struct((start + F.length(t["body"]) + len(tail)).cast("long").alias("at"),
                         F.when(t["learn"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("path_score").desc_nulls_last(), "leaf"))
-    out = per.select("conv_id", "leaf", rank.cast("long").alias("rank"), F.size("turns").cast("long").alias("n_turns"),
-                     body.alias("formatted"), F.aggregate("turns", zero, add)["spans"].alias("loss_spans"))
-    return out if best is None else out.where(F.col("rank") <= best)
+    return per.select("conv_id", "leaf", "rank", F.size("turns").cast("long").alias("n_turns"),
+                      body.alias("formatted"), F.aggregate("turns", zero, add)["spans"].alias("loss_spans"))
 
 
 def parse(formatted: DataFrame) -> DataFrame:

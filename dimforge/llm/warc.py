@@ -11,7 +11,9 @@ Reader: works through a file member by member (gzip) or record by record
 length, closing blank lines, payload digest of responses.  After a failed
 check the reader searches for the next gzip member or version line that
 passes all checks, goes on there, and logs the bytes between as a quarantined
-gap.
+gap.  A member that holds several records loses only the damaged ones: it is
+decompressed up to the damage, and the search goes on at the version lines of
+its content.
 
 Defined results: a NULL payload is empty; repeated rows with the largest id
 are all responses; if every id of a group is NULL all are responses; control
@@ -98,54 +100,101 @@ def _record_at(data, pos: int):
 
 
 def _member_at(data, pos: int):
-    """The gzip member at ``pos``: (content, end) or None if it is damaged."""
+    """The gzip member at ``pos``: (content, end); of a damaged or cut one what
+    can be decompressed before the damage, and None as its end."""
     d = zlib.decompressobj(31)
     out, at = [], pos
-    try:
-        while not d.eof and at < len(data):
+    while not d.eof and at < len(data):
+        before = d.copy()
+        try:
             out.append(d.decompress(data[at:at + _CHUNK]))
-            at += _CHUNK
-    except zlib.error:
-        return None
-    return (b"".join(out), min(at, len(data)) - len(d.unused_data)) if d.eof else None
+        except zlib.error:
+            for i in range(at, min(at + _CHUNK, len(data))):           # up to the damaged byte
+                try:
+                    out.append(before.decompress(data[i:i + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), None
+        at += _CHUNK
+    return b"".join(out), min(at, len(data)) - len(d.unused_data) if d.eof else None
+
+
+def _records_in(content):
+    """Sound records of a stream, which follow each other or a version line, as
+    (offset, fields), and the gaps between them as (start, end)."""
+    found, gaps, pos = [], [], 0
+    while pos < len(content):
+        one, at = _record_at(content, pos), pos
+        while one is None:
+            m = _VERSION.search(content, at + 1)
+            if m is None:
+                gaps.append((pos, len(content)))
+                return found, gaps
+            at = m.start()
+            one = _record_at(content, at)
+        if at > pos:
+            gaps.append((pos, at))
+        found.append((at, one[0]))
+        pos = one[1]
+    return found, gaps
 
 
 def _unit_at(data, pos: int):
-    """Records of the member or plain record at ``pos``, and where it ends."""
+    """What is sound of the member or plain record at ``pos``: records with
+    their offsets inside it, gaps inside it, and where it ends (None if a member
+    is damaged).  None if nothing is."""
     if data[pos:pos + 3] != b"\x1f\x8b\x08":
         one = _record_at(data, pos)
-        return one and ([one[0]], one[1])
-    member = _member_at(data, pos)
-    if member is None:
-        return None
-    content, end = member
-    found, at = [], 0
-    while at < len(content):
-        one = _record_at(content, at)
-        if one is None:
-            return None
-        found.append(one[0])
-        at = one[1]
-    return found, end
+        return one and ([(0, one[0])], [], one[1])
+    content, end = _member_at(data, pos)
+    found, gaps = _records_in(content)
+    if end is not None and not content:
+        return [], [], end
+    if end is None and found and (not gaps or gaps[-1][1] < len(content)):
+        # only the member's checksum could vouch for headers up to its end
+        gaps.append((found.pop()[0], len(content)))
+    return (found, gaps, end) if found else None
 
 
 def salvage(data: bytes):
     """All sound records of a file as (offset, fields), and the quarantined
-    gaps as (start, end)."""
+    gaps.  A gap is (start, end) in the file; within a member of which records
+    were recovered it is (start, end, inner start, inner end): the member, and
+    the bytes of its content.  ``fields["inner"]`` is a record's offset in the
+    content of its member."""
     records, gaps, pos = [], [], 0
+
+    def take(at, found, inside, end):
+        for inner, fields in found:
+            fields["inner"] = inner
+            records.append((at, fields))
+        gaps.extend((at, end, a, b) for a, b in inside)
+
+    damaged = None                                     # a member without an end, and what is sound of it
     while pos < len(data):
-        unit, at = _unit_at(data, pos), pos
+        unit, at = _unit_at(data, pos) if damaged is None else None, pos
         while unit is None:
             m = _START.search(data, at + 1)
             if m is None:
-                gaps.append((pos, len(data)))
-                return records, gaps
+                break
             at = m.start()
             unit = _unit_at(data, at)
-        if at > pos:
-            gaps.append((pos, at))
-        records += [(at, r) for r in unit[0]]
-        pos = unit[1]
+        stop = at if unit else len(data)
+        if damaged is not None:
+            found, inside, held = damaged
+            take(pos, found, inside or [(held, held)], stop)
+            damaged = None
+        elif stop > pos:
+            gaps.append((pos, stop))
+        if unit is None:
+            break
+        found, inside, end = unit
+        if end is None:
+            held = max((b for _, b in inside), default=0)
+            damaged, pos = (found, inside, held), at
+        else:
+            take(at, found, inside, end)
+            pos = end
     return records, gaps
 
 
@@ -196,13 +245,14 @@ def write_warc(pages: DataFrame, *, key: str = "page_id", url: str = "url", payl
 
 
 RECORD = ("file string, offset long, gap_end long, record_type string, record_id string, refers_to string, "
-          "target_uri string, payload_bytes long, payload_digest string")
+          "target_uri string, payload_bytes long, payload_digest string, inner_offset long, inner_end long")
 
 
 def read_warc(files: DataFrame, *, with_payload: bool = False) -> DataFrame:
     """Salvage-read ``(path, content)`` rows (Spark's ``binaryFile`` source):
     one row per record, and one row of type ``quarantined`` per gap (``offset``
-    to ``gap_end``)."""
+    to ``gap_end``; inside a member also ``inner_offset`` to ``inner_end`` of its
+    content)."""
     ship_package(files.sparkSession)
     schema = RECORD + (", payload binary" if with_payload else "")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -212,9 +262,14 @@ def read_warc(files: DataFrame, *, with_payload: bool = False) -> DataFrame:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 records, gaps = salvage(content.as_py() or b"")
                 rows = [(path, at, None, r["warc-type"], r.get("warc-record-id"), r.get("warc-refers-to"),
-                         r.get("warc-target-uri"), r["payload_bytes"], r["digest"], r["payload"]) for at, r in records]
-                rows += [(path, a, b, "quarantined", None, None, None, b - a, None, None) for a, b in gaps]
-                kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.binary()]
+                         r.get("warc-target-uri"), r["payload_bytes"], r["digest"], r["inner"], None, r["payload"])
+                        for at, r in records]
+                for a, b, *inner in gaps:
+                    c, d = inner or (None, None)
+                    size = d - c if inner else b - a
+                    rows.append((path, a, b, "quarantined", None, None, None, size, None, c, d, None))
+                kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.int64(), pa.int64(),
+                         pa.binary()]
                 columns = [pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -215,3 +215,65 @@ def test_judgements_not_trained_on_are_met(spark, some_docs, sf_dir):
     assert sum(not r.keep for r in junk) / len(junk) > 0.9
     assert sum(not r.keep for r in toxic) / len(toxic) > 0.55
     assert sum(r.keep for r in clean) / len(clean) > 0.98
+
+
+# --- WARC: damage inside a member --------------------------------------------------------
+
+def several(n=5):
+    """Records of one gzip member, and their plain bytes."""
+    from dimforge.llm import warc
+    return [warc.build_record(i, f"http://x/{i}", (f"page {i} " * 400 + str(random.Random(i).random())).encode()) for i in range(n)]
+
+
+def ids(records):
+    return [r["warc-record-id"] for _, r in records]
+
+
+def test_a_damaged_record_costs_its_member_nothing_else():
+    from dimforge.llm import warc
+    made = several()
+    at = len(made[0]) + len(made[1])
+    broken = bytearray(b"".join(made))
+    broken[at + 600] ^= 1                                             # the payload of record 2: its digest fails
+    records, gaps = warc.salvage(warc.gzip_member(bytes(broken)) + warc.gzip_member(made[4]))
+    assert ids(records) == [warc._uri(i) for i in (0, 1, 3, 4, 4)]
+    assert [r["inner"] for _, r in records] == [0, len(made[0]), at + len(made[2]), at + len(made[2]) + len(made[3]), 0]
+    end = len(warc.gzip_member(bytes(broken)))
+    assert gaps == [(0, end, at, at + len(made[2]))] and records[-1][0] == end
+
+
+def test_a_cut_or_damaged_member_gives_what_precedes_the_damage():
+    from dimforge.llm import warc
+    rng = random.Random(3)
+    made = [warc.build_record(i, "u", rng.randbytes(50_000)) for i in range(5)]      # hardly compressible
+    member, after = warc.gzip_member(b"".join(made)), warc.gzip_member(warc.build_record(9, "u", b"later"))
+    cut = int(len(member) * 0.7)
+    records, gaps = warc.salvage(member[:cut] + after)
+    assert ids(records) == [warc._uri(i) for i in (0, 1, 2, 9)]
+    assert len(gaps) == 1 and gaps[0][:3] == (0, cut, sum(map(len, made[:3])))
+    records, gaps = warc.salvage(member[:cut])
+    assert ids(records) == [warc._uri(i) for i in (0, 1, 2)] and gaps[0][:2] == (0, cut)
+
+
+def test_inner_gaps_are_rows(spark):
+    from dimforge.llm import warc
+    made = several(3)
+    broken = made[0] + made[1][:-40] + made[2]
+    files = spark.createDataFrame([("f", bytearray(warc.gzip_member(broken)))], "path string, content binary")
+    got = {r["record_type"]: r for r in warc.read_warc(files).collect()}
+    assert (got["quarantined"]["inner_offset"], got["quarantined"]["inner_end"]) == (len(made[0]), len(broken) - len(made[2]))
+    assert got["response"]["inner_offset"] in (0, len(broken) - len(made[2]))
+
+
+# --- chat: ranked before texts are joined -----------------------------------------------------
+
+def test_only_chosen_branches_are_written(spark):
+    from dimforge.llm import chat
+    wide = [("t", 0, None, "user", "ask", 0.0)] + [("t", i, 0, "assistant", f"answer {i}", float(i % 7)) for i in range(1, 60)]
+    rows = wide + [(None, 0, None, "user", "x", None), (None, 1, 0, "assistant", None, None), ("u", 5, None, "user", "", 1.0)]
+    messages = spark.createDataFrame(rows, "conv_id string, node long, parent long, role string, text string, score double")
+    everything = {(r["conv_id"], r["leaf"]): r for r in chat.format_trees(messages).collect()}
+    assert len(everything) == 61
+    best = chat.format_trees(messages, best=2)
+    assert {(r["conv_id"], r["leaf"], r["rank"]) for r in best.collect()} == {("t", 6, 1), ("t", 13, 2), (None, 1, 1), ("u", 5, 1)}
+    assert all(everything[r["conv_id"], r["leaf"]] == r for r in best.collect())
