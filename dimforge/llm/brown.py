@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from dimforge.llm.storage import materialize, ship_package, tidy
 
 END = b"\n"          # cannot be a word
-CHUNK = 500_000      # tokens
+CHUNK = 300_000      # tokens
+FILE_CHUNKS = 8      # rows per file: readers hold a file's rows at once
 BACKOFF = 0.05       # weight of the class unigram in a transition
 
 
@@ -263,7 +264,7 @@ def _count_neighbours(shared):
         m = shared.value
         v, classes = m.vocabulary, len(m.transition)
         codes = 2 * classes
-        matrix = np.zeros((v.n_known, codes), np.int64)
+        matrix = np.zeros((v.n_known, codes), np.int32)                # tokens of one task
         for chunk in _each_chunk(batches):
             at = v.codes(chunk.words)
             seq = chunk.training()
@@ -279,9 +280,12 @@ def _count_neighbours(shared):
             rare = ~known
             if rare.any():
                 yield _packed(chunk.words, row[rare], code[rare], n[rare], codes)
-        row, code = np.nonzero(matrix)
-        if len(row):
-            yield _packed(list(v.known), row, code, matrix[row, code], codes)
+        names = list(v.known)
+        for low in range(0, v.n_known, 1000):
+            part = matrix[low:low + 1000]
+            row, code = np.nonzero(part)
+            if len(row):
+                yield _packed(names[low:low + 1000], row, code, part[row, code], codes)
     return run
 
 
@@ -341,7 +345,7 @@ def _encode(docs: DataFrame) -> DataFrame:
     """The chunk table of ``(doc_id, held_out, text)`` rows, written once."""
     ship_package(docs.sparkSession)
     rows = docs.select("doc_id", "held_out", "text")
-    return materialize(rows.mapInArrow(tidy(_encode_chunks), CHUNKS), "brown-chunks")
+    return materialize(rows.mapInArrow(tidy(_encode_chunks), CHUNKS), "brown-chunks", FILE_CHUNKS)
 
 
 def _classify(chunks: DataFrame, classes: int, top_words: int, suffixes: int,
