@@ -11,8 +11,8 @@ most ``leaf_rows`` members are brute-forced by their sketches; larger ones are
 split again, up to ``max_depth``; in what is then still large (sets that agree
 along the whole path) members are compared with the smallest one, and those
 that do not agree with it with all others, in block pairs.  Everything is repeated for ``runs`` independent recursions: a pair at
-the threshold survives a run with probability 0.73 (two levels) to 0.53 (five),
-so twelve runs reach a recall above 0.999 even at five levels.
+the threshold survives a run with probability 0.73 (two levels) to 0.57 (four),
+so twelve runs reach a recall above 0.999 even at four levels.
 
 Pairs whose sketches agree in at least ``loose`` of the positions (five
 standard deviations below the threshold) tie classes into candidate groups.
@@ -345,7 +345,7 @@ def candidate_links(classes: DataFrame, *, runs: int, levels: int, max_depth: in
 
 
 def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8,
-                   runs: int = 12, levels: int = 2, max_depth: int = 5, leaf_rows: int = 200, loose: float = 0.62,
+                   runs: int = 12, levels: int = 2, max_depth: int = 4, leaf_rows: int = 200, loose: float = 0.62,
                    block_rows: int = 256) -> DataFrame:
     """One row per document: ``key``, ``class_id`` (smallest id reachable by
     links, itself included), ``copy_id`` (smallest id with an equal set) and
