@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from dimforge.llm.storage import materialize, ship_package, tidy
 
 END = b"\n"          # cannot be a word
-CHUNK = 300_000      # tokens
+CHUNK = 400_000      # tokens
 FILE_CHUNKS = 8      # rows per file: readers hold a file's rows at once
 BACKOFF = 0.05       # weight of the class unigram in a transition
 
@@ -95,12 +95,16 @@ def _encode_chunks(batches):
         yield out()
 
 
+def _words(raw: bytes) -> list[bytes]:
+    """A chunk's words by number."""
+    return [END, *raw.split(b"\n")] if raw else [END]
+
+
 class Chunk:
     """A row of the chunk table."""
 
     def __init__(self, batch: pa.RecordBatch, i: int):
-        words = batch.column("words")[i].as_py()
-        self.words = [END, *words.split(b"\n")] if words else [END]
+        self.words = _words(batch.column("words")[i].as_py()) if "words" in batch.schema.names else None
         self.ids = np.frombuffer(batch.column("ids")[i].as_py(), np.int32)
         self.n = np.array(batch.column("n_tokens")[i].as_py(), np.int64)
         self.held = np.array(batch.column("held_out")[i].as_py(), bool)
@@ -345,7 +349,7 @@ def _encode(docs: DataFrame) -> DataFrame:
     """The chunk table of ``(doc_id, held_out, text)`` rows, written once."""
     ship_package(docs.sparkSession)
     rows = docs.select("doc_id", "held_out", "text")
-    return materialize(rows.mapInArrow(tidy(_encode_chunks), CHUNKS), "brown-chunks", FILE_CHUNKS)
+    return materialize(rows.mapInArrow(tidy(_encode_chunks), CHUNKS), "brown-chunks", FILE_CHUNKS, "zstd")
 
 
 def _classify(chunks: DataFrame, classes: int, top_words: int, suffixes: int,
@@ -399,14 +403,24 @@ def _rare_words(shared):
         v = shared.value.vocabulary
         for batch in batches:
             for i, chunk in enumerate(batch.column("chunk").to_pylist()):
-                raw = batch.column("words")[i].as_py()
-                words = [END, *raw.split(b"\n")] if raw else [END]
-                rare = [(n, w) for n, w in enumerate(words) if w not in v.known]
+                rare = [(n, w) for n, w in enumerate(_words(batch.column("words")[i].as_py())) if w not in v.known]
                 yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(rare), pa.int64()), pa.array([n for n, _ in rare], pa.int32()),
                                                   pa.array([w for _, w in rare], pa.binary())], names=["chunk", "number", "word"])
     return run
 
 
+def _code_words(shared):
+    """Chunks with their words' codes in place of the words."""
+    def run(batches):
+        v = shared.value.vocabulary
+        kind = np.uint16 if v.n_known + v.n_items <= 1 << 16 else np.int32
+        names = ["chunk", "doc_id", "held_out", "n_tokens", "ids"]
+        for batch in batches:
+            codes = [v.codes(_words(raw.as_py())).astype(kind).tobytes() for raw in batch.column("words")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(codes, pa.binary())], names=[*names, "codes"])
+    return run
+
+
 ENCODED = ("doc_id array<long>, held_out array<boolean>, n_tokens array<int>, n_known array<long>, logs array<double>, seq binary")
 
 
@@ -416,11 +430,12 @@ def _name_classes(shared):
     def run(batches):
         m = shared.value
         v = m.vocabulary
+        kind = np.uint16 if v.n_known + v.n_items <= 1 << 16 else np.int32
         for batch in batches:
             found = batch.column("found")
             for i in range(batch.num_rows):
                 chunk = Chunk(batch, i)
-                at = v.codes(chunk.words)
+                at = np.frombuffer(batch.column("codes")[i].as_py(), kind).astype(np.int64)
                 cls, logs, known = m.class_of[at], m.log_count[at], at < v.n_known
                 if found[i].is_valid:
                     x = found[i].values
@@ -445,7 +460,8 @@ def _named(chunks: DataFrame, words: DataFrame, model: Model) -> DataFrame:
     rare = chunks.select("chunk", "words").mapInArrow(tidy(_rare_words(shared)), "chunk long, number int, word binary")
     found = (rare.join(words, "word").groupBy("chunk")
                  .agg(F.collect_list(F.struct("number", "c", "class")).alias("found")))      # at most a chunk's words
-    return chunks.join(found, "chunk", "left").mapInArrow(tidy(_name_classes(shared)), ENCODED)
+    coded = chunks.mapInArrow(tidy(_code_words(shared)), CHUNKS.replace("words binary, ids binary", "ids binary, codes binary"))
+    return coded.join(found, "chunk", "left").mapInArrow(tidy(_name_classes(shared)), ENCODED)
 
 
 def _count_transitions(n: int, kind):

@@ -20,12 +20,12 @@ def scratch(spark, name: str) -> str:
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+def materialize(df: DataFrame, name: str, file_rows: int = 0, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the
     lineage, computes once, and survives the loss of executors.  ``file_rows``
     bounds the rows of a file (for rows of megabytes)."""
     path = scratch(df.sparkSession, name)
-    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
