@@ -12,7 +12,10 @@ at most) and a hash sample of the rest, is labelled by these posteriors, and a
 hashed linear scorer is fitted to it per head (logistic loss, L1 penalty by
 coordinate descent, so that the many rare words of a long text carry no
 weight).  A document weighs what its votes tell: 1 for a certain posterior, 0
-for one that is as uncertain as the class shares.  The scorer, not the votes,
+for one that is as uncertain as the class shares; beside judgements, all
+unjudged documents together weigh at most half as much as the judged ones (or
+``UNJUDGED`` documents, if that is more), since the heuristics are silent on what
+only judges know.  The scorer, not the votes,
 decides: a document is kept if both scores are below ``threshold``.
 
 Whole texts are read, in two passes, and never shuffled.  Pattern counts are
@@ -45,6 +48,7 @@ from dimforge.llm.storage import forget, materialize, ship_package, tidy
 BAD, GOOD, NONE = 1, 0, -1
 SAMPLE = 12_000
 JUDGED = 2 / 3               # of the sample, at most
+UNJUDGED = 500
 ADDED = ("junk_score", "toxic_score", "keep")
 
 # Insults, in overlapping lists, one labeller each.
@@ -324,8 +328,12 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, text: str = "text",
         m = LabelModel(np.array([v for v, _ in patterns]), np.array([n for _, n in patterns], float), STARTS[head])
         k = len(patterns[0][0])
         y = np.array([m.of[v[width:width + k]] for _, v in chosen])
+        judged_rows = np.array([v[width + k - 1] != NONE for _, v in chosen], bool)
         width += k
-        model[head], model[head + "_scorer"] = m, Scorer([f for f, _ in chosen], y, m.weight(y))
+        n_judged, n_other = int(judged_rows.sum()), int((~judged_rows).sum())
+        part = min(1.0, max(UNJUDGED, n_judged / 2) / max(1, n_other)) if n_judged else 1.0
+        model[head] = m
+        model[head + "_scorer"] = Scorer([f for f, _ in chosen], y, m.weight(y) * np.where(judged_rows, 1.0, part))
     return model
 
 
