@@ -31,6 +31,19 @@ def exact_int(col) -> Column:
     return F.round(_c(col)).cast("int")
 
 
+def to_type(col, type_name: str, strict: bool = False) -> Column:
+    """CAST that gives NULL where the value does not fit the type (text that is
+    no number, a number out of range, a date that does not exist).  ``strict``
+    raises there instead, whatever the session's ANSI setting: a NULL that
+    comes out of a value is an error."""
+    col = _c(col)
+    made = col.try_cast(type_name)
+    if not strict:
+        return made
+    bad = F.raise_error(F.concat(F.lit(f"not a value of type {type_name}: "), col.cast("string"))).cast(type_name)
+    return F.when(col.isNotNull() & made.isNull(), bad).otherwise(made)
+
+
 def clock_to_seconds(col) -> Column:
     """'MM:SS' text to seconds; text without ':' is taken as it stands.
 

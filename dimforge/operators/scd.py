@@ -14,6 +14,8 @@ Type 2 (one row per run of constant state with start / end period):
   the runs they fall into or touch are cut and joined again.
 * ``scd2_from_spine`` — SCD2 from raw rows over a period spine
   (activity = entity seen in that period).
+* ``scd2_from_gaps`` — the same table from the gaps between an entity's
+  periods: its work grows with the rows, not with entities × periods.
 
 ``compat=True`` reproduces the scripts' three-valued change test (a NULL
 state is neither changed nor unchanged: carried without extending its end)
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.operators.joins import broadcast_if_small, full_outer
+from dimforge.operators.streaks import run_ends, run_starts
 
 
 def _any(cols: list[Column]) -> Column:
@@ -245,6 +248,32 @@ def scd2_from_spine(raw: DataFrame, *, keys: Sequence[str], period: str, lo: int
              .select(*keys, active_col, start_col, end_col, (F.col(end_col) == cur).alias(current_col)))
 
 
+def scd2_from_gaps(raw: DataFrame, *, keys: Sequence[str], period: str, lo: int, hi: int,
+                   current_period: int | None = None, active_col: str = "is_active",
+                   start_col: str = "start_season", end_col: str = "end_season",
+                   current_col: str = "is_current") -> DataFrame:
+    """:func:`scd2_from_spine` without the spine: active runs are the stretches
+    of an entity's sorted periods, inactive runs what lies between them and the
+    bounds.  An entity with k periods costs k steps however long the spine is.
+
+    Defined results: periods outside ``lo..hi`` and NULL do not count, an entity
+    with no other has one inactive run; repeated rows count once; a NULL key is
+    an entity.  One exchange (sets are partial before it), no window."""
+    cur = hi if current_period is None else current_period
+    p = F.col(period).cast("int")
+    sets = raw.groupBy(*keys).agg(F.sort_array(F.collect_set(F.when(p.between(lo, hi), p))).alias("_ps"))
+    edges = sets.select(*keys, run_starts("_ps").alias("_s"), run_ends("_ps").alias("_e"))
+
+    def rows(starts, ends, active):
+        return F.zip_with(starts, ends, lambda s, e: F.struct(F.lit(active).alias(active_col), s.alias(start_col), e.alias(end_col)))
+
+    after = F.concat(F.array(F.lit(lo).cast("int")), F.transform("_e", lambda e: e + 1))
+    before = F.concat(F.transform("_s", lambda s: s - 1), F.array(F.lit(hi).cast("int")))
+    gaps = F.filter(rows(after, before, False), lambda r: r[start_col] <= r[end_col])
+    return (edges.select(*keys, F.inline(F.concat(rows("_s", "_e", True), gaps)))
+                 .withColumn(current_col, F.col(end_col) == cur))
+
+
 # --- types 0, 1, 3 ---------------------------------------------------------
 
 def scd0(hist: DataFrame, *, keys: Sequence[str], col: str, period: str) -> DataFrame:
