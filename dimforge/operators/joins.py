@@ -7,10 +7,13 @@
 * ``full_outer`` — the prior-snapshot ⟗ new-period join of every cumulative
   step.  Rows whose key is NULL never match (plain ``=``, as in SQL); they
   bypass the join (padded with NULLs) instead of all hashing to one task.
+* ``split_join`` — a large dimension and facts with a few very frequent keys:
+  these meet a broadcast slice of the dimension, the rest is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,3 +71,53 @@ def full_outer(prev: DataFrame, cur: DataFrame, keys, project, keys_not_null: bo
     only_c = cur.where(_any_null(cur, keys)).select(
         *project(lambda x: F.lit(None).cast(ptypes[x]), lambda x: F.col(x)))
     return matched.unionByName(only_p).unionByName(only_c)
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """Hashes (``_hot``) of the keys that hold about ``1 / parts`` of the rows
+    or more, at most ``2 * parts``: a frequent-items sketch per task, merged.
+    A key above the bound is never missed by more than the sketch's error
+    (below a third of the bound); rows without a key do not count."""
+    named = df.where(_all_set(df, keys)).select(F.xxhash64(*keys).alias("_k"))
+    one = named.agg(F.count(F.lit(1)).alias("_n"), F.expr(f"approx_top_k(_k, {2 * parts}, {16 * parts})").alias("_top"))
+    return (one.select("_n", F.inline("_top")).where(F.col("count") * parts * 2 >= F.col("_n"))
+               .select(F.col("item").alias("_hot")))
+
+
+def split_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], *, how: str = "left", parts: int | None = None,
+               max_rows: int = 100_000) -> DataFrame:
+    """``facts`` joined to a dimension that is too large to broadcast, on keys
+    of the same names, a few of which may hold most of the rows.
+
+    Rows of frequent keys stay where they are and meet the broadcast slice of
+    the dimension that these keys need; if that slice has more than
+    ``max_rows`` rows, frequent keys are salted instead.  The other rows are
+    shuffled.  Rows with a NULL key match nothing and are not shuffled
+    (``left``: NULLs for the dimension's columns).  ``parts``: a key with more
+    than about 1 / parts of the rows is frequent (default: the number of shuffle
+    partitions).  Repeated rows on either side join as they would plainly.
+    ``facts`` and ``dim`` are read for each share: pass stored tables."""
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    parts = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(keys)
+    out = [*facts.columns, *[c for c in dim.columns if c not in keys]]
+    hot = frequent_keys(facts, keys, parts)
+    found = [r[0] for r in hot.collect()]                                # at most 2 * parts numbers
+    is_hot = F.xxhash64(*keys).isin(found) if found else F.lit(False)
+    named = facts.where(_all_set(facts, keys))
+    joined = named.where(~is_hot).join(dim.where(~is_hot), keys, how).select(*out)
+    if found:
+        often, few = named.where(is_hot), dim.where(is_hot)
+        if bounded_count(few, max_rows) <= max_rows:
+            rows = often.join(F.broadcast(few), keys, how)
+        else:
+            salted = often.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int"))
+            many = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+            rows = salted.join(many, [*keys, "_salt"], how)
+        joined = joined.unionByName(rows.select(*out))
+    if how == "left":
+        types = {f.name: f.dataType for f in dim.schema.fields}
+        bare = facts.where(_any_null(facts, keys))
+        joined = joined.unionByName(bare.select(*facts.columns, *[F.lit(None).cast(types[c]).alias(c) for c in out[len(facts.columns):]]))
+    return joined

@@ -1,5 +1,6 @@
 """Queries and DuckDB twins of the operators that keep a table up to date:
-runs from gaps, streak states, upserts, partition statistics, checked casts.
+runs from gaps, streak states, upserts, partition statistics, checked casts,
+joins on frequent keys, loads de-duplicated against what is stored.
 
 Ranges of periods are taken from the data.
 """
@@ -13,13 +14,18 @@ from pyspark.sql import functions as F
 
 from dimforge.functions.scalars import to_type
 from dimforge.operators import scd
+from dimforge.operators.joins import split_join
 from dimforge.operators.streaks import STATE, merge_streaks, streak_states, streak_step
+from dimforge.plans.catalog import DEDUPE_KEYS, dedupe_order
+from dimforge.plans.oracle import ORACLE as _SQL
 from dimforge.plans.views_sql import with_views
 from dimforge.session import shared_dir
 from dimforge.sinks import publish as pb
+from dimforge.sinks.append import append_new
 from dimforge.sinks.statistics import merged_statistics, partition_statistics
 from dimforge.sinks.upsert import apply_changes
 from dimforge.sources import fixtures as fx
+from dimforge.sources.tables import read_table
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -206,7 +212,42 @@ SELECT game_id, player_id, l_partkey, l_suppkey, min, TRY_CAST(min AS int) AS mi
 FROM game_details""", "game_details")
 
 
+# --- J7, C14: frequent keys -------------------------------------------------------------
+
+def q_events_split_join(spark, sf_dir):
+    """Events with the profile of their user; users with more than a 32nd of the
+    events and events without a user are not shuffled."""
+    events = _stored(fx.web_events(spark, sf_dir).select("event_id", "user_id", "url"))
+    profiles = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment").withColumnRenamed("c_custkey", "user_id")
+    return split_join(events, profiles, ["user_id"], parts=32)
+
+
+EVENTS_SPLIT_JOIN = with_views("""
+SELECT e.event_id, e.user_id, e.url, c.c_name, c.c_mktsegment FROM web_events e LEFT JOIN customer c ON c.c_custkey = e.user_id""",
+                               "web_events")
+
+
+# --- C18, C19: facts that arrive in loads ---------------------------------------------------
+
+def q_dedupe_loads(spark, sf_dir):
+    """Box scores in four loads by part number, which the order of a
+    de-duplication starts with, each run twice: what one de-duplication of all
+    rows keeps."""
+    season = fx.games(spark, sf_dir).select("game_id", "season")
+    rows = _stored(fx.game_details(spark, sf_dir).join(season, "game_id"))
+    path = _path(spark, sf_dir, "game_details_loads")
+    lo, hi = _bounds(rows, "l_partkey") or (0, 0)
+    step = (hi - lo) // 4 + 1
+    for i in range(4):
+        load = rows.where(F.col("l_partkey").between(lo + i * step, lo + (i + 1) * step - 1))
+        for _ in range(2):
+            append_new(load, path, keys=DEDUPE_KEYS, partition="season", order=dedupe_order())
+    return spark.read.schema(rows.schema).parquet(path).drop("season")
+
+
 QUERIES = {
+    "events_split_join": q_events_split_join,
+    "dedupe_loads": q_dedupe_loads,
     "scd2_gaps": q_scd2_gaps,
     "streak_steps": q_streak_steps,
     "streak_chunks": q_streak_chunks,
@@ -216,6 +257,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "events_split_join": EVENTS_SPLIT_JOIN,
+    "dedupe_loads": _SQL["dedupe_first"],
     "scd2_gaps": SCD2_GAPS,
     "streak_steps": STREAK_STEPS,
     "streak_chunks": STREAK_CHUNKS,

@@ -1,4 +1,5 @@
-"""Streak states, runs from gaps, upserts, partition statistics, checked casts."""
+"""Streak states, runs from gaps, upserts, partition statistics, checked casts,
+frequent keys, loads against stored facts."""
 
 import os
 import random
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from dimforge.functions.scalars import to_type
+from dimforge.operators import facts as fa
 from dimforge.operators import scd
+from dimforge.operators.joins import frequent_keys, split_join
 from dimforge.operators.streaks import merge_streaks, streak_states, streak_step
+from dimforge.sinks.append import append_new, stored_keys
 from dimforge.sinks.publish import publish
 from dimforge.sinks.statistics import merged_statistics, partition_statistics
 from dimforge.sinks.upsert import apply_changes
@@ -150,3 +154,69 @@ def test_checked_casts(spark):
     assert [r[0] for r in df.where("s = '12' OR s IS NULL").select(to_type("s", "int", strict=True)).collect()] == [12, None]
     with pytest.raises(PySparkException, match="not a value of type int: 12:30"):
         df.select(to_type("s", "int", strict=True)).collect()
+
+
+# --- frequent keys ----------------------------------------------------------------------
+
+def hot_events(spark, n=40_000):
+    """Half of the events on device 7, a tenth without a device."""
+    i = F.col("id")
+    return spark.range(n).select(i, F.when(i % 2 == 0, 7).when(i % 10 == 1, None).otherwise(i % 3000).alias("device"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("max_rows", [100_000, 0])
+def test_split_join_equals_the_plain_join(spark, how, max_rows):
+    facts = hot_events(spark).checkpoint()
+    dim = spark.range(2500).selectExpr("id AS device", "concat('d', id) AS name").union(
+        spark.createDataFrame([(7, "again"), (None, "none")], "device long, name string")).checkpoint()
+    assert [r[0] for r in frequent_keys(facts, ["device"], 8).collect()] == [facts.where("device = 7").select(F.xxhash64("device")).first()[0]]
+    got = split_join(facts, dim, ["device"], how=how, parts=8, max_rows=max_rows)
+    want = facts.join(dim, "device", how).select("id", "device", "name")
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_split_join_shuffles_only_rare_keys(spark):
+    facts = hot_events(spark).checkpoint()
+    dim = spark.range(2500).selectExpr("id AS device", "concat('d', id) AS name").checkpoint()
+    tasks = split_join(facts, dim, ["device"], parts=8).where("device = 7 OR device IS NULL").groupBy(F.spark_partition_id(), "device").count()
+    spread = tasks.agg(F.max("count"), F.sum("count")).first()
+    assert spread[1] == 24_000 and spread[0] <= 5_000       # as in the input; the plain join puts all 20,000 rows of device 7 in one task
+    none = facts.where("false")
+    assert split_join(none, dim, ["device"], parts=8).count() == 0
+    assert split_join(facts, dim.where("false"), ["device"], parts=8).where("name IS NULL").count() == 40_000
+
+
+# --- loads against stored facts ------------------------------------------------------------
+
+FACT = "k int, part int, v string"
+
+
+def test_loads_equal_one_dedupe(spark, tmp_path):
+    rng = random.Random(3)
+    made = [(rng.choice([None, *range(30)]), None, f"{i:03d}") for i in range(200)]
+    made = [(k, None if k is None else k % 3, v) for k, _, v in made]
+    made += made[:20]
+    order = ["v"]
+    path = str(tmp_path / "t")
+    for i in range(0, 200, 50):
+        load = spark.createDataFrame([r for r in made if i <= int(r[2]) < i + 50], FACT)
+        for _ in range(2):
+            append_new(load, path, keys=["k"], partition="part", order=order)
+    append_new(load.where("false"), path, keys=["k"], partition="part", order=order)
+    want = fa.dedupe_first(spark.createDataFrame(made, FACT), ["k"], order)
+    assert rows(spark.read.schema(FACT).parquet(path), ["k", "part", "v"]) == rows(want, ["k", "part", "v"])
+
+
+def test_loads_read_only_their_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_new(spark.range(300).selectExpr("cast(id AS int) k", "cast(id % 3 AS int) part", "'x' v"), path, keys=["k"],
+               partition="part", order=["v"])
+    load = spark.createDataFrame([(4, 1, "y"), (301, 1, "y")], FACT)
+    known = stored_keys(load, path, ["k"], "part")
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part" in plan.split("PartitionFilters")[1][:60]
+    assert "GreaterThanOrEqual(k,4)" in plan and "LessThanOrEqual(k,301)" in plan
+    assert {r.part for r in known.collect()} == {1} and min(r.k for r in known.collect()) >= 4
+    append_new(load, path, keys=["k"], partition="part", order=["v"])
+    assert rows(spark.read.schema(FACT).parquet(path).where("v = 'y'"), ["k", "part", "v"]) == [(301, 1, "y")]
