@@ -7,6 +7,8 @@
 * ``full_outer`` — the prior-snapshot ⟗ new-period join of every cumulative
   step.  Rows whose key is NULL never match (plain ``=``, as in SQL); they
   bypass the join (padded with NULLs) instead of all hashing to one task.
+* ``dealt_join`` — two tables of any size whose joined rows are then grouped by
+  the join key in the same tasks: as many tasks as the rows need.
 * ``split_join`` — a large dimension and facts with a few very frequent keys:
   these meet a broadcast slice of the dimension, the rest is shuffled.
 """
@@ -34,6 +36,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
 
 
+# Rows of both sides of ``dealt_join`` in one task.
+TASK_ROWS = 1_000_000
+
+
+def dealt_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``left`` inner-joined to ``right`` on one column each, at most about
+    ``task_rows`` rows of both per task, whatever their size.
+
+    For rows that are grouped or numbered by the join key next: that runs in the
+    join's tasks, whose sorts and groups are all held at once, and adaptive
+    execution deals tasks out by compressed bytes.  A table that the planner's
+    own tasks hold within ``task_rows`` is left to the planner.  Both sides are
+    counted: pass stored tables.  Rows of one key stay in one task, so a join
+    whose rows are not grouped is better left to the planner, which splits hot
+    keys."""
+    spark = left.sparkSession
+    tasks = -(-(left.count() + right.count()) // task_rows)
+    if tasks > min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))):
+        left, right = left.repartition(tasks, left_key), right.repartition(tasks, right_key)
+    return left.join(right, left[left_key] == right[right_key])
+
+
 def _any_null(df: DataFrame, keys) -> Column:
     return reduce(lambda a, b: a | b, [df[k].isNull() for k in keys])
 

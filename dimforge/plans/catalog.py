@@ -334,7 +334,7 @@ def q_dedupe_first(spark, sf_dir):
 
 
 def q_dedupe_extra_rows(spark, sf_dir):
-    return fa.duplicates(fx.game_details(spark, sf_dir), DEDUPE_KEYS)
+    return fa.duplicates(fx.game_details(spark, sf_dir, grouped=True), DEDUPE_KEYS)
 
 
 def q_duplicate_counts(spark, sf_dir):

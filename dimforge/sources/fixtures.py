@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.operators.joins import broadcast_if_small
+from dimforge.operators.joins import broadcast_if_small, dealt_join
 from dimforge.sources.tables import read_table
 
 # Dimension tables of bounded size (TPC-H nation / region: 25 and 5 rows).
@@ -104,12 +104,13 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as player box scores; duplicates on (game, team, player)."""
+def game_details(spark: SparkSession, sf_dir: str, grouped: bool = False) -> DataFrame:
+    """Line items as player box scores; duplicates on (game, team, player).
+    ``grouped``: the rows are grouped by game next (``dealt_join``)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "l_returnflag", "l_quantity")
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    j = dealt_join(li, o, "l_orderkey", "o_orderkey") if grouped else li.join(o, li.l_orderkey == o.o_orderkey)
     qty = F.col("l_quantity").cast("int").cast("string")
     return j.select(
         F.col("l_orderkey").alias("game_id"),

@@ -161,3 +161,19 @@ def test_small_measured_side_is_broadcast_at_run_time(spark, sf_dir):
     ran = joined._jdf.queryExecution()
     joined.collect()
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString() or "BroadcastHashJoin" in ran.executedPlan().toString()
+
+
+def test_grouped_join_deals_its_rows_over_tasks(spark):
+    """Rows of both sides per task stay below the bound; small tables are left to the planner."""
+    from dimforge.operators.facts import duplicate_counts
+    from dimforge.operators.joins import dealt_join
+    left = spark.range(6000).selectExpr("nullif(id % 2000, 7) AS k", "id % 2 AS v").checkpoint()
+    right = spark.range(2000).selectExpr("id AS j", "id * 3 AS w").union(spark.createDataFrame([(5, 1), (None, 2)], "j long, w long")).checkpoint()
+    want = left.join(right, left.k == right.j)
+    few = dealt_join(left, right, "k", "j", task_rows=100)               # 81 tasks
+    per_task = [r.n for r in few.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(per_task) > 60 and max(per_task) < 400
+    assert few.columns == want.columns and rows(few) == rows(want)
+    p = plan(duplicate_counts(few, ["k", "v"]))
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 2        # grouped in the tasks of the join
+    assert plan(dealt_join(left, right, "k", "j")).count("REPARTITION_BY_NUM") == 0
