@@ -330,7 +330,7 @@ def q_clock_to_seconds(spark, sf_dir):
 
 
 def q_dedupe_first(spark, sf_dir):
-    return fa.dedupe_first(fx.game_details(spark, sf_dir), DEDUPE_KEYS, dedupe_order())
+    return fa.dedupe_first(fx.game_details(spark, sf_dir, grouped=True), DEDUPE_KEYS, dedupe_order())
 
 
 def q_dedupe_extra_rows(spark, sf_dir):
@@ -338,7 +338,7 @@ def q_dedupe_extra_rows(spark, sf_dir):
 
 
 def q_duplicate_counts(spark, sf_dir):
-    return fa.duplicate_counts(fx.game_details(spark, sf_dir), DEDUPE_KEYS)
+    return fa.duplicate_counts(fx.game_details(spark, sf_dir, grouped=True), DEDUPE_KEYS)
 
 
 def daily(spark, sf_dir):
