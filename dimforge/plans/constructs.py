@@ -117,7 +117,7 @@ def q_collect_rows(spark, sf_dir):
 
 def q_sorted_limit(spark, sf_dir):
     """Top 100 duplicated keys (the limit is the report)."""
-    counts = fa.duplicate_counts(fx.game_details(spark, sf_dir), c.DEDUPE_KEYS)
+    counts = fa.duplicate_counts(fx.game_details(spark, sf_dir, grouped=True), c.DEDUPE_KEYS)
     return counts.orderBy(F.col("counts").desc(), *c.DEDUPE_KEYS).limit(100)
 
 
