@@ -9,15 +9,12 @@ again adds nothing, so a load that failed is run again.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimforge.operators.facts import dedupe_first
-from dimforge.operators.joins import broadcast_if_small
-from dimforge.session import shared_dir
 from dimforge.sinks.publish import path_exists
 
 ORDERED = (T.IntegralType, T.StringType, T.DateType, T.TimestampType)
@@ -46,23 +43,23 @@ def stored_keys(load: DataFrame, path: str, keys: Sequence[str], partition: str)
     return spark.read.schema(T.StructType(fields)).parquet(path).where(there).select(*keys, partition)
 
 
+def new_rows(load: DataFrame, path: str, *, keys: Sequence[str], partition: str, order: Sequence[Column | str]) -> DataFrame:
+    """The rows of ``load`` that ``append_new`` adds.  Stored keys come first of
+    the rows of their key, so rows and stored keys are shuffled once."""
+    if not path_exists(load.sparkSession, path):
+        return dedupe_first(load, keys, order)
+    known = stored_keys(load, path, keys, partition).withColumn("_new", F.lit(False))
+    rows = load.withColumn("_new", F.lit(True)).unionByName(known, allowMissingColumns=True)
+    return dedupe_first(rows, keys, ["_new", *order]).where("_new").drop("_new")
+
+
 def append_new(load: DataFrame, path: str, *, keys: Sequence[str], partition: str, order: Sequence[Column | str]) -> None:
     """Add the rows of ``load`` whose key is not stored, one per key (the first
     by ``order``, which should be total).
 
     ``partition`` follows from the key: rows with one key have one value of it,
-    so no other partition can hold the key.  A NULL key is a key."""
-    spark = load.sparkSession
-    shared_dir(spark)
-    first = dedupe_first(load, keys, order).checkpoint()
-    if path_exists(spark, path):
-        known = stored_keys(first, path, keys, partition)
-        mine = broadcast_if_small(first.select(*[F.col(k).alias(f"_{k}") for k in keys]))
-        known = known.join(mine, _same(known, mine, keys), "left_semi").select(*[F.col(k).alias(f"_{k}") for k in keys])
-        first = first.join(known, _same(first, known, keys), "left_anti")
+    so no other partition can hold the key.  A NULL key is a key.  ``load`` is
+    read twice (key bounds, rows): pass a stored table."""
+    first = new_rows(load, path, keys=keys, partition=partition, order=order)
     (first.hint("rebalance", partition).sortWithinPartitions(partition, *keys)
           .write.mode("append").partitionBy(partition).parquet(path))
-
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])

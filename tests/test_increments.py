@@ -14,7 +14,7 @@ from dimforge.operators import facts as fa
 from dimforge.operators import scd
 from dimforge.operators.joins import frequent_keys, split_join
 from dimforge.operators.streaks import merge_streaks, streak_states, streak_step
-from dimforge.sinks.append import append_new, stored_keys
+from dimforge.sinks.append import append_new, new_rows, stored_keys
 from dimforge.sinks.publish import publish
 from dimforge.sinks.statistics import merged_statistics, partition_statistics
 from dimforge.sinks.upsert import apply_changes
@@ -220,3 +220,17 @@ def test_loads_read_only_their_partitions(spark, tmp_path):
     assert {r.part for r in known.collect()} == {1} and min(r.k for r in known.collect()) >= 4
     append_new(load, path, keys=["k"], partition="part", order=["v"])
     assert rows(spark.read.schema(FACT).parquet(path).where("v = 'y'"), ["k", "part", "v"]) == [(301, 1, "y")]
+
+
+def test_a_load_is_shuffled_once_to_meet_the_stored_keys(spark, tmp_path):
+    path, kw = str(tmp_path / "t"), dict(keys=["k"], partition="part", order=["v"])
+    load = spark.range(300).selectExpr("nullif(cast(id % 200 AS int), 9) k", "cast(nullif(id % 200, 9) % 3 AS int) part", "concat('v', id) v")
+    append_new(load.where("k < 50 OR k IS NULL"), path, **kw)
+    got = new_rows(load, path, **kw)
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange") == 1 and p.count("WindowGroupLimit") == 2 and "Join" not in p
+    want = fa.dedupe_first(load.where("k >= 50"), ["k"], ["v"])
+    assert got.columns == load.columns and rows(got) == rows(want)
+    append_new(load, path, **kw)
+    assert new_rows(load, path, **kw).isEmpty()
+    assert rows(spark.read.schema(FACT).parquet(path), ["k", "part", "v"]) == rows(fa.dedupe_first(load, ["k"], ["v"]))
